@@ -59,12 +59,13 @@ def row_number_by_group(df: DataFrame, group: list[str], order: list[str], out:
                   [parts["_pid"] == offsets["_pid"]] + [parts[g].eqNullSafe(offsets[g]) for g in group])
     joined = parts.join(offsets, cond, "inner").select(parts["*"], offsets["_off"])
     running = Window.partitionBy("_pid", *group).orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = joined.select(*key, "_w", (F.col("_off") + F.sum("_w").over(running) - F.col("_w") + 1).alias("_start"))
+    start = (F.col("_off") + F.sum("_w").over(running) - F.col("_w") + 1).cast("long")
+    numbered = joined.select(*key, "_w", start.alias("_start"))
 
     max_w = parts.agg(F.max("_w")).first()[0] or 0
     if max_w <= expand_chunk:
         return numbered.select(*key, F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_w") - 1))
-                               .cast("long").alias(out)).select(*df.columns, out)
+                               .alias(out)).select(*df.columns, out)
     # Hot duplicate rows: split the expansion into chunks and spread them over tasks.
     chunked = numbered.select(*key, "_w", "_start",
                               F.explode(F.sequence(F.lit(0).cast("long"),
@@ -72,7 +73,7 @@ def row_number_by_group(df: DataFrame, group: list[str], order: list[str], out:
     chunked = chunked.repartition(p, *key, "_c")
     lo = F.col("_start") + F.col("_c") * expand_chunk
     hi = F.least(lo + expand_chunk - 1, F.col("_start") + F.col("_w") - 1)
-    return chunked.select(*key, F.explode(F.sequence(lo, hi)).cast("long").alias(out)).select(*df.columns, out)
+    return chunked.select(*key, F.explode(F.sequence(lo, hi)).alias(out)).select(*df.columns, out)
 
 
 def rank_within_rating(ratings: DataFrame, **kw) -> DataFrame:
