@@ -108,5 +108,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(user factors, item factors) as ``id int, features array<float>``."""
     e = t(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    f = e.select(to_int_id(F.col("vec_id"), "vec_id").alias("id"), F.col("embedding").alias("features"))
-    return (f.where(F.col("id") < USER_VECTOR_LIMIT), f.where(F.col("id") >= USER_VECTOR_LIMIT))
+
+    def shape(df: DataFrame) -> DataFrame:
+        return df.select(to_int_id(F.col("vec_id"), "vec_id").alias("id"), F.col("embedding").alias("features"))
+    # filter on the stored key, before narrowing, so the predicate reaches the Parquet scan
+    return (shape(e.where(F.col("vec_id") < USER_VECTOR_LIMIT)), shape(e.where(F.col("vec_id") >= USER_VECTOR_LIMIT)))
