@@ -49,6 +49,18 @@ def _reason(n_fields: Column, needed: int, raws: list[Column], typed: list[Colum
     return expr
 
 
+def _project_once(staged: DataFrame, value_col: str, typed: list[Column], schema: T.StructType,
+                  reason: Column) -> DataFrame:
+    """Typed fields + reason, evaluated once per line.
+
+    A plain projection followed by the good/bad filter lets the optimizer push the filter
+    below it, inlining the split and casts into the predicate (every line split several
+    times).  A one-element ``inline`` generator is a boundary the filter cannot cross."""
+    record = F.struct(F.col(value_col).alias(value_col),
+                      *[t.alias(f.name) for t, f in zip(typed, schema.fields)], reason.alias("_reason"))
+    return staged.select(F.inline(F.array(record)))
+
+
 def _finish(projected: DataFrame, schema: T.StructType, value_col: str, on_error: str) -> ParseResult:
     names = [f.name for f in schema.fields]
     if on_error not in MODES:
@@ -81,11 +93,8 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, delim: str, *,
     raws = [java_trim(field(F.col("_parts"), i)) for i in range(len(schema.fields))]
     typed = [_typed(r, f.dataType) for r, f in zip(raws, schema.fields)]
     staged = lines.select(F.col(value_col), parts.alias("_parts"))
-    projected = staged.select(
-        F.col(value_col),
-        *[t.alias(f.name) for t, f in zip(typed, schema.fields)],
-        _reason(F.size("_parts"), len(schema.fields), raws, typed, schema).alias("_reason"),
-    )
+    projected = _project_once(staged, value_col, typed, schema,
+                              _reason(F.size("_parts"), len(schema.fields), raws, typed, schema))
     return _finish(projected, schema, value_col, on_error)
 
 
@@ -99,13 +108,9 @@ def parse_csv_quoted(lines: DataFrame, schema: T.StructType, *, on_error: str =
     typed = [_typed(r, f.dataType) for r, f in zip(raws, schema.fields)]
     n_fields = F.size(F.split(F.col(value_col), ","))  # lower bound only matters for too-few
     staged = lines.select(F.col(value_col), rec.alias("_rec"))
-    projected = staged.select(
-        F.col(value_col),
-        *[t.alias(f.name) for t, f in zip(typed, schema.fields)],
-        _reason(F.when(F.col("_rec").isNull(), F.lit(0)).otherwise(n_fields), len(schema.fields),
-                raws, typed, schema).alias("_reason"),
-    )
-    return _finish(projected, schema, value_col, on_error)
+    reason = _reason(F.when(F.col("_rec").isNull(), F.lit(0)).otherwise(n_fields), len(schema.fields),
+                     raws, typed, schema)
+    return _finish(_project_once(staged, value_col, typed, schema, reason), schema, value_col, on_error)
 
 
 def parse_tag_lines(lines: DataFrame, schema: T.StructType, *, on_error: str = "quarantine",
@@ -123,9 +128,5 @@ def parse_tag_lines(lines: DataFrame, schema: T.StructType, *, on_error: str = "
     middle = F.replace(F.array_join(F.slice(p, 3, F.greatest(n - 3, F.lit(0))), ""), F.lit('"'), F.lit(""))
     raws = [java_trim(field(p, 0)), java_trim(field(p, 1)), java_trim(middle), java_trim(F.element_at(p, -1))]
     typed = [_typed(r, f.dataType) for r, f in zip(raws, schema.fields)]
-    projected = staged.select(
-        F.col(value_col),
-        *[t.alias(f.name) for t, f in zip(typed, schema.fields)],
-        _reason(n, 3, [None] * 4, typed, schema).alias("_reason"),
-    )
+    projected = _project_once(staged, value_col, typed, schema, _reason(n, 3, [None] * 4, typed, schema))
     return _finish(projected, schema, value_col, on_error)

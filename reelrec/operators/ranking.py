@@ -14,19 +14,23 @@ gives the same numbers with balanced tasks:
    a row of weight w expands into w consecutive numbers, in chunks spread over tasks.
 
 Ties on the full key are identical rows, so any order among them is the same answer.
+
+The balanced plan costs a range shuffle and a checkpoint, so it is used only when the
+largest group is above ``max_group_rows`` (one aggregate, one number to the driver);
+below that bound one task per group is fine and Spark's window runs as is.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrec.session import ensure_checkpoint_dir
 
 EXPAND_CHUNK = 1_000_000
+MAX_GROUP_ROWS = 2_000_000   # rows one task may sort for a single group
 
 
 def _partitions(df: DataFrame, requested: int | None) -> int:
@@ -37,19 +41,23 @@ def _partitions(df: DataFrame, requested: int | None) -> int:
 
 
 def row_number_by_group(df: DataFrame, group: list[str], order: list[str], out: str = "rank", *,
-                        partitions: int | None = None, expand_chunk: int = EXPAND_CHUNK) -> DataFrame:
+                        partitions: int | None = None, expand_chunk: int = EXPAND_CHUNK,
+                        max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Exact ``row_number() over (partition by group order by order)``; output = input
     columns + ``out`` (bigint)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     rest = [c for c in df.columns if c not in group and c not in order]
     key = list(group) + list(order) + rest
-    p = _partitions(df, partitions)
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if largest <= max_group_rows:
+        w = Window.partitionBy(*group).orderBy(*order, *rest)
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
 
+    ensure_checkpoint_dir(spark)
+    p = _partitions(df, partitions)
     distinct = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_w"))
-    staged = distinct.repartitionByRange(p, *key).persist(StorageLevel.MEMORY_AND_DISK)
-    parts = staged.checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
-    staged.unpersist()
+    # reliable checkpoint: fixed partitions (and ids) for both uses below, lineage cut
+    parts = distinct.repartitionByRange(p, *key).checkpoint(eager=True).withColumn("_pid", F.spark_partition_id())
 
     totals = parts.groupBy("_pid", *group).agg(F.sum("_w").alias("_t"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -24,10 +24,12 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
 DEFAULT_BUCKETS = 4096
 DEFAULT_EXACT_ROWS = 200_000
 COPIES_PER_TASK = 1_000_000
@@ -38,7 +40,6 @@ class Cut:
     """The k-th key of a total order (normalised keys) and how many rows tie with it."""
     key: tuple
     copies: int          # rows with key == K that belong to the first k
-    below: int           # rows with key < K
 
 
 def _and(conds: list[Column]) -> Column | None:
@@ -71,10 +72,30 @@ def _normalised(df: DataFrame, order: list[str], descending: bool) -> tuple[list
     return keys, integral
 
 
+@dataclass
+class KeyStats:
+    n: int
+    nulls: int
+    lo: float | int | None      # min / max of the first order column (raw values)
+    hi: float | int | None
+
+
+def key_stats(df: DataFrame, order: list[str]) -> KeyStats:
+    """One pass: row count, rows with a null order column, range of the first column."""
+    first = F.col(order[0])
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.count(F.when(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in order]), 1)).alias("nulls"),
+                 F.min(first).alias("lo"), F.max(first).alias("hi")).first()
+    return KeyStats(row["n"], row["nulls"], row["lo"], row["hi"])
+
+
 def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = False,
                buckets: int = DEFAULT_BUCKETS, exact_rows: int = DEFAULT_EXACT_ROWS,
-               total: int | None = None) -> Cut:
-    """Find the k-th (1-based) key in lexicographic ``order`` by histogram refinement."""
+               stats: KeyStats | None = None) -> Cut:
+    """Find the k-th (1-based) key in lexicographic ``order`` by histogram refinement.
+
+    ``df`` is scanned once per level; pass a persisted key projection (and its
+    ``stats``) when selecting several cuts from one input."""
     if k < 1:
         raise ValueError("k must be >= 1")
     keys, integral = _normalised(df, order, descending)
@@ -85,14 +106,12 @@ def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = Fa
     conds: list[Column] = []
     fixed: list = []
     i = 0
-    first = kdf.agg(F.count(F.lit(1)).alias("n"),
-                    F.count(F.when(reduce(lambda a, b: a | b, [c.isNull() for c in cols]), 1)).alias("nulls"),
-                    F.min(cols[0]).alias("lo"), F.max(cols[0]).alias("hi")).first()
-    if first["nulls"]:
-        raise ValueError(f"order columns {order} hold {first['nulls']} null rows; quarantine them first")
-    count, lo, hi = first["n"], first["lo"], first["hi"]
-    if total is not None and total != count:
-        raise RuntimeError("input changed between passes")
+    stats = stats or key_stats(df, order)
+    if stats.nulls:
+        raise ValueError(f"order columns {order} hold {stats.nulls} null rows; quarantine them first")
+    count = stats.n
+    cast = int if integral[0] else float
+    lo, hi = (cast(-stats.hi), cast(-stats.lo)) if descending else (cast(stats.lo), cast(stats.hi))
     if k > count:
         raise ValueError(f"k={k} exceeds row count {count}")
 
@@ -104,9 +123,9 @@ def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = Fa
             conds.append(cols[i] == F.lit(lo))
             i += 1
             if i == len(cols):  # every key column fixed: all candidates are identical
-                return Cut(tuple(fixed), copies=k, below=None)
-            stats = kdf.where(_and(conds)).agg(F.min(cols[i]).alias("lo"), F.max(cols[i]).alias("hi")).first()
-            lo, hi = stats["lo"], stats["hi"]
+                return Cut(tuple(fixed), copies=k)
+            rng = kdf.where(_and(conds)).agg(F.min(cols[i]).alias("lo"), F.max(cols[i]).alias("hi")).first()
+            lo, hi = rng["lo"], rng["hi"]
             continue
         c = cols[i]
         if integral[i]:
@@ -139,7 +158,7 @@ def _finish_exact(kdf: DataFrame, conds: list[Column], cols: list[Column], k: in
            .where(F.col("_rn") == k).first())
     key = tuple(row[f"_k{j}"] for j in range(len(cols)))
     copies = k - row["_rk"] + 1
-    return Cut(key, copies=copies, below=None)
+    return Cut(key, copies=copies)
 
 
 def first_k(df: DataFrame, order: list[str], k: int, *, descending: bool = False,
@@ -180,11 +199,19 @@ def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
     row is left over.  Counts use double arithmetic truncated toward zero, as the
     reference does.
     """
-    n = ratings.count()
-    k_train = int(n * fraction)
-    k_test = int(n * (1 - fraction))
     order, output = list(order), list(output)
-    train = first_k(ratings, order, k_train, output=output, **kw) if k_train else ratings.select(*output).limit(0)
-    test = (first_k(ratings, order, k_test, descending=True, output=output, **kw)
-            if k_test else ratings.select(*output).limit(0))
+    # Selection passes read only the key columns, persisted once for both cuts.
+    keys = ratings.select(*order).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stats = key_stats(keys, order)
+        n = stats.n
+        k_train = int(n * fraction)
+        k_test = int(n * (1 - fraction))
+        cut_train = select_kth(keys, order, k_train, stats=stats, **kw) if k_train else None
+        cut_test = select_kth(keys, order, k_test, descending=True, stats=stats, **kw) if k_test else None
+    finally:
+        keys.unpersist()
+    empty = ratings.select(*output).limit(0)
+    train = first_k(ratings, order, k_train, output=output, cut=cut_train) if k_train else empty
+    test = first_k(ratings, order, k_test, descending=True, output=output, cut=cut_test) if k_test else empty
     return train, test

@@ -62,3 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="reelrec-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def ensure_parallel(df, *keys: str, target: int | None = None):
+    """Hash-repartition ``df`` on ``keys`` only when it has fewer partitions than the
+    session's parallelism (e.g. a file written as one row group).  On a cluster reading
+    many splits this is a no-op; hash (not round-robin) keeps retries deterministic.
+
+    Apply it to scans: asking a plan with exchanges for its partition count would run
+    its broadcast stages."""
+    spark = df.sparkSession
+    want = target or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

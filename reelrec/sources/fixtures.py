@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrec.functions.text import epoch_seconds, to_int_id
+from reelrec.session import ensure_parallel
 from reelrec.sources.tables import read_table
 
 # Fixed values of the fixture mapping.
@@ -33,7 +34,7 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    li = ensure_parallel(t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey")
     od = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     return j.select(
@@ -100,7 +101,7 @@ def tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recommendation requests as wire messages: key = topic, value = user%movie%value."""
-    e = t(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    e = ensure_parallel(t(spark, sf_dir, "events").select("event_id", "user_id", "value"), "event_id")
     return e.select(F.lit(TOPIC).alias("key"),
                     F.concat_ws("%", _s("user_id"), _s(F.col("event_id") % 100), _s("value")).alias("value"))
 

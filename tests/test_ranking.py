@@ -19,11 +19,11 @@ def brute_rank(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16])
-def test_rank_matches_window(spark, parts):
+@pytest.mark.parametrize("parts,bound", [(1, 0), (3, 0), (16, 0), (None, 10**9)])
+def test_rank_matches_window(spark, parts, bound):
     df = fx.ratings(spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=parts).collect())
+    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=parts, max_group_rows=bound).collect())
     assert got == brute_rank(rows)
 
 
@@ -32,7 +32,7 @@ def test_hot_duplicates_chunked(spark):
     rows = [(5, 5, 4.0, 9)] * 57 + [(rnd.randint(1, 4), rnd.randint(1, 4), 4.0, rnd.randint(1, 3)) for _ in range(40)]
     rows += [(rnd.randint(1, 4), rnd.randint(1, 4), 1.0, 1) for _ in range(20)]
     df = spark.createDataFrame(rows, "userId int, movieId int, rating double, ts long")
-    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=4, expand_chunk=10).collect())
+    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=4, expand_chunk=10, max_group_rows=0).collect())
     assert got == brute_rank(rows)
 
 
