@@ -91,13 +91,20 @@ def key_stats(df: DataFrame, order: list[str]) -> KeyStats:
 
 def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = False,
                buckets: int = DEFAULT_BUCKETS, exact_rows: int = DEFAULT_EXACT_ROWS,
-               stats: KeyStats | None = None) -> Cut:
+               stats: KeyStats | None = None, persist: bool = True) -> Cut:
     """Find the k-th (1-based) key in lexicographic ``order`` by histogram refinement.
 
-    ``df`` is scanned once per level; pass a persisted key projection (and its
-    ``stats``) when selecting several cuts from one input."""
+    ``df`` is scanned once per level, so its key columns are persisted for the duration
+    (``persist=False`` when the caller already holds a persisted key projection)."""
     if k < 1:
         raise ValueError("k must be >= 1")
+    if persist:
+        keys = df.select(*order).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return select_kth(keys, order, k, descending=descending, buckets=buckets, exact_rows=exact_rows,
+                              stats=stats, persist=False)
+        finally:
+            keys.unpersist()
     keys, integral = _normalised(df, order, descending)
     names = [f"_k{i}" for i in range(len(keys))]
     kdf = df.select(*[k_.alias(n) for k_, n in zip(keys, names)])
@@ -207,8 +214,9 @@ def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
         n = stats.n
         k_train = int(n * fraction)
         k_test = int(n * (1 - fraction))
-        cut_train = select_kth(keys, order, k_train, stats=stats, **kw) if k_train else None
-        cut_test = select_kth(keys, order, k_test, descending=True, stats=stats, **kw) if k_test else None
+        cut_train = select_kth(keys, order, k_train, stats=stats, persist=False, **kw) if k_train else None
+        cut_test = (select_kth(keys, order, k_test, descending=True, stats=stats, persist=False, **kw)
+                    if k_test else None)
     finally:
         keys.unpersist()
     empty = ratings.select(*output).limit(0)

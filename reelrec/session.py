@@ -73,6 +73,7 @@ def ensure_parallel(df, *keys: str, target: int | None = None):
     its broadcast stages."""
     spark = df.sparkSession
     want = target or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()  # file splits; no job
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)

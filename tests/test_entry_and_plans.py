@@ -82,3 +82,17 @@ def test_jobs_end_to_end(spark, scratch):
     assert spark.table("recs_all").groupBy("userId").count().where("count <> 5").count() == 0
     one = jobs.serve_one(spark, res.best["model_path"], "new_trainingdata", "new_movies", 3)
     assert one.count() == 5 and one.where(F.col("title").isNull()).count() == 0
+
+
+def test_cli_split_and_popular(spark):
+    from reelrec.plans import cli
+    from reelrec.sinks import tables
+    tables.publish(fx.ratings(spark, SF_SMALL), "cli_ratings")
+    tables.publish(fx.movies(spark, SF_SMALL), "cli_movies")
+    cli.main(["split", "--ratings", "cli_ratings", "--train", "cli_train", "--test", "cli_test"])
+    n = spark.table("cli_ratings").count()
+    assert spark.table("cli_train").count() == int(n * 0.6)
+    cli.main(["popular", "--train", "cli_train", "--movies", "cli_movies", "--out", "cli_top5"])
+    assert spark.table("cli_top5").count() == 5
+    args = cli.parser().parse_args(["ingest", "--ratings.dat", "/x", "--prefix", "new_"])
+    assert args.ratings_dat == "/x" and args.prefix == "new_"
