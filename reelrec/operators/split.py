@@ -21,7 +21,7 @@ counts.  No shuffle of rows, no single-task merge, same answer on any partitioni
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -89,83 +89,145 @@ def key_stats(df: DataFrame, order: list[str]) -> KeyStats:
     return KeyStats(row["n"], row["nulls"], row["lo"], row["hi"])
 
 
-def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = False,
-               buckets: int = DEFAULT_BUCKETS, exact_rows: int = DEFAULT_EXACT_ROWS,
-               stats: KeyStats | None = None, persist: bool = True) -> Cut:
-    """Find the k-th (1-based) key in lexicographic ``order`` by histogram refinement.
-
-    ``df`` is scanned once per level, so its key columns are persisted for the duration
-    (``persist=False`` when the caller already holds a persisted key projection)."""
-    if k < 1:
-        raise ValueError("k must be >= 1")
+@dataclass(eq=False)
+class _Target:
+    """Search state of one cut: candidates = rows matching ``conds``; the cut is the
+    ``k``-th of them; columns before ``i`` are fixed, column ``i`` spans [lo, hi]."""
+    k: int
+    desc: bool
+    count: int
+    lo: float | int
+    hi: float | int
+    conds: list = field(default_factory=list)
+    fixed: list = field(default_factory=list)
+    i: int = 0
+    cut: Cut | None = None
+
+
+def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = False, **kw) -> Cut:
+    """Find the k-th (1-based) key of ``df`` in lexicographic ``order``."""
+    return select_kths(df, order, [(k, descending)], **kw)[0]
+
+
+def select_kths(df: DataFrame, order: list[str], targets: list[tuple[int, bool]], *,
+                buckets: int = DEFAULT_BUCKETS, exact_rows: int = DEFAULT_EXACT_ROWS,
+                stats: KeyStats | None = None, persist: bool = True) -> list[Cut]:
+    """Several cuts ``(k, descending)`` of one input by histogram refinement, in lockstep:
+    each round runs at most three jobs (ranges, histograms, exact finishes) whatever the
+    number of cuts, each a tagged union over the key columns.  The key columns are
+    persisted for the duration (``persist=False`` when the caller already holds them)."""
+    keys = df.select(*order)
     if persist:
-        keys = df.select(*order).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return select_kth(keys, order, k, descending=descending, buckets=buckets, exact_rows=exact_rows,
-                              stats=stats, persist=False)
-        finally:
+        keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _select(keys, order, targets, buckets, exact_rows, stats)
+    finally:
+        if persist:
             keys.unpersist()
-    keys, integral = _normalised(df, order, descending)
-    names = [f"_k{i}" for i in range(len(keys))]
-    kdf = df.select(*[k_.alias(n) for k_, n in zip(keys, names)])
-    cols = [F.col(n) for n in names]
 
-    conds: list[Column] = []
-    fixed: list = []
-    i = 0
-    stats = stats or key_stats(df, order)
+
+def _select(keys: DataFrame, order: list[str], targets: list[tuple[int, bool]], buckets: int,
+            exact_rows: int, stats: KeyStats | None) -> list[Cut]:
+    names = [f"_k{i}" for i in range(len(order))]
+    cols = [F.col(n) for n in names]
+    views, integral = {}, None
+    for desc in {d for _, d in targets}:
+        exprs, integral = _normalised(keys, order, desc)
+        views[desc] = keys.select(*[e.alias(n) for e, n in zip(exprs, names)])
+    stats = stats or key_stats(keys, order)
     if stats.nulls:
         raise ValueError(f"order columns {order} hold {stats.nulls} null rows; quarantine them first")
-    count = stats.n
     cast = int if integral[0] else float
-    lo, hi = (cast(-stats.hi), cast(-stats.lo)) if descending else (cast(stats.lo), cast(stats.hi))
-    if k > count:
-        raise ValueError(f"k={k} exceeds row count {count}")
-
-    while True:
-        if count <= exact_rows:
-            return _finish_exact(kdf, conds, cols, k, count)
-        if lo == hi:
-            fixed.append(lo)
-            conds.append(cols[i] == F.lit(lo))
-            i += 1
-            if i == len(cols):  # every key column fixed: all candidates are identical
-                return Cut(tuple(fixed), copies=k)
-            rng = kdf.where(_and(conds)).agg(F.min(cols[i]).alias("lo"), F.max(cols[i]).alias("hi")).first()
-            lo, hi = rng["lo"], rng["hi"]
-            continue
-        c = cols[i]
-        if integral[i]:
-            width = max(1, math.ceil((hi - lo + 1) / buckets))
-            bucket = F.floor((c - F.lit(lo)) / F.lit(width)).cast("long")
-        else:
-            width = (hi - lo) / buckets
-            bucket = F.least(F.floor((c - F.lit(lo)) / F.lit(width)).cast("long"), F.lit(buckets - 1))
-        cand = kdf.where(_and(conds)) if conds else kdf
-        hist = (cand.groupBy(bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"))
-                .collect())
-        acc = 0
-        for row in sorted(hist, key=lambda r: r["b"]):
-            if acc + row["n"] >= k:
-                k -= acc
-                count, lo, hi = row["n"], row["lo"], row["hi"]
-                conds.append(c.between(F.lit(lo), F.lit(hi)))
+    state = []
+    for k, desc in targets:
+        if not 1 <= k <= stats.n:
+            raise ValueError(f"k={k} must be in 1..{stats.n}")
+        lo, hi = (cast(-stats.hi), cast(-stats.lo)) if desc else (cast(stats.lo), cast(stats.hi))
+        state.append(_Target(k, desc, stats.n, lo, hi))
+
+    def tagged(ts: list[tuple[int, _Target]], build) -> DataFrame:
+        parts = []
+        for j, t in ts:
+            cand = views[t.desc].where(_and(t.conds)) if t.conds else views[t.desc]
+            parts.append(build(cand, t, j).withColumn("_t", F.lit(j)))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def value_cols(t: _Target) -> list[Column]:
+        # exact values whatever the type: longs and doubles in separate columns
+        c = cols[t.i]
+        if integral[t.i]:
+            return [c.alias("_vl"), F.lit(None).cast("double").alias("_vd")]
+        return [F.lit(None).cast("long").alias("_vl"), c.alias("_vd")]
+
+    def bounds(r, t: _Target) -> tuple:
+        return (r["lo_l"], r["hi_l"]) if integral[t.i] else (r["lo_d"], r["hi_d"])
+
+    minmax = [F.min("_vl").alias("lo_l"), F.max("_vl").alias("hi_l"),
+              F.min("_vd").alias("lo_d"), F.max("_vd").alias("hi_d")]
+
+    while any(t.cut is None for t in state):
+        # 1. single-valued column: fix it and read the range of the next column (one job)
+        while True:
+            fixing = [(j, t) for j, t in enumerate(state) if t.cut is None and t.count > exact_rows and t.lo == t.hi]
+            if not fixing:
                 break
-            acc += row["n"]
-        else:  # pragma: no cover - counts are consistent within one input
-            raise RuntimeError("histogram did not reach k; input changed between passes")
-
-
-def _finish_exact(kdf: DataFrame, conds: list[Column], cols: list[Column], k: int, count: int) -> Cut:
-    """Bounded candidate set (<= exact_rows): rank it in one window and read row k."""
-    cand = kdf.where(_and(conds)) if conds else kdf
-    w = Window.orderBy(*cols)
-    row = (cand.select(*cols, F.row_number().over(w).alias("_rn"), F.rank().over(w).alias("_rk"))
-           .where(F.col("_rn") == k).first())
-    key = tuple(row[f"_k{j}"] for j in range(len(cols)))
-    copies = k - row["_rk"] + 1
-    return Cut(key, copies=copies)
+            nxt = []
+            for j, t in fixing:
+                t.fixed.append(t.lo)
+                t.conds.append(cols[t.i] == F.lit(t.lo))
+                t.i += 1
+                if t.i == len(cols):      # every key column fixed: all candidates are identical
+                    t.cut = Cut(tuple(t.fixed), copies=t.k)
+                else:
+                    nxt.append((j, t))
+            if nxt:
+                rng = tagged(nxt, lambda c, t, j: c.select(*value_cols(t)))
+                for r in rng.groupBy("_t").agg(*minmax).collect():
+                    t = state[r["_t"]]
+                    t.lo, t.hi = bounds(r, t)
+        # 2. bounded candidate sets: one window over all of them, read row k of each (one job)
+        exact = [(j, t) for j, t in enumerate(state) if t.cut is None and t.count <= exact_rows]
+        if exact:
+            w = Window.partitionBy("_t").orderBy(*cols)
+            ranked = tagged(exact, lambda c, t, j: c.select(*cols)).select(
+                "_t", *cols, F.row_number().over(w).alias("_rn"), F.rank().over(w).alias("_rk"))
+            want = F.lit(False)
+            for j, t in exact:
+                want = want | ((F.col("_t") == j) & (F.col("_rn") == t.k))
+            for r in ranked.where(want).collect():
+                t = state[r["_t"]]
+                t.cut = Cut(tuple(r[n] for n in names), copies=t.k - r["_rk"] + 1)
+        # 3. large candidate sets: one histogram per cut on its current column (one job)
+        wide = [(j, t) for j, t in enumerate(state) if t.cut is None and t.count > exact_rows and t.lo != t.hi]
+        if not wide:
+            continue
+        bucket_of = {}
+        for j, t in wide:
+            c = cols[t.i]
+            if integral[t.i]:
+                width = max(1, math.ceil((t.hi - t.lo + 1) / buckets))
+                bucket_of[j] = F.floor((c - F.lit(t.lo)) / F.lit(width)).cast("long")
+            else:
+                width = (t.hi - t.lo) / buckets
+                bucket_of[j] = F.least(F.floor((c - F.lit(t.lo)) / F.lit(width)).cast("long"), F.lit(buckets - 1))
+        hist = tagged(wide, lambda c, t, j: c.select(bucket_of[j].alias("_b"), *value_cols(t)))
+        rows = hist.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("n"), *minmax).collect()
+        for j, t in wide:
+            acc = 0
+            for r in sorted((r for r in rows if r["_t"] == j), key=lambda r: r["_b"]):
+                if acc + r["n"] >= t.k:
+                    t.k -= acc
+                    t.count = r["n"]
+                    t.lo, t.hi = bounds(r, t)
+                    t.conds.append(cols[t.i].between(F.lit(t.lo), F.lit(t.hi)))
+                    break
+                acc += r["n"]
+            else:  # pragma: no cover - counts are consistent within one input
+                raise RuntimeError("histogram did not reach k; input changed between passes")
+    return [t.cut for t in state]
 
 
 def first_k(df: DataFrame, order: list[str], k: int, *, descending: bool = False,
@@ -186,9 +248,13 @@ def first_k(df: DataFrame, order: list[str], k: int, *, descending: bool = False
     if cut is None:
         cut = select_kth(df, order, k, descending=descending, **kw)
     keys, _ = _normalised(df, order, descending)
-    below = df.where(_lex_less(keys, cut.key)).select(*output)
-    spark = df.sparkSession
     orig = {name: (-v if descending else v) for name, v in zip(order, cut.key)}
+    # the raw first-key bound is implied by the lexicographic test; stated on the stored
+    # column it can reach the Parquet scan (or the join side that holds the column)
+    lead = F.col(order[0])
+    bound = lead >= F.lit(orig[order[0]]) if descending else lead <= F.lit(orig[order[0]])
+    below = df.where(bound & _lex_less(keys, cut.key)).select(*output)
+    spark = df.sparkSession
     parts = max(1, math.ceil(cut.copies / COPIES_PER_TASK))
     ties = spark.range(0, cut.copies, 1, parts).select(
         *[F.lit(orig[c]).cast(schema[c].dataType).alias(c) for c in output])
@@ -214,9 +280,9 @@ def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
         n = stats.n
         k_train = int(n * fraction)
         k_test = int(n * (1 - fraction))
-        cut_train = select_kth(keys, order, k_train, stats=stats, persist=False, **kw) if k_train else None
-        cut_test = (select_kth(keys, order, k_test, descending=True, stats=stats, persist=False, **kw)
-                    if k_test else None)
+        wanted = [(k, d) for k, d in ((k_train, False), (k_test, True)) if k]
+        cuts = dict(zip(wanted, select_kths(keys, order, wanted, stats=stats, persist=False, **kw)))
+        cut_train, cut_test = cuts.get((k_train, False)), cuts.get((k_test, True))
     finally:
         keys.unpersist()
     empty = ratings.select(*output).limit(0)
