@@ -54,10 +54,6 @@ def _lex_less(cols: list[Column], vals: tuple) -> Column:
     return expr
 
 
-def _lex_equal(cols: list[Column], vals: tuple) -> Column:
-    return _and([c == F.lit(v) for c, v in zip(cols, vals)])
-
-
 def _normalised(df: DataFrame, order: list[str], descending: bool) -> tuple[list[Column], list[bool]]:
     """Key expressions that sort ascending in the wanted direction (negated for desc)."""
     keys, integral = [], []

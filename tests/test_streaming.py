@@ -69,3 +69,23 @@ def test_available_now_restart_and_replay(spark, scratch):
     step(parts[3], 7)
     second = sorted(tuple(r) for r in spark.read.parquet(os.path.join(cfg.out_path, "batch_id=7")).collect())
     assert first == second and len(first) == 5 * len(_users(parts[3]))
+
+
+def test_processing_time_trigger(spark, scratch):
+    src = os.path.join(scratch, "src")
+    router.replay_to_files(fx.requests(spark, SF_SMALL).coalesce(1), src)
+    cfg = _cfg(spark, scratch)
+    q = router.start_router(router.file_request_stream(spark, src), cfg, os.path.join(scratch, "ck"),
+                            trigger="1 second", name="reelrec_router_test")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(cfg.out_path).select("userId").distinct().count() == len(
+        _users(fx.requests(spark, SF_SMALL)))
+
+
+def test_kafka_options():
+    from reelrec.sources import kafka
+    opts = kafka.kafka_write_options("h1:9092,h2:9092", "real-time")
+    assert opts == {"kafka.bootstrap.servers": "h1:9092,h2:9092", "topic": "real-time", "kafka.acks": "all"}
