@@ -4,11 +4,12 @@
 computes for an ALS model, written for any pair of factor tables.  Exact top-k must score
 every (user, item) pair, so the work is cut into block pairs:
 
-* users and items are hashed into blocks of about ``block_rows`` vectors; a block is one
-  row holding an id array and a feature matrix, so its size is bounded by construction;
+* users and items are hashed into blocks of about ``block_bytes`` of features; a block is
+  one row holding an id array and a feature matrix, so its size is bounded by construction;
 * user blocks are replicated once per item block and joined on the item block id: a
   work unit is one (user block, item block) pair, spread over tasks by the join;
-* one float64 matrix product per pair (numpy inside ``mapInPandas``), and only the k best
+* float64 matrix products per pair (numpy inside ``mapInPandas``), a chunk of users at a
+  time so at most ``SCORE_CELLS`` scores are held, and a vectorised top-k: only the k best
   items per user leave the task;
 * a final ``row_number() <= k`` per user (a window-group limit over at most
   ``item blocks * k`` rows per user) merges the per-block winners.
@@ -26,7 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK_ROWS = 4096
+DEFAULT_BLOCK_BYTES = 16 << 20      # feature bytes per block (float32 vectors)
+SCORE_CELLS = 4 << 20               # scores held at once per task: 4M doubles = 32 MB
 PAIR_SCHEMA = "userId int, movieId int, score double"
 
 
@@ -38,44 +40,61 @@ def _blocks(factors: DataFrame, n_blocks: int, prefix: str) -> DataFrame:
                  F.collect_list("features").alias(f"{prefix}_feat")))
 
 
+def top_k_rows(scores: np.ndarray, item_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``scores`` (users x items): column indexes and scores of the k best,
+    best first, equal scores by smaller item id.  Vectorised; only rows where more than k
+    items tie at the k-th score take an exact per-row path."""
+    m, n = scores.shape
+    kk = min(k, n)
+    if kk == n:
+        idx = np.tile(np.arange(n), (m, 1))
+    else:
+        idx = np.argpartition(-scores, kk - 1, axis=1)[:, :kk]
+    vals = np.take_along_axis(scores, idx, axis=1)
+    kth = vals.min(axis=1)
+    tied = np.nonzero((scores >= kth[:, None]).sum(axis=1) > kk)[0]
+    for r in tied:
+        cand = np.nonzero(scores[r] >= kth[r])[0]
+        pick = cand[np.lexsort((item_ids[cand], -scores[r, cand]))[:kk]]
+        idx[r], vals[r] = pick, scores[r, pick]
+    order = np.lexsort((item_ids[idx], -vals), axis=1)
+    idx = np.take_along_axis(idx, order, axis=1)
+    return idx, np.take_along_axis(vals, order, axis=1)
+
+
 def _topk_in_block(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out_u, out_i, out_s = [], [], []
             for u_ids, u_feat, i_ids, i_feat in zip(pdf["u_ids"], pdf["u_feat"], pdf["i_ids"], pdf["i_feat"]):
                 uid = np.asarray(u_ids, dtype=np.int64)
                 iid = np.asarray(i_ids, dtype=np.int64)
-                um = np.stack([np.asarray(v, dtype=np.float64) for v in u_feat])
                 im = np.stack([np.asarray(v, dtype=np.float64) for v in i_feat])
-                scores = um @ im.T                      # |users| x |items|
-                kk = min(k, len(iid))
-                # candidates: everything tied with or above the k-th best score
-                part = np.partition(scores, scores.shape[1] - kk, axis=1)[:, scores.shape[1] - kk]
-                for r in range(len(uid)):
-                    cand = np.nonzero(scores[r] >= part[r])[0]
-                    order = np.lexsort((iid[cand], -scores[r, cand]))[:kk]
-                    sel = cand[order]
-                    out_u.append(np.full(len(sel), uid[r], dtype=np.int64))
-                    out_i.append(iid[sel])
-                    out_s.append(scores[r, sel])
-            if out_u:
-                yield pd.DataFrame({"userId": np.concatenate(out_u).astype(np.int32),
-                                    "movieId": np.concatenate(out_i).astype(np.int32),
-                                    "score": np.concatenate(out_s)})
+                step = max(1, SCORE_CELLS // max(1, len(iid)))
+                for r0 in range(0, len(uid), step):
+                    um = np.stack([np.asarray(v, dtype=np.float64) for v in u_feat[r0:r0 + step]])
+                    idx, vals = top_k_rows(um @ im.T, iid, k)
+                    yield pd.DataFrame({"userId": np.repeat(uid[r0:r0 + step], idx.shape[1]).astype(np.int32),
+                                        "movieId": iid[idx].ravel().astype(np.int32),
+                                        "score": vals.ravel()})
     return run
 
 
 def factor_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, *,
-                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                 block_bytes: int = DEFAULT_BLOCK_BYTES, block_rows: int | None = None) -> DataFrame:
     """k best items per user by dot product; ties broken by the smaller item id.
 
     Inputs: ``id int, features array<float|double>`` with one row per id.
-    Output: ``userId int, movieId int, score double``.
+    Output: ``userId int, movieId int, score double``.  Block size comes from the vector
+    dimension (``block_bytes`` of features per block) unless ``block_rows`` is given.
     """
-    n_users = user_factors.count()
-    n_items = item_factors.count()
-    ub = max(1, math.ceil(n_users / block_rows))
-    ib = max(1, math.ceil(n_items / block_rows))
+    sizes = (user_factors.select(F.lit(0).alias("_s"), F.size("features").alias("_d"))
+             .unionByName(item_factors.select(F.lit(1).alias("_s"), F.size("features").alias("_d")))
+             .groupBy("_s").agg(F.count(F.lit(1)).alias("n"), F.max("_d").alias("d")).collect())
+    n = {r["_s"]: r["n"] for r in sizes}
+    dim = max([r["d"] for r in sizes] + [1])
+    rows = block_rows or max(1, block_bytes // (4 * dim))
+    ub = max(1, math.ceil(n.get(0, 0) / rows))
+    ib = max(1, math.ceil(n.get(1, 0) / rows))
     users = _blocks(user_factors, ub, "u")
     items = _blocks(item_factors, ib, "i")
     pairs = (users.select("u_ids", "u_feat", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
