@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 
 from reelrec.operators.popularity import MAX_POPULAR_K
 
+# Fixed value: directory partitions of a stored recommendation table (see ``user_bucket``).
+USER_BUCKETS = 256
+BUCKET_COL = "ubucket"
+
+
+def user_bucket(user: F.Column | str = "userId", buckets: int = USER_BUCKETS) -> F.Column:
+    """Bucket of a user id.  Serving writes recommendations partitioned by it, so a batch
+    of a few users reads only their buckets (dynamic partition pruning on the join)."""
+    u = F.col(user) if isinstance(user, str) else user
+    return F.pmod(F.xxhash64(u), F.lit(buckets)).cast("int")
+
 
 def request_users(decoded: DataFrame) -> DataFrame:
     """Distinct requesting users of a batch."""
@@ -55,7 +66,15 @@ def route(users: DataFrame, recommendations: DataFrame, popular: DataFrame,
 
     ``recommendations``: ``userId, movieId, <score>``; output ``userId, movieId, rating``.
     """
-    recs = recommendations.select("userId", "movieId", F.col(score).cast("double").alias("rating"))
-    served = users.join(recs, "userId", "inner")
-    rest = new_users(users, recs.select("userId").distinct())
+    keys = ["userId"]
+    if BUCKET_COL in recommendations.columns:
+        # Stored by user bucket: read only the buckets this batch touches.  The bucket list
+        # is at most USER_BUCKETS values, so it is a bounded partition filter, not data.
+        keys = [BUCKET_COL, "userId"]
+        users = users.select("userId", user_bucket("userId").alias(BUCKET_COL))
+        touched = sorted(r[0] for r in users.select(BUCKET_COL).distinct().limit(USER_BUCKETS + 1).collect())
+        recommendations = recommendations.where(F.col(BUCKET_COL).isin(touched))
+    recs = recommendations.select(*keys, "movieId", F.col(score).cast("double").alias("rating"))
+    served = users.join(recs, keys, "inner").select("userId", "movieId", "rating")
+    rest = users.join(recs.select(*keys), keys, "left_anti").select("userId")
     return served.unionByName(fallback_popular(rest, popular, movies))

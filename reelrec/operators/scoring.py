@@ -20,13 +20,19 @@ No (user, item) row is ever materialised except the k winners per block.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The block scorer runs in Python workers; ship this module's functions by value so
+# executors need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DEFAULT_BLOCK_BYTES = 16 << 20      # feature bytes per block (float32 vectors)
 SCORE_CELLS = 4 << 20               # scores held at once per task: 4M doubles = 32 MB
 PAIR_SCHEMA = "userId int, movieId int, score double"

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reelrec import schemas
 from reelrec.functions import parse
-from reelrec.operators import als, popularity, split
+from reelrec.operators import als, popularity, routing, split
 from reelrec.sinks import tables
 from reelrec.sinks.jdbc import jdbc_append
 from reelrec.sources.text import read_lines
@@ -95,10 +95,12 @@ def train(spark: SparkSession, train_table: str, test_table: str, model_root: st
 
 
 def serve_all(spark: SparkSession, model_path: str, out_table: str, k: int = 5, jdbc: dict | None = None) -> None:
-    recs = als.recommend_all_users(als.load(model_path), k)
-    tables.publish(recs, out_table)
+    """All-user top-k, stored partitioned by user bucket so stream batches prune files."""
+    recs = als.recommend_all_users(als.load(model_path), k).withColumn(
+        routing.BUCKET_COL, routing.user_bucket("userId"))
+    recs.write.mode("overwrite").format("parquet").partitionBy(routing.BUCKET_COL).saveAsTable(out_table)
     if jdbc:
-        jdbc_append(spark.table(out_table), jdbc["url"], jdbc["table"], jdbc.get("properties"),
+        jdbc_append(spark.table(out_table).drop(routing.BUCKET_COL), jdbc["url"], jdbc["table"], jdbc.get("properties"),
                     max_connections=jdbc.get("max_connections"))
 
 

@@ -89,3 +89,21 @@ def test_kafka_options():
     from reelrec.sources import kafka
     opts = kafka.kafka_write_options("h1:9092,h2:9092", "real-time")
     assert opts == {"kafka.bootstrap.servers": "h1:9092,h2:9092", "topic": "real-time", "kafka.acks": "all"}
+
+
+def test_bucketed_recommendations_prune_partitions(spark, scratch):
+    from reelrec.operators import routing
+    users, items = fx.factors(spark, SF_SMALL)
+    recs_path = os.path.join(scratch, "recs_by_bucket")
+    (scoring.factor_top_k(users, items, 5).withColumn(routing.BUCKET_COL, routing.user_bucket("userId"))
+     .write.partitionBy(routing.BUCKET_COL).parquet(recs_path))
+    recs = spark.read.parquet(recs_path)
+    pop = popularity.popular_top_k(fx.ratings(spark, SF_SMALL), fx.movies(spark, SF_SMALL), 5)
+    batch = spark.createDataFrame([(3,), (7,), (120,)], "userId int")
+    out = routing.route(batch, recs, pop)
+    rows = sorted(tuple(r) for r in out.collect())
+    assert len(rows) == 15 and {r[0] for r in rows} == {3, 7, 120}
+    assert all(r[2] == 0.0 for r in rows if r[0] == 120)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    touched = sorted({r[0] for r in batch.select(routing.user_bucket("userId")).collect()})
+    assert "IN (" + ",".join(str(b) for b in touched) + ")" in plan    # static partition pruning
