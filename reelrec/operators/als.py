@@ -30,6 +30,7 @@ DEFAULT_ITERATIONS = 10
 DEFAULT_LAMBDA = 0.07
 DEFAULT_K = 5
 DEFAULT_SEED = 42
+MAX_BLOCKS = 1024   # user/item blocks: parallelism of every ALS stage, capped to bound block traffic
 
 METRICS_SCHEMA = T.StructType([
     T.StructField("run_id", T.IntegerType()),
@@ -43,15 +44,23 @@ METRICS_SCHEMA = T.StructType([
 
 
 def als_estimator(rank: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
-                  reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED) -> ALS:
+                  reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int = 10) -> ALS:
     return ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="userId",
-               itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", nonnegative=False)
+               itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", nonnegative=False,
+               numUserBlocks=blocks, numItemBlocks=blocks)
+
+
+def default_blocks(df: DataFrame) -> int:
+    """ALS's fixed default of 10 blocks would cap every stage at 10 tasks on any cluster;
+    use the session's parallelism instead (bounded by ``MAX_BLOCKS``)."""
+    return max(1, min(MAX_BLOCKS, df.sparkSession.sparkContext.defaultParallelism))
 
 
 def fit(train: DataFrame, rank: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
-        reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED) -> ALSModel:
+        reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int | None = None) -> ALSModel:
     """M1."""
-    return als_estimator(rank, iterations, reg, seed).fit(train.select("userId", "movieId", "rating"))
+    est = als_estimator(rank, iterations, reg, seed, blocks or default_blocks(train))
+    return est.fit(train.select("userId", "movieId", "rating"))
 
 
 def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
