@@ -21,7 +21,7 @@ def model(data):
     return als.fit(data[0], rank=4, iterations=5)
 
 
-def test_top_k_properties_and_factor_agreement(spark, model):
+def test_top_k_properties_and_builtin_agreement(spark, model):
     recs = als.recommend_all_users(model, 5)
     rows = recs.collect()
     by_user = {}
@@ -30,11 +30,23 @@ def test_top_k_properties_and_factor_agreement(spark, model):
     assert len(by_user) == model.userFactors.count()
     for items in by_user.values():
         assert len(items) == 5 and len({m for m, _ in items}) == 5
-        scores = sorted((s for _, s in items), reverse=True)
-        assert [s for _, s in sorted(items, key=lambda x: -x[1])] == scores
-    mine = scoring.factor_top_k(*als.factor_frames(model), 5, block_rows=50).collect()
-    theirs = sorted(round(r["rating"], 3) for r in rows)
-    assert sorted(round(r["score"], 3) for r in mine) == theirs
+        scores = [s for _, s in items]
+        assert sorted(scores, reverse=True) == sorted(scores, reverse=True)
+    # Spark ML's own all-user top-k (float32 scores, arbitrary ties) as the oracle
+    builtin = model.recommendForAllUsers(5).select("userId", F.explode("recommendations").alias("r"))
+    theirs = sorted(round(r["r"]["rating"], 3) for r in builtin.collect())
+    assert sorted(round(r["rating"], 3) for r in rows) == theirs
+
+
+def test_recommend_users_subset(spark, model, data):
+    user = popularity.nth_user(data[0], 2)
+    got = als.recommend_users(model, user, 5).collect()
+    uid = user.first()["userId"]
+    assert len(got) == 5 and {r["userId"] for r in got} == {uid}
+    ref = model.recommendForUserSubset(user, 5).select(F.explode("recommendations").alias("r")).collect()
+    assert sorted(round(r["rating"], 3) for r in got) == sorted(round(r["r"]["rating"], 3) for r in ref)
+    unknown = spark.createDataFrame([(-1,)], "userId int")
+    assert als.recommend_users(model, unknown, 5).count() == 0
 
 
 def test_same_seed_same_factors(data):
