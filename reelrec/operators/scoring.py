@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_BLOCK_BYTES = 16 << 20      # feature bytes per block (float32 vectors)
+MIN_USER_BLOCK_ROWS = 256           # smallest user block worth a task of its own
+BROADCAST_ITEM_BYTES = 64 << 20     # a single item block up to this size is broadcast
 SCORE_CELLS = 4 << 20               # scores held at once per task: 4M doubles = 32 MB
 PAIR_SCHEMA = "userId int, movieId int, score double"
 
@@ -99,13 +101,24 @@ def factor_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, *
     n = {r["_s"]: r["n"] for r in sizes}
     dim = max([r["d"] for r in sizes] + [1])
     rows = block_rows or max(1, block_bytes // (4 * dim))
-    ub = max(1, math.ceil(n.get(0, 0) / rows))
-    ib = max(1, math.ceil(n.get(1, 0) / rows))
-    users = _blocks(user_factors, ub, "u")
+    n_users, n_items = n.get(0, 0), n.get(1, 0)
+    cores = user_factors.sparkSession.sparkContext.defaultParallelism
+    # enough user blocks to keep every core busy, none smaller than MIN_USER_BLOCK_ROWS
+    ub = max(math.ceil(n_users / rows), min(cores, math.ceil(n_users / MIN_USER_BLOCK_ROWS)), 1)
+    ib = max(1, math.ceil(n_items / rows))
+    # one user block per task: range bounds over the ids 0..ub-1 give each its own
+    # partition (hash would collide), and an explicit count is not coalesced away by AQE
+    users = _blocks(user_factors, ub, "u").repartitionByRange(ub, "_ub")
     items = _blocks(item_factors, ib, "i")
-    pairs = (users.select("u_ids", "u_feat", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
-             .join(items, "_ib")
-             .select("u_ids", "u_feat", "i_ids", "i_feat"))
+    if ib == 1 and n_items * dim * 4 <= BROADCAST_ITEM_BYTES:
+        # the whole catalogue is one block of checked size: ship it once per executor
+        pairs = users.withColumn("_ib", F.lit(0)).join(F.broadcast(items), "_ib")
+    else:
+        pairs = (users.select("_ub", "u_ids", "u_feat", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
+                 .join(items, "_ib"))
+        if ib < cores:   # few item blocks: spread the pairs instead of one task per item block
+            pairs = pairs.repartition(ub * ib, "_ub", "_ib")
+    pairs = pairs.select("u_ids", "u_feat", "i_ids", "i_feat")
     partial = pairs.mapInPandas(_topk_in_block(k), PAIR_SCHEMA)
     if ib == 1:
         return partial
