@@ -112,6 +112,8 @@ def select_kths(df: DataFrame, order: list[str], targets: list[tuple[int, bool]]
     each round runs at most three jobs (ranges, histograms, exact finishes) whatever the
     number of cuts, each a tagged union over the key columns.  The key columns are
     persisted for the duration (``persist=False`` when the caller already holds them)."""
+    if not targets:
+        return []
     keys = df.select(*order)
     if persist:
         keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
@@ -240,7 +242,7 @@ def first_k(df: DataFrame, order: list[str], k: int, *, descending: bool = False
                          "could differ in them")
     schema = df.schema
     if k <= 0:
-        return df.select(*output).limit(0)
+        return df.select(*output).where(F.lit(False))
     if cut is None:
         cut = select_kth(df, order, k, descending=descending, **kw)
     keys, _ = _normalised(df, order, descending)
@@ -281,7 +283,7 @@ def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
         cut_train, cut_test = cuts.get((k_train, False)), cuts.get((k_test, True))
     finally:
         keys.unpersist()
-    empty = ratings.select(*output).limit(0)
+    empty = ratings.select(*output).where(F.lit(False))
     train = first_k(ratings, order, k_train, output=output, cut=cut_train) if k_train else empty
     test = first_k(ratings, order, k_test, descending=True, output=output, cut=cut_test) if k_test else empty
     return train, test

@@ -76,3 +76,15 @@ def test_k_zero_and_all(spark, ratings):
     assert split.first_k(ratings, ORDER, 0).count() == 0
     assert split.first_k(ratings, ORDER, n, output=ORDER).count() == n
     assert ratings.where(F.col("ts").isNull()).count() == 0
+
+
+def test_empty_and_single_row_inputs(spark):
+    empty = spark.createDataFrame([], "userId int, movieId int, rating double, ts long")
+    tr, te = split.chronological_split(empty, 0.6)
+    assert tr.count() == 0 and te.count() == 0
+    one = spark.createDataFrame([(1, 2, 3.0, 4)], "userId int, movieId int, rating double, ts long")
+    tr, te = split.chronological_split(one, 0.6)
+    assert tr.count() == 0 and te.count() == 0          # int(0.6) = int(0.4) = 0, as the reference
+    two = spark.createDataFrame([(1, 2, 3.0, 4), (1, 3, 3.0, 5)], "userId int, movieId int, rating double, ts long")
+    tr, te = split.chronological_split(two, 0.6)
+    assert as_rows(tr) == [(1, 2, 3.0)] and te.count() == 0
