@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 DEFAULT_BUCKETS = 4096
 DEFAULT_EXACT_ROWS = 200_000
 COPIES_PER_TASK = 1_000_000
+MAX_COARSE_GROUPS = 100_000   # first-level buckets the driver accepts (else plain stats)
 
 
 @dataclass
@@ -100,6 +101,34 @@ class _Target:
     cut: Cut | None = None
 
 
+@dataclass
+class CoarseHistogram:
+    """First level of the selection, computed together with the key stats in one pass."""
+    stats: KeyStats
+    rows: list
+
+
+def coarse_histogram(keys: DataFrame, order: list[str], coarse: Column) -> CoarseHistogram | None:
+    """One pass: count, null rows and a histogram of the first order column over
+    ``coarse``, an expression non-decreasing in that column (e.g. the day of an epoch
+    time).  Its group count is bounded by the column's span (days in the data), not by
+    the number of rows.  None when it has more than ``MAX_COARSE_GROUPS`` groups."""
+    first = F.col(order[0])
+    anynull = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in order])
+    rows = (keys.groupBy(coarse.alias("_c"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count(F.when(anynull, 1)).alias("nulls"),
+                 F.min(first).alias("lo"), F.max(first).alias("hi"))
+            .limit(MAX_COARSE_GROUPS + 1).collect())
+    if len(rows) > MAX_COARSE_GROUPS:
+        return None
+    n = sum(r["n"] for r in rows)
+    nulls = sum(r["nulls"] for r in rows)
+    rows = [r for r in rows if r["_c"] is not None]
+    lo = min((r["lo"] for r in rows), default=None)
+    hi = max((r["hi"] for r in rows), default=None)
+    return CoarseHistogram(KeyStats(n, nulls, lo, hi), rows)
+
+
 def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = False, **kw) -> Cut:
     """Find the k-th (1-based) key of ``df`` in lexicographic ``order``."""
     return select_kths(df, order, [(k, descending)], **kw)[0]
@@ -107,7 +136,8 @@ def select_kth(df: DataFrame, order: list[str], k: int, *, descending: bool = Fa
 
 def select_kths(df: DataFrame, order: list[str], targets: list[tuple[int, bool]], *,
                 buckets: int = DEFAULT_BUCKETS, exact_rows: int = DEFAULT_EXACT_ROWS,
-                stats: KeyStats | None = None, persist: bool = True) -> list[Cut]:
+                stats: KeyStats | None = None, persist: bool = True,
+                first_level: "CoarseHistogram | None" = None) -> list[Cut]:
     """Several cuts ``(k, descending)`` of one input by histogram refinement, in lockstep:
     each round runs at most three jobs (ranges, histograms, exact finishes) whatever the
     number of cuts, each a tagged union over the key columns.  The key columns are
@@ -118,20 +148,22 @@ def select_kths(df: DataFrame, order: list[str], targets: list[tuple[int, bool]]
     if persist:
         keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _select(keys, order, targets, buckets, exact_rows, stats)
+        return _select(keys, order, targets, buckets, exact_rows, stats, first_level)
     finally:
         if persist:
             keys.unpersist()
 
 
 def _select(keys: DataFrame, order: list[str], targets: list[tuple[int, bool]], buckets: int,
-            exact_rows: int, stats: KeyStats | None) -> list[Cut]:
+            exact_rows: int, stats: KeyStats | None, first_level: "CoarseHistogram | None" = None) -> list[Cut]:
     names = [f"_k{i}" for i in range(len(order))]
     cols = [F.col(n) for n in names]
     views, integral = {}, None
     for desc in {d for _, d in targets}:
         exprs, integral = _normalised(keys, order, desc)
         views[desc] = keys.select(*[e.alias(n) for e, n in zip(exprs, names)])
+    if first_level is not None:
+        stats = first_level.stats
     stats = stats or key_stats(keys, order)
     if stats.nulls:
         raise ValueError(f"order columns {order} hold {stats.nulls} null rows; quarantine them first")
@@ -141,7 +173,18 @@ def _select(keys: DataFrame, order: list[str], targets: list[tuple[int, bool]],
         if not 1 <= k <= stats.n:
             raise ValueError(f"k={k} must be in 1..{stats.n}")
         lo, hi = (cast(-stats.hi), cast(-stats.lo)) if desc else (cast(stats.lo), cast(stats.hi))
-        state.append(_Target(k, desc, stats.n, lo, hi))
+        t = _Target(k, desc, stats.n, lo, hi)
+        if first_level is not None:      # start inside the coarse bucket that holds row k
+            acc = 0
+            for row in sorted(first_level.rows, key=lambda r: r["_c"], reverse=desc):
+                if acc + row["n"] >= k:
+                    t.k, t.count = k - acc, row["n"]
+                    b_lo, b_hi = cast(row["lo"]), cast(row["hi"])
+                    t.lo, t.hi = (-b_hi, -b_lo) if desc else (b_lo, b_hi)
+                    t.conds.append(cols[0].between(F.lit(t.lo), F.lit(t.hi)))
+                    break
+                acc += row["n"]
+        state.append(t)
 
     def tagged(ts: list[tuple[int, _Target]], build) -> DataFrame:
         parts = []
@@ -262,24 +305,27 @@ def first_k(df: DataFrame, order: list[str], k: int, *, descending: bool = False
 def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
                         order: tuple[str, ...] = ("ts", "userId", "movieId", "rating"),
                         output: tuple[str, ...] = ("userId", "movieId", "rating"),
-                        **kw) -> tuple[DataFrame, DataFrame]:
+                        time_bucket_seconds: int = 86400, **kw) -> tuple[DataFrame, DataFrame]:
     """Oldest ``int(n*fraction)`` rows = train, newest ``int(n*(1-fraction))`` = test.
 
     The total order ``(ts, userId, movieId, rating)`` breaks time ties (D1): test is the
     exact reverse order, so train and test never share a row position and at most one
     row is left over.  Counts use double arithmetic truncated toward zero, as the
-    reference does.
+    reference does.  The first pass counts rows per day of ``ts`` (at most one row per
+    day in the data's span), which is also the first level of both selections.
     """
     order, output = list(order), list(output)
     # Selection passes read only the key columns, persisted once for both cuts.
     keys = ratings.select(*order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = key_stats(keys, order)
+        days = coarse_histogram(keys, order, F.floor(F.col(order[0]) / F.lit(time_bucket_seconds)))
+        stats = days.stats if days else key_stats(keys, order)
         n = stats.n
         k_train = int(n * fraction)
         k_test = int(n * (1 - fraction))
         wanted = [(k, d) for k, d in ((k_train, False), (k_test, True)) if k]
-        cuts = dict(zip(wanted, select_kths(keys, order, wanted, stats=stats, persist=False, **kw)))
+        cuts = dict(zip(wanted, select_kths(keys, order, wanted, stats=stats, first_level=days,
+                                                    persist=False, **kw)))
         cut_train, cut_test = cuts.get((k_train, False)), cuts.get((k_test, True))
     finally:
         keys.unpersist()

@@ -88,3 +88,10 @@ def test_empty_and_single_row_inputs(spark):
     two = spark.createDataFrame([(1, 2, 3.0, 4), (1, 3, 3.0, 5)], "userId int, movieId int, rating double, ts long")
     tr, te = split.chronological_split(two, 0.6)
     assert as_rows(tr) == [(1, 2, 3.0)] and te.count() == 0
+
+
+def test_day_histogram_fallback_matches(spark, ratings, monkeypatch):
+    base_tr, base_te = split.chronological_split(ratings, 0.6)
+    monkeypatch.setattr(split, "MAX_COARSE_GROUPS", 2)      # too many days: plain stats path
+    tr, te = split.chronological_split(ratings, 0.6, exact_rows=50, buckets=16)
+    assert as_rows(tr) == as_rows(base_tr) and as_rows(te) == as_rows(base_te)
