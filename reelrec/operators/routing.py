@@ -46,6 +46,17 @@ def _popular_rows(popular: DataFrame) -> list[tuple[int]]:
     return sorted({r["movieId"] for r in rows if r["movieId"] is not None})
 
 
+def _popular_array(popular: DataFrame, movies: DataFrame | None, score: float | None = 0.0):
+    if movies is not None:
+        popular = popular.join(movies.select("movieId"), "movieId", "left_semi")
+    ids = _popular_rows(popular)
+    if score is None:
+        return F.array(*[F.lit(i).cast("int") for i in ids]) if ids else F.array().cast("array<int>")
+    items = [F.struct(F.lit(i).cast("int").alias("movieId"), F.lit(score).cast("double").alias("rating"))
+             for i in ids]
+    return F.array(*items) if items else F.array().cast("array<struct<movieId:int,rating:double>>")
+
+
 def fallback_popular(users: DataFrame, popular: DataFrame, movies: DataFrame | None = None) -> DataFrame:
     """J4 + P9: each user x each popular movie, score 0.0 (ids in the right order, D5).
 
@@ -53,17 +64,17 @@ def fallback_popular(users: DataFrame, popular: DataFrame, movies: DataFrame | N
     literal array and exploded per user: no join, every user row stays where it is.
     With ``movies`` given, only popular movies that exist there are offered.
     """
-    if movies is not None:
-        popular = popular.join(movies.select("movieId"), "movieId", "left_semi")
-    ids = _popular_rows(popular)
-    arr = F.array(*[F.lit(i).cast("int") for i in ids]) if ids else F.array().cast("array<int>")
+    arr = _popular_array(popular, movies, score=None)
     return users.select("userId", F.explode(arr).alias("movieId"), F.lit(0.0).alias("rating"))
 
 
 def route(users: DataFrame, recommendations: DataFrame, popular: DataFrame,
           movies: DataFrame | None = None, score: str = "score") -> DataFrame:
-    """Known users' stored top-k union the popular fallback for everyone else.
+    """Known users' stored top-k, the popular list (score 0.0) for everyone else.
 
+    One left join of the batch users with the recommendations: a matched user expands to
+    its stored rows, an unmatched one to the inlined popular list.  The recommendations
+    are read once (no anti-join second pass, no union).
     ``recommendations``: ``userId, movieId, <score>``; output ``userId, movieId, rating``.
     """
     keys = ["userId"]
@@ -74,7 +85,10 @@ def route(users: DataFrame, recommendations: DataFrame, popular: DataFrame,
         users = users.select("userId", user_bucket("userId").alias(BUCKET_COL))
         touched = sorted(r[0] for r in users.select(BUCKET_COL).distinct().limit(USER_BUCKETS + 1).collect())
         recommendations = recommendations.where(F.col(BUCKET_COL).isin(touched))
-    recs = recommendations.select(*keys, "movieId", F.col(score).cast("double").alias("rating"))
-    served = users.join(recs, keys, "inner").select("userId", "movieId", "rating")
-    rest = users.join(recs.select(*keys), keys, "left_anti").select("userId")
-    return served.unionByName(fallback_popular(rest, popular, movies))
+    recs = recommendations.select(*keys, F.col("movieId").cast("int").alias("movieId"),
+                                  F.col(score).cast("double").alias("rating"))
+    joined = users.join(recs, keys, "left")
+    own = F.array(F.struct(F.col("movieId"), F.col("rating")))
+    rows = F.when(F.col("movieId").isNull(), _popular_array(popular, movies)).otherwise(own)
+    return (joined.select("userId", F.explode(rows).alias("_r"))
+            .select("userId", F.col("_r.movieId").alias("movieId"), F.col("_r.rating").alias("rating")))
