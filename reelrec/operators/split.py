@@ -4,8 +4,11 @@ The reference sorts the whole ratings table by time and takes ``limit n`` (n up
 of the table), which Spark plans as one task merging n rows.  Here the k-th key is found
 by histogram selection and the rows are then taken with a plain filter:
 
+0. (chronological split) the first pass groups the key columns by day of ``ts``: count,
+   null check and a first level for every cut at once, one row per day of the span;
 1. per level, one aggregation ``groupBy(bucket(key_i)).agg(count, min, max)`` over the
-   candidate rows; at most ``buckets`` rows come back to the driver;
+   candidate rows of all pending cuts (a tagged union); at most ``buckets`` rows per cut
+   come back to the driver;
 2. the bucket where the running count reaches k becomes the new candidate range (its
    exact [min, max] is a pushdown-friendly range filter); when a bucket holds one value
    of key_i, that value is fixed and the next key column is bucketed;
