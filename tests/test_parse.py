@@ -105,3 +105,21 @@ def test_wire_roundtrip(spark, triples):
     df = spark.createDataFrame(triples, schemas.RATING_TRIPLE)
     back = wire.decode(wire.encode(df)).rows
     assert sorted(rows(back)) == sorted(triples)
+
+
+@pytest.mark.parametrize("text,as_int,as_double", [
+    ("1.0", None, 1.0), ("+5", 5, 5.0), ("007", 7, 7.0), ("1e3", None, 1000.0), ("0x10", None, None),
+    ("NaN", None, float("nan")), ("2147483648", None, 2147483648.0), ("2.5d", None, 2.5), ("1_000", None, None),
+])
+def test_numbers_follow_java_parsing(spark, text, as_int, as_double):
+    """toInt / toDouble parity: what Java rejects is quarantined, what it accepts parses."""
+    ints = parse.parse_delimited(lines(spark, f"{text},1,1"), schemas.LINKS, ",", on_error="drop").rows.collect()
+    assert [r["movieId"] for r in ints] == ([as_int] if as_int is not None else [])
+    dbl = parse.parse_delimited(lines(spark, f"1,2,{text},3"), schemas.RATINGS, ",", on_error="drop").rows.collect()
+    got = [r["rating"] for r in dbl]
+    if as_double is None:
+        assert got == []
+    elif as_double != as_double:
+        assert len(got) == 1 and got[0] != got[0]
+    else:
+        assert got == [as_double]
