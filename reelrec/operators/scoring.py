@@ -35,7 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_BLOCK_BYTES = 16 << 20      # feature bytes per block (float32 vectors)
 MIN_USER_BLOCK_ROWS = 256           # smallest user block worth a task of its own
-BROADCAST_ITEM_BYTES = 64 << 20     # a single item block up to this size is broadcast
+BROADCAST_ITEM_BYTES = 64 << 20     # item factors up to this size are broadcast
 SCORE_CELLS = 4 << 20               # scores held at once per task: 4M doubles = 32 MB
 PAIR_SCHEMA = "userId int, movieId int, score double"
 
@@ -110,12 +110,16 @@ def factor_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, *
     # partition (hash would collide), and an explicit count is not coalesced away by AQE
     users = _blocks(user_factors, ub, "u").repartitionByRange(ub, "_ub")
     items = _blocks(item_factors, ib, "i")
-    if ib == 1 and n_items * dim * 4 <= BROADCAST_ITEM_BYTES:
-        # the whole catalogue is one block of checked size: ship it once per executor
-        pairs = users.withColumn("_ib", F.lit(0)).join(F.broadcast(items), "_ib")
+    # every user block meets every item block: replicate the user block per item block id
+    # and equi-join on that id (no nested-loop or cartesian join in the plan)
+    replicated = users.select("_ub", "u_ids", "u_feat",
+                              F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
+    if n_items * dim * 4 <= BROADCAST_ITEM_BYTES:
+        # the whole catalogue is small (checked): ship its blocks once per executor, keep
+        # one user block per task
+        pairs = replicated.join(F.broadcast(items), "_ib")
     else:
-        pairs = (users.select("_ub", "u_ids", "u_feat", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
-                 .join(items, "_ib"))
+        pairs = replicated.join(items, "_ib")
         if ib < cores:   # few item blocks: spread the pairs instead of one task per item block
             pairs = pairs.repartition(ub * ib, "_ub", "_ib")
     pairs = pairs.select("u_ids", "u_feat", "i_ids", "i_feat")
