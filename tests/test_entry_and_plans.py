@@ -96,3 +96,11 @@ def test_cli_split_and_popular(spark):
     assert spark.table("cli_top5").count() == 5
     args = cli.parser().parse_args(["ingest", "--ratings.dat", "/x", "--prefix", "new_"])
     assert args.ratings_dat == "/x" and args.prefix == "new_"
+
+
+def test_no_registered_query_plans_a_non_scaling_node(spark):
+    bad = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "CollectLimit")
+    for name, fn in entry_mod.queries().items():
+        p = plan(fn(spark, SF_SMALL))
+        found = [b for b in bad if b in p]
+        assert not found, (name, found)
