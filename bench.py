@@ -40,7 +40,8 @@ def main() -> None:
     extra = {"spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")}
     if os.environ.get("BENCH_EVENT_LOG"):   # stage/task times without the UI: an event log file
         os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
-        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.path.join(scratch, "events")})
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.compress": "false",
+                      "spark.eventLog.dir": os.path.join(scratch, "events")})
         print(f"event log: {os.path.join(scratch, 'events')}", file=sys.stderr)
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), "reelrec-bench", extra=extra)
     # warm-up: JVM, Python workers, file listing
