@@ -89,6 +89,13 @@ def q_ingest_ratings(spark, d):
     return parse.parse_delimited(fx.rating_lines(spark, d), schemas.RATINGS, "::").rows
 
 
+def q_ingest_quarantine(spark, d):
+    """P2 quarantine: with the incomplete-line filter off, lines missing their last field
+    are set aside with a reason instead of failing the job."""
+    res = parse.parse_delimited(fx.links_lines(spark, d), schemas.LINKS, ",", drop_incomplete_lines=False)
+    return res.rejects
+
+
 def q_ingest_tags_repaired(spark, d):
     return parse.parse_tag_lines(fx.tag_lines(spark, d), schemas.TAGS).rows
 
@@ -232,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "ingest_users": q_ingest_users,
     "ingest_ratings": q_ingest_ratings,
     "ingest_tags_repaired": q_ingest_tags_repaired,
+    "ingest_quarantine": q_ingest_quarantine,
     "split_train": q_split_train,
     "split_test": q_split_test,
     "rank_within_rating": q_rank_within_rating,

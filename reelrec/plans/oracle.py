@@ -77,6 +77,8 @@ ORACLE: dict[str, str] = {
     "ingest_ratings": _with(RATINGS) + 'select "userId", "movieId", rating, ts from ratings',
     "ingest_tags_repaired": 'select (p_partkey % 10)::int as "userId", p_partkey::int as "movieId", '
                             'p_name as tag, (1000 + p_size)::bigint as ts from part',
+    "ingest_quarantine": _with(LINK_LINES) + "select value, 'too few fields' as reason from link_lines "
+                                             "where ends_with(value, ',')",
     "split_train": _with(RATINGS, TRAIN) + "select * from train",
     "split_test": _with(RATINGS, TEST) + "select * from test",
     "rank_within_rating": _with(RATINGS) + 'select "userId", "movieId", rating, ts, '
