@@ -98,6 +98,9 @@ def serve_all(spark: SparkSession, model_path: str, out_table: str, k: int = 5,
     """All-user top-k, stored partitioned by user bucket so stream batches prune files."""
     recs = als.recommend_all_users(als.load(model_path), k).withColumn(
         routing.BUCKET_COL, routing.user_bucket("userId"))
+    # one writer per bucket (not tasks x buckets small files), rows sorted by user inside
+    # each file so Parquet min/max statistics can skip row groups on user filters
+    recs = recs.repartition(routing.USER_BUCKETS, routing.BUCKET_COL).sortWithinPartitions("userId")
     recs.write.mode("overwrite").format("parquet").partitionBy(routing.BUCKET_COL).saveAsTable(out_table)
     if jdbc:
         jdbc_append(spark.table(out_table).drop(routing.BUCKET_COL), jdbc["url"], jdbc["table"], jdbc.get("properties"),
