@@ -104,3 +104,17 @@ def test_no_registered_query_plans_a_non_scaling_node(spark):
         p = plan(fn(spark, SF_SMALL))
         found = [b for b in bad if b in p]
         assert not found, (name, found)
+
+
+def test_cli_serving_and_stream_arguments():
+    from reelrec.plans import cli
+    a = cli.parser().parse_args(["stream", "--files", "/in", "--recs", "recs", "--popular", "top5df",
+                                 "--out", "/out", "--checkpoint", "/ck"])
+    assert (a.files, a.kafka, a.trigger, a.topics) == ("/in", None, "15 seconds", "real-time")
+    b = cli.parser().parse_args(["serve-all", "--model", "/m/run=1", "--out", "recs", "--jdbc-url", "jdbc:x",
+                                 "--jdbc-properties", '{"user": "u"}', "--jdbc-connections", "4"])
+    assert cli._jdbc(b) == {"url": "jdbc:x", "table": "user_movies_recommendation",
+                            "properties": {"user": "u"}, "max_connections": 4}
+    t = cli.parser().parse_args(["train", "--train", "a", "--test", "b", "--model-root", "/m", "--metrics", "r",
+                                 "--lambdas", "0.05,0.07", "--iterations", "10,20"])
+    assert t.lambdas == (0.05, 0.07) and t.iterations == (10, 20) and t.ranks == (10,)
