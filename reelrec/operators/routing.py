@@ -19,7 +19,7 @@ BUCKET_COL = "ubucket"
 
 def user_bucket(user: F.Column | str = "userId", buckets: int = USER_BUCKETS) -> F.Column:
     """Bucket of a user id.  Serving writes recommendations partitioned by it, so a batch
-    of a few users reads only their buckets (dynamic partition pruning on the join)."""
+    of a few users reads only their buckets (a static partition filter in ``route``)."""
     u = F.col(user) if isinstance(user, str) else user
     return F.pmod(F.xxhash64(u), F.lit(buckets)).cast("int")
 
@@ -35,11 +35,11 @@ def known_users(users: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def new_users(users: DataFrame, known: DataFrame) -> DataFrame:
-    """Requesting users absent from ``known`` (anti join, null-safe on the key)."""
+    """Requesting users absent from ``known`` (anti join; decoded users are never null)."""
     return users.join(known.select("userId"), "userId", "left_anti")
 
 
-def _popular_rows(popular: DataFrame) -> list[tuple[int]]:
+def _popular_rows(popular: DataFrame) -> list[int]:
     rows = popular.select("movieId").limit(MAX_POPULAR_K + 1).collect()
     if len(rows) > MAX_POPULAR_K:
         raise ValueError(f"popular list longer than {MAX_POPULAR_K} rows")
