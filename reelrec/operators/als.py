@@ -60,9 +60,17 @@ def default_blocks(df: DataFrame) -> int:
 
 def fit(train: DataFrame, rank: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
         reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int | None = None) -> ALSModel:
-    """M1."""
+    """M1.  The three input columns are persisted for the fit (ALS reads its input more
+    than once); the fitted factors are materialised by ``fit``, so the input is released."""
     est = als_estimator(rank, iterations, reg, seed, blocks or default_blocks(train))
-    return est.fit(train.select("userId", "movieId", "rating"))
+    data = train.select("userId", "movieId", "rating")
+    if data.storageLevel.useMemory or data.storageLevel.useDisk:
+        return est.fit(data)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return est.fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
