@@ -118,3 +118,14 @@ def test_cli_serving_and_stream_arguments():
     t = cli.parser().parse_args(["train", "--train", "a", "--test", "b", "--model-root", "/m", "--metrics", "r",
                                  "--lambdas", "0.05,0.07", "--iterations", "10,20"])
     assert t.lambdas == (0.05, 0.07) and t.iterations == (10, 20) and t.ranks == (10,)
+
+
+def test_ingest_quoted_option(spark, scratch):
+    path = os.path.join(scratch, "movies.txt")
+    lines = ['11,"American President, The (1995)",Comedy|Drama', "12,Plain Title (1996),Drama", "13,bad,"]
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(path)
+    jobs.ingest(spark, {"movies": path}, table_prefix="q_", quoted=True)
+    got = sorted(tuple(r) for r in spark.table("q_movies").collect())
+    assert got == [(11, "American President, The (1995)", "Comedy|Drama"), (12, "Plain Title (1996)", "Drama")]
+    jobs.ingest(spark, {"movies": path}, table_prefix="n_")           # naive split, as the reference
+    assert spark.table("n_movies").where("movieId = 11").first()["title"] == '"American President'
