@@ -21,6 +21,7 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -60,21 +61,31 @@ class RouterConfig:
 def route_batch(cfg: RouterConfig) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        decoded = wire.decode(batch)
-        users = routing.request_users(decoded.rows)
-        movies = cfg.movies(spark) if cfg.movies else None
-        routed = routing.route(users, cfg.recommendations(spark), cfg.popular(spark), movies)
-        target = os.path.join(cfg.out_path, f"batch_id={batch_id}")
-        routed.write.mode("overwrite").parquet(target)
-        if cfg.rejects_path:
-            decoded.rejects.write.mode("overwrite").parquet(os.path.join(cfg.rejects_path, f"batch_id={batch_id}"))
-        if cfg.jdbc:
-            written = spark.read.parquet(target).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            jdbc_append(written, cfg.jdbc["url"], cfg.jdbc["table"], cfg.jdbc.get("properties"),
-                        max_connections=cfg.jdbc.get("max_connections"))
+        # the batch is read by routing, the bucket list and the rejects: read the source once
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _route_one(cfg, spark, batch, batch_id)
+        finally:
+            batch.unpersist()
     return run
 
 
+def _route_one(cfg: RouterConfig, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
+    """One micro-batch: decode, route, write ``batch_id=<id>`` (overwrite), rejects, JDBC."""
+    decoded = wire.decode(batch)
+    users = routing.request_users(decoded.rows)
+    movies = cfg.movies(spark) if cfg.movies else None
+    routed = routing.route(users, cfg.recommendations(spark), cfg.popular(spark), movies)
+    target = os.path.join(cfg.out_path, f"batch_id={batch_id}")
+    routed.write.mode("overwrite").parquet(target)
+    if cfg.rejects_path:
+        decoded.rejects.write.mode("overwrite").parquet(os.path.join(cfg.rejects_path, f"batch_id={batch_id}"))
+    if cfg.jdbc:
+        written = spark.read.parquet(target).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        jdbc_append(written, cfg.jdbc["url"], cfg.jdbc["table"], cfg.jdbc.get("properties"),
+                    max_connections=cfg.jdbc.get("max_connections"))
+
+
 def start_router(requests: DataFrame, cfg: RouterConfig, checkpoint: str, *,
                  trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False,
                  name: str | None = None) -> StreamingQuery:
