@@ -107,3 +107,16 @@ def test_bucketed_recommendations_prune_partitions(spark, scratch):
     plan = out._jdf.queryExecution().executedPlan().toString()
     touched = sorted({r[0] for r in batch.select(routing.user_bucket("userId")).collect()})
     assert "IN (" + ",".join(str(b) for b in touched) + ")" in plan    # static partition pruning
+
+
+def test_route_batch_jdbc_append_carries_batch_id(spark, scratch):
+    from reelrec.sinks import jdbc
+    cfg = _cfg(spark, scratch)
+    cfg.jdbc = {"url": "jdbc:derby:memory:reelrec_stream;create=true", "table": "user_movies_recommendation",
+                "properties": {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}, "max_connections": 1}
+    batch = fx.requests(spark, SF_SMALL).limit(20)
+    router.route_batch(cfg)(batch, 3)
+    back = jdbc.jdbc_read(spark, cfg.jdbc["url"], cfg.jdbc["table"], cfg.jdbc["properties"])
+    rows = back.collect()
+    assert rows and {r["batch_id"] for r in rows} == {3}
+    assert len(rows) == spark.read.parquet(os.path.join(cfg.out_path, "batch_id=3")).count()
