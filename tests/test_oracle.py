@@ -13,7 +13,7 @@ from reelrec.sources.tables import WAREHOUSE_TABLES
 from conftest import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-from check_oracle import digest  # noqa: E402
+from check_oracle import digest, type_mismatches  # noqa: E402
 
 SQL = entry_mod.oracle_sql()
 
@@ -34,6 +34,7 @@ def test_query_matches_duckdb(spark, duck, name):
     rows, cols = [tuple(r) for r in df.collect()], df.columns
     res = duck.execute(SQL[name])
     ocols = [d[0] for d in res.description]
+    assert type_mismatches(df, res) == []
     orows = res.fetchall()
     assert sorted(cols) == sorted(ocols)
     assert len(rows) == len(orows)
