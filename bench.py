@@ -47,7 +47,7 @@ def main() -> None:
     # warm-up, not timed: JVM code paths and file listing, and the Python worker pool that
     # the first mapInPandas stage would otherwise start inside a timed query
     QUERIES["rating_count"](spark, sf_dir).collect()
-    spark.range(0, 64, 1, int(cpus)).mapInPandas(lambda it: it, "id long").collect()
+    spark.range(0, 64, 1, int(cpus) if cpus.isdigit() else 8).mapInPandas(lambda it: it, "id long").collect()
     times = {}
     for name in only:
         t0 = time.perf_counter()
