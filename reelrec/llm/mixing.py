@@ -89,7 +89,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
             .where((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_bsize") > F.col("_rest")))
             .groupBy("_src").agg(F.min("_bucket").alias("_edge"), F.min("_before").alias("_before")))
     plan = t.join(edge.withColumnRenamed("_src", "_src2"), F.col("_src").eqNullSafe(F.col("_src2")), "left").drop("_src2")
-    d = base.join(plan, same)
+    # documents meet their source's plan by (source, bucket), so a hot source is many keys
+    dealt = (buckets.select(F.col("source").alias("_bsrc"), F.col("_bucket").alias("_b")).join(plan, F.col("_bsrc").eqNullSafe(F.col("_src")))
+             .drop("_src"))
+    d = base.join(dealt, F.col("source").eqNullSafe(F.col("_bsrc")) & (F.col("_bucket") == F.col("_b")))
     inside = (Window.partitionBy("source", "_bucket").orderBy("_key", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
