@@ -13,7 +13,7 @@ that meet in a prefix shingle are candidates.  Their partial overlaps are counte
 summed per pair; a pair is a link if 100 * overlap >= 75 * union.
 
 Only components are asked for, so a group of n candidates is not expanded into n*n pairs.  It is
-checked against a few pivots at a time (1, 4, 16, ...), and members that are already in one component
+checked against a few pivots at a time (1, 16, 256, ...), and members that are already in one component
 with a pivot are not compared with it.  Rounds go on until every group is either in one
 component or fully compared, so no link between components is ever missed.
 
@@ -331,13 +331,13 @@ def components(cand: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = cand.sparkSession
     # most of its shingles shared first: such a member links with most of its group
     order = F.struct(((F.col("n") - F.col("shared")) * 1000 / F.col("n")).cast("int").alias("u"), F.col("cid").alias("cid"))
-    groups = written(cand.select(F.explode("prefix").alias("tok"), "cid", "n", order.alias("ord")), "groups")
+    groups = written(cand.select(F.posexplode("prefix").alias("at", "tok"), "cid", "n", "shared", order.alias("ord")), "groups")
     segments = cand.select("cid", "n", F.posexplode("pieces").alias("piece", "toks"))
     segments = written(segments.where(F.size("toks") > 0), "segments")
     labels = spark.createDataFrame([], "v long, c long")
     done = pivots = 0
     while True:
-        done, pivots = pivots, max(1, pivots * 4 + 1)
+        done, pivots = pivots, pivots * 16 + 1
         g = groups.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
         # groups of one component are finished
         open_groups = (g.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
@@ -347,12 +347,17 @@ def components(cand: DataFrame, percent: int = PERCENT) -> DataFrame:
             return labels
         rank = F.row_number().over(Window.partitionBy("tok").orderBy("ord"))
         p = (g.withColumn("k", rank).where(F.col("k") <= pivots).where(F.col("k") > done)
-             .select("tok", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("ord").alias("oa")))
+             .select("tok", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"),
+                     F.col("at").alias("ia"), F.col("c").alias("ca"), F.col("ord").alias("oa")))
         meet = g.join(p, "tok").where((F.col("ord") > F.col("oa")) & (F.col("c") != F.col("ca")))
-        fits = (F.least("n", "na") * 100 >= F.greatest("n", "na") * percent)
-        pairs = meet.where(fits).select("a", F.col("cid").alias("b")).distinct()
+        # common shingles before this one, this one, and those that can follow
+        most = (F.least("at", "ia") + 1 + F.least(F.col("shared") - F.col("at"), F.col("sa") - F.col("ia")) - 1)
+        pairs = (meet.select("a", F.col("cid").alias("b"), most.alias("most"), (F.col("n") + F.col("na")).alias("both"))
+                 .groupBy("a", "b", "both").agg(F.min("most").alias("most"))
+                 .where(F.col("most") * (100 + percent) >= percent * F.col("both")).select("a", "b"))
         edges = written(linked(pairs, segments, percent), "links")
-        labels = graph.merge(labels, edges)
+        if not edges.isEmpty():
+            labels = graph.merge(labels, edges)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, fragment: int = FRAGMENT) -> DataFrame:
