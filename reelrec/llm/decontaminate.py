@@ -10,7 +10,8 @@ Plan: (1) one pass over the documents counts the benchmark's shingles; (2) a sec
 document position with the prefix tokens, applies the length and positional bounds (the window must
 begin at or after the first word and end at or before the last), and compares the whole window word by
 word.  Both are broadcast joins inside the stage that splits the text, so words are never shuffled;
-only hits are, by document.  A task aggregates before it shuffles.
+only hits are, by document.  A task aggregates before it shuffles.  Tokens are hashed in lower case (any
+letter); the comparison lowers A-Z alone.
 
 What is broadcast is bounded: windows and shingles go out in blocks of at most ``block`` rows, one pass
 over the documents a block.
@@ -36,19 +37,18 @@ from reelrec.llm.common import ascii_lower, table, written
 WIDTH = 10
 SHINGLE = 3
 BLOCK = 200_000              # windows or shingles broadcast at once (about 60 MB)
-ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"   # what lower() changes besides A-Z
+WORDS = r"[\p{Alnum}\P{ASCII}]+"      # 0-9, A-Z, a-z and code points above 0x7F
+TAIL = -7046029254386353131             # token of the row that stands for a document's end
 
 
 def words_of(text: Column) -> Column:
-    """A-Z in lower case, then the runs of digits, a-z and code points above 0x7F."""
-    low = F.when(text.rlike(OTHER_UPPER), ascii_lower(text)).otherwise(F.lower(text))
-    return F.coalesce(F.regexp_extract_all(low, F.lit(ALNUM), F.lit(0)), F.array().cast("array<string>"))
+    """Runs of digits, letters a-z in either case and code points above 0x7F."""
+    return F.coalesce(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)), F.array().cast("array<string>"))
 
 
 def windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """``item_id, text`` -> ``item_id, wid, gram`` (gram: the words of the window)."""
-    b = benchmark.select("item_id", words_of(F.col("text")).alias("_w")).where(F.size("_w") > 0)
+    b = benchmark.select("item_id", words_of(ascii_lower(F.col("text"))).alias("_w")).where(F.size("_w") > 0)
     last = F.greatest(F.size("_w") - width, F.lit(0))
     b = b.select("item_id", "_w", F.explode(F.sequence(F.lit(0), last)).alias("_i"))
     gram = F.slice("_w", F.col("_i") + 1, F.least(F.size("_w"), F.lit(width)))
@@ -57,7 +57,8 @@ def windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _token(word_at, k: int) -> Column:
-    return F.xxhash64(*[word_at(j) for j in range(k)])
+    """Hash of k words in any case: equal words have equal hashes, the comparison comes later."""
+    return F.xxhash64(*[F.lower(word_at(j)) for j in range(k)])
 
 
 def _shingles(grams: DataFrame, shingle: int) -> DataFrame:
@@ -71,12 +72,16 @@ def _shingles(grams: DataFrame, shingle: int) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _positions(docs: DataFrame, k: int) -> DataFrame:
-    """Every word position of every document with the token of the k words from there."""
+def _positions(docs: DataFrame, k: int, tail: bool = False) -> DataFrame:
+    """Every word position of every document with the token of the k words from there; with ``tail``
+    also a row after the last word of each document."""
     d = docs.select(*_key(docs), words_of(F.col("text")).alias("_w"))
-    d = d.select("_id", "_h1", "_h2", "_w", F.posexplode("_w").alias("_pos", "_word"))
-    return d.select("_id", "_h1", "_h2", "_w", "_pos",
-                    _token(lambda j: F.col("_word") if j == 0 else F.get("_w", F.col("_pos") + j), k).alias("token"))
+    each = F.concat("_w", F.array(F.lit(None).cast("string"))) if tail else F.col("_w")
+    d = d.select("_id", "_h1", "_h2", "_w", F.posexplode_outer(each).alias("_pos", "_word"))
+    token = _token(lambda j: F.col("_word") if j == 0 else F.get("_w", F.col("_pos") + j), k)
+    if tail:
+        token = F.when(F.col("_pos") == F.size("_w"), F.lit(TAIL)).otherwise(token)
+    return d.select("_id", "_h1", "_h2", "_w", "_pos", token.alias("token"))
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -99,8 +104,8 @@ def prefix_tokens(docs: DataFrame, grams: DataFrame, shingle: int, block: int) -
         for part in _blocks(own, n, "token", block):
             counted.append(_positions(docs, k).select("token").join(F.broadcast(part), "token")
                            .groupBy("token").agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit(k)))
-    if not counted:
-        return grams.join(sh, "wid")
+    if not counted:                                  # no window at all
+        return grams.join(sh, "wid").select("wid", "gram", "k", "off", "token")
     n = reduce(DataFrame.unionByName, counted)
     best = (sh.join(n, ["k", "token"], "left").groupBy("wid")
             .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "off", "k")).alias("_b")))
@@ -108,20 +113,25 @@ def prefix_tokens(docs: DataFrame, grams: DataFrame, shingle: int, block: int) -
 
 
 def occurrences(docs: DataFrame, grams: DataFrame, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """``_id, _h1, _h2, start, len, wid``: every occurrence of a window in a document."""
+    """``_id, _h1, _h2, start, len, wid``: every occurrence of a window in a document, and a row per
+    document with a null ``wid`` that starts after its last word."""
     prefix = written(prefix_tokens(docs, grams, shingle, block), "prefix")
-    sizes = prefix.groupBy("k").count().collect()
+    sizes = {r["k"]: r["count"] for r in prefix.groupBy("k").count().collect()} or {shingle: 0}
+    end = docs.sparkSession.range(1).select(F.lit(None).cast("string").alias("wid"), F.array().cast("array<string>").alias("gram"),
+                                            F.lit(0).alias("off"), F.lit(TAIL).alias("token"))
     found = []
-    for k, n in sorted((r["k"], r["count"]) for r in sizes):
+    for k, n in sorted(sizes.items()):
         own = prefix.where(F.col("k") == k).select("wid", "gram", "off", "token")
         for part in _blocks(own, n, "wid", block):
-            j = _positions(docs, k).join(F.broadcast(part), "token")
+            tail = not found
+            j = _positions(docs, k, tail).join(F.broadcast(part.unionByName(end) if tail else part), "token")
             start, size = F.col("_pos") - F.col("off"), F.size("gram")
             inside = (start >= 0) & (start + size <= F.size("_w"))             # positional and length bounds
-            equal = F.slice("_w", F.greatest(start, F.lit(0)) + 1, size) == F.col("gram")
-            found.append(j.where(inside).where(equal)
+            there = F.transform(F.slice("_w", F.greatest(start, F.lit(0)) + 1, size), ascii_lower)
+            whole = F.col("wid").isNotNull() | (start == F.size("_w"))
+            found.append(j.where(inside & whole).where(there == F.col("gram"))
                          .select("_id", "_h1", "_h2", start.alias("start"), size.alias("len"), "wid"))
-    return reduce(DataFrame.unionByName, found) if found else None
+    return reduce(DataFrame.unionByName, found)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, shingle: int = SHINGLE,
@@ -130,14 +140,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, shi
     contaminated``, one row per document row; ``spans`` lists the hit word ranges."""
     docs = docs.select("doc_id", "text")
     w = written(windows(benchmark.select("item_id", "text"), width), "windows")
-    hits = occurrences(docs, w.select("wid", "gram").dropDuplicates(["wid"]), shingle, block)
-    base = docs.select(*_key(docs), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    none = F.sha2(F.lit("").cast("binary"), 256)
-    if hits is None:
-        return base.select(F.col("_id").alias("doc_id"), "n_words", F.lit(0).cast("long").alias("n_hit"),
-                           F.lit(0).cast("long").alias("n_items"), none.alias("items_sha256"),
-                           F.lit(False).alias("contaminated"), F.array().cast("array<struct<from:int,to:int>>").alias("spans"))
-    hits = written(hits, "hits").distinct()
+    found = written(occurrences(docs, w.select("wid", "gram").dropDuplicates(["wid"]), shingle, block), "hits")
+    base = found.where("wid is null").select("_id", "_h1", "_h2", F.col("start").cast("long").alias("n_words"))
+    hits = found.where("wid is not null").distinct()
     doc = ["_id", "_h1", "_h2"]
     longest = hits.groupBy(*doc, "start").agg(F.max(F.col("start") + F.col("len")).alias("end"))
     before = Window.partitionBy(*doc).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from reelrec.llm import graph
 from reelrec.llm.common import by_value, table, written
+from reelrec.llm.packing import KEY_BITS, KEY_MASK, fragment_of, planes, starts, unplanes
 from reelrec.llm.words import mix64, shingles, text_words
 
 by_value(__name__)
@@ -52,21 +53,15 @@ FRAGMENT = 4_000_000         # postings of a fragment
 FLUSH = 2_000_000            # postings packed at once by a task
 HOT_SHARE = 250
 HOT_LEAST = 16
-KEY_BITS = 40
 PIECES = 8                   # segments in which an overlap is counted
 HOT_DF = 65_535              # frequency given to hot shingles: last in the order
-_KEY = (1 << KEY_BITS) - 1
 
 
 # --- signatures ------------------------------------------------------------------------------
 
-def _starts(doc: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, dtype=np.int64)
-
-
 def _set_hashes(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows with shingles, the size of their sets, and two order-free hashes of each."""
-    at = _starts(doc)
+    at = starts(doc)
     n = np.diff(np.append(at, len(doc)))
     if not len(at):
         zero = np.zeros(0, dtype=np.uint64)
@@ -93,7 +88,7 @@ def _sign_task(with_hot: bool = True):
         def hot():
             """Shingles that many classes of this flush have."""
             h = np.sort(np.concatenate(held))
-            at = _starts(h)
+            at = starts(h)
             n = np.diff(np.append(at, len(h)))
             often = n >= max(HOT_LEAST, docs // HOT_SHARE)
             return rows(pa.nulls(int(often.sum()), pa.int64()), n[often], h[at][often],
@@ -109,7 +104,7 @@ def _sign_task(with_hot: bool = True):
                 yield rows(ids.slice(first, last - first), size, cid, check, DOC)
                 if not with_hot:
                     continue
-                at = np.append(_starts(d), len(d))
+                at = np.append(starts(d), len(d))
                 for k, c in enumerate(s1.tolist()):
                     if c not in seen:
                         seen.add(c)
@@ -132,21 +127,6 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 # --- fragments ---------------------------------------------------------------------------------
 
-def _planes(x: np.ndarray, width: int) -> bytes:
-    """Little-endian bytes, all first bytes first: the high ones compress well."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _unplanes(data, n: int, width: int) -> np.ndarray:
-    out = np.zeros((n, 8), dtype=np.uint8)
-    out[:, :width] = np.frombuffer(data, dtype=np.uint8).reshape(width, n).T
-    return out.reshape(-1).view("<u8").astype(np.uint64)
-
-
-def _fragment(h: np.ndarray, fragments: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
-
-
 def _segment_task(hot, fragments: int):
     """Texts -> per fragment the packed segments of a few thousand classes."""
     def pack(sets: list[tuple[int, np.ndarray]], hot_h: np.ndarray) -> Iterator[tuple]:
@@ -160,18 +140,18 @@ def _segment_task(hot, fragments: int):
         # hot shingles go past the counting, as numbers in the hot list, to the class's own fragment
         home = np.full(len(h), 0, dtype=np.uint64)
         code = np.where(is_hot, at if len(hot_h) else 0, 0).astype(np.uint64) if len(hot_h) else home
-        frag = np.where(is_hot, _fragment(mix64(cids), fragments)[owner], _fragment(h, fragments))
-        key = np.where(is_hot, code, h & np.uint64(_KEY))
-        order = np.lexsort((key, is_hot, frag))
+        frag = np.where(is_hot, fragment_of(mix64(cids), fragments)[owner], fragment_of(h, fragments))
+        key = np.where(is_hot, code, h & np.uint64(KEY_MASK))
+        order = np.argsort((frag << np.uint64(KEY_BITS + 1)) | (is_hot.astype(np.uint64) << np.uint64(KEY_BITS)) | key, kind="stable")
         frag, key, owner, is_hot = frag[order], key[order], owner[order], is_hot[order]
-        at = np.append(_starts(frag), len(frag))
+        at = np.append(starts(frag), len(frag))
         for a, b in zip(at[:-1], at[1:]):
             m = int(np.count_nonzero(~is_hot[a:b]))
             local, index = np.unique(owner[a:b], return_inverse=True)
             k = key[a:b].copy()
             k[1:m] -= key[a:a + m - 1] if m > 1 else k[1:m]     # differences of the sorted keys
             wide = 2 if len(local) <= 0xFFFF else 4
-            yield (int(frag[a]), len(local), b - a, m, cids[local].tobytes(), _planes(k, 5), _planes(index.astype(np.uint64), wide))
+            yield (int(frag[a]), len(local), b - a, m, cids[local].tobytes(), planes(k, 5), planes(index.astype(np.uint64), wide))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_h = hot.value
@@ -186,7 +166,7 @@ def _segment_task(hot, fragments: int):
             for first, last, words, doc in text_words(batch.column("text")):
                 d, h = shingles(words, doc, last - first)
                 _, n, cid, _ = _set_hashes(d, h)
-                at = np.append(_starts(d), len(d))
+                at = np.append(starts(d), len(d))
                 for k, c in enumerate(cid.tolist()):
                     if c not in seen:
                         seen.add(c)
@@ -210,9 +190,9 @@ def _count_fragment(t: pa.Table) -> pa.Table:
     key, cid, hot_key, hot_cid = [], [], [], []
     rows = t.to_pydict()
     for classes, n, cold, cids, keys, owners in zip(*(rows[c] for c in SEGMENT_COLUMNS[1:])):
-        k = _unplanes(keys, n, 5)
+        k = unplanes(keys, n, 5)
         k[:cold] = np.cumsum(k[:cold])
-        own = np.frombuffer(cids, dtype=np.uint64)[_unplanes(owners, n, len(owners) // n).astype(np.int64)]
+        own = np.frombuffer(cids, dtype=np.uint64)[unplanes(owners, n, len(owners) // n).astype(np.int64)]
         key.append(k[:cold])
         cid.append(own[:cold])
         hot_key.append(k[cold:])
@@ -228,7 +208,7 @@ def _count_fragment(t: pa.Table) -> pa.Table:
         return key[keep], cid[keep]
 
     key, cid = unique(key, cid)
-    at = _starts(key)
+    at = starts(key)
     df = np.diff(np.append(at, len(key)))
     df = np.repeat(df, df)
     shared = df >= 2
@@ -242,7 +222,7 @@ def _count_fragment(t: pa.Table) -> pa.Table:
 def _by_class(cid: np.ndarray, key: np.ndarray, df: np.ndarray, fragment: int) -> pa.Table:
     order = np.argsort(cid, kind="stable")
     cid, key, df = cid[order], key[order], df[order].astype("<u2")
-    at = _starts(cid)
+    at = starts(cid)
     ends = np.append(at[1:], len(cid))
     raw = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
     dfs = df.tobytes()
