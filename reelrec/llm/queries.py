@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from reelrec.llm import decontaminate, langid, mixing, ngram_join, quality, tokens, url_filter, warc
+from reelrec.llm import decontaminate, langid, licenses, mixing, ngram_join, quality, substring, tokens, url_filter, warc
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_substring_dedup": substring.op4_substring_dedup,
+    "op5_license_scan": licenses.op5_license_scan,
     "op6_language_id": langid.op6_language_id,
     "op7_mixing": mixing.op7_mixing,
     "op8_warc": warc.op8_warc,
