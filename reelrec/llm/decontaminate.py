@@ -127,9 +127,10 @@ def occurrences(docs: DataFrame, grams: DataFrame, shingle: int = SHINGLE, block
             j = _positions(docs, k, tail).join(F.broadcast(part.unionByName(end) if tail else part), "token")
             start, size = F.col("_pos") - F.col("off"), F.size("gram")
             inside = (start >= 0) & (start + size <= F.size("_w"))             # positional and length bounds
-            there = F.transform(F.slice("_w", F.greatest(start, F.lit(0)) + 1, size), ascii_lower)
+            # built of functions with generated code, so the position's row is never copied with its words
+            there = ascii_lower(F.array_join(F.slice("_w", F.greatest(start, F.lit(0)) + 1, size), " "))
             whole = F.col("wid").isNotNull() | (start == F.size("_w"))
-            found.append(j.where(inside & whole).where(there == F.col("gram"))
+            found.append(j.where(inside & whole).where(there == F.array_join("gram", " "))
                          .select("_id", "_h1", "_h2", start.alias("start"), size.alias("len"), "wid"))
     return reduce(DataFrame.unionByName, found)
 
@@ -164,6 +165,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, shi
                       F.coalesce("spans", F.array().cast("array<struct<from:int,to:int>>")).alias("spans"))
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """``_id, _h1, _h2`` (id and text hashes) of the documents with a hit, one row each."""
+    w = written(windows(benchmark.select("item_id", "text"), width), "windows")
+    found = occurrences(docs.select("doc_id", "text"), w.select("wid", "gram").dropDuplicates(["wid"]), shingle, block)
+    return written(found.where("wid is not null").select("_id", "_h1", "_h2").distinct(), "contaminated")
+
+
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
