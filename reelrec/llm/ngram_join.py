@@ -49,10 +49,11 @@ from reelrec.llm.words import mix64, shingles, text_words
 by_value(__name__)
 
 PERCENT = 75
-FRAGMENT = 4_000_000         # postings of a fragment
-FLUSH = 2_000_000            # postings packed at once by a task
+FRAGMENT = 2_000_000         # postings of a fragment
+FLUSH = 1_000_000            # postings packed at once by a task
 HOT_SHARE = 250
 HOT_LEAST = 16
+SENT_PAIRS = 500_000         # pairs whose ids are broadcast (16 MB at most)
 PIECES = 8                   # segments in which an overlap is counted
 HOT_DF = 65_535              # frequency given to hot shingles: last in the order
 
@@ -131,6 +132,7 @@ def _segment_task(hot, fragments: int):
     """Texts -> per fragment the packed segments of a few thousand classes."""
     def pack(sets: list[tuple[int, np.ndarray]], hot_h: np.ndarray) -> Iterator[tuple]:
         cids = np.array([c for c, _ in sets], dtype=np.uint64)
+        sizes = np.array([len(h) for _, h in sets], dtype="<u4")
         owner = np.repeat(np.arange(len(sets)), [len(h) for _, h in sets])
         h = np.concatenate([h for _, h in sets])
         is_hot = np.zeros(len(h), dtype=bool)
@@ -151,7 +153,7 @@ def _segment_task(hot, fragments: int):
             k = key[a:b].copy()
             k[1:m] -= key[a:a + m - 1] if m > 1 else k[1:m]     # differences of the sorted keys
             wide = 2 if len(local) <= 0xFFFF else 4
-            yield (int(frag[a]), len(local), b - a, m, cids[local].tobytes(), planes(k, 5), planes(index.astype(np.uint64), wide))
+            yield (int(frag[a]), len(local), b - a, m, cids[local].tobytes(), sizes[local].tobytes(), planes(k, 5), planes(index.astype(np.uint64), wide))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_h = hot.value
@@ -159,7 +161,7 @@ def _segment_task(hot, fragments: int):
 
         def flush():
             cols = list(zip(*pack(sets, hot_h)))
-            types = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            types = [pa.int32()] * 4 + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=SEGMENT_COLUMNS)
 
         for batch in batches:
@@ -180,124 +182,131 @@ def _segment_task(hot, fragments: int):
     return run
 
 
-SEGMENT_COLUMNS = ["fragment", "classes", "postings", "cold", "cids", "keys", "owners"]
-SEGMENT_SCHEMA = "fragment int, classes int, postings int, cold int, cids binary, keys binary, owners binary"
-SHARED_SCHEMA = "cid long, fragment int, keys binary, dfs binary"
-
-
-def _count_fragment(t: pa.Table) -> pa.Table:
-    """One fragment: the shingles that two classes or more have, back to each class."""
-    key, cid, hot_key, hot_cid = [], [], [], []
-    rows = t.to_pydict()
-    for classes, n, cold, cids, keys, owners in zip(*(rows[c] for c in SEGMENT_COLUMNS[1:])):
-        k = unplanes(keys, n, 5)
-        k[:cold] = np.cumsum(k[:cold])
-        own = np.frombuffer(cids, dtype=np.uint64)[unplanes(owners, n, len(owners) // n).astype(np.int64)]
-        key.append(k[:cold])
-        cid.append(own[:cold])
-        hot_key.append(k[cold:])
-        hot_cid.append(own[cold:])
-    del rows
-
-    def unique(key, cid):
-        key, cid = np.concatenate(key), np.concatenate(cid)
-        order = np.lexsort((cid, key))
-        key, cid = key[order], cid[order]
-        keep = np.ones(len(key), dtype=bool)
-        keep[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
-        return key[keep], cid[keep]
-
-    key, cid = unique(key, cid)
-    at = starts(key)
-    df = np.diff(np.append(at, len(key)))
-    df = np.repeat(df, df)
-    shared = df >= 2
-    fragment = t.column("fragment")[0].as_py()
-    out = [_by_class(cid[shared], key[shared], np.minimum(df[shared], HOT_DF - 1), fragment)]
-    hot_key, hot_cid = unique(hot_key, hot_cid)
-    out.append(_by_class(hot_cid, hot_key, np.full(len(hot_key), HOT_DF), -1))
-    return pa.concat_tables(out)
-
-
-def _by_class(cid: np.ndarray, key: np.ndarray, df: np.ndarray, fragment: int) -> pa.Table:
-    order = np.argsort(cid, kind="stable")
-    cid, key, df = cid[order], key[order], df[order].astype("<u2")
-    at = starts(cid)
-    ends = np.append(at[1:], len(cid))
-    raw = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-    dfs = df.tobytes()
-    return pa.table({
-        "cid": pa.array(cid[at].view(np.int64)),
-        "fragment": pa.array(np.full(len(at), fragment, dtype=np.int32)),
-        "keys": pa.array([raw[5 * a:5 * b] for a, b in zip(at, ends)], pa.binary()),
-        "dfs": pa.array([dfs[2 * a:2 * b] for a, b in zip(at, ends)], pa.binary()),
-    })
-
-
-def shared_shingles(docs: DataFrame, hot: np.ndarray, fragments: int) -> DataFrame:
-    """``cid, fragment, keys, dfs``: per class and fragment its shingles that other classes have."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
-    seg = docs.select("text").mapInArrow(_segment_task(sent, fragments), SEGMENT_SCHEMA)
-    return seg.groupBy("fragment").applyInArrow(_count_fragment, SHARED_SCHEMA)
+SEGMENT_COLUMNS = ["fragment", "classes", "postings", "cold", "cids", "sizes", "keys", "owners"]
+SEGMENT_SCHEMA = "fragment int, classes int, postings int, cold int, cids binary, sizes binary, keys binary, owners binary"
+ANSWER_COLUMNS = ["bucket", "fragment", "cids", "sizes", "counts", "keys", "dfs"]
+ANSWER_SCHEMA = "bucket int, fragment int, cids binary, sizes binary, counts binary, keys binary, dfs binary"
+
+
+def _unique(key: list, cid: list, size: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    key, cid, size = np.concatenate(key), np.concatenate(cid), np.concatenate(size)
+    order = np.lexsort((cid, key))
+    key, cid, size = key[order], cid[order], size[order]
+    keep = np.ones(len(key), dtype=bool)
+    keep[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
+    return key[keep], cid[keep], size[keep]
+
+
+def _count_task(buckets: int):
+    def run(t: pa.Table) -> pa.Table:
+        """One fragment: the shingles that two classes or more have, packed per bucket of classes."""
+        cold_part, hot_part = ([], [], []), ([], [], [])
+        columns = [t.column(c) for c in SEGMENT_COLUMNS]
+        for r in range(t.num_rows):
+            _, _, n, cold, cids, sizes, keys, owners = (c[r].as_py() for c in columns)
+            k = unplanes(keys, n, 5)
+            k[:cold] = np.cumsum(k[:cold])
+            at = unplanes(owners, n, len(owners) // n).astype(np.int64)
+            cid, size = np.frombuffer(cids, dtype=np.uint64)[at], np.frombuffer(sizes, dtype="<u4")[at]
+            for part, a, b in ((cold_part, 0, cold), (hot_part, cold, n)):
+                for x, y in zip(part, (k, cid, size)):
+                    x.append(y[a:b])
+        fragment = t.column("fragment")[0].as_py()
+        key, cid, size = _unique(*cold_part)
+        del cold_part
+        at = starts(key)
+        df = np.diff(np.append(at, len(key)))
+        df = np.repeat(np.minimum(df, HOT_DF - 1), df)
+        shared = df >= 2
+        rows = _answers(cid[shared], size[shared], key[shared], df[shared], fragment, buckets)
+        key, cid, size = _unique(*hot_part)
+        rows += _answers(cid, size, key, np.full(len(key), HOT_DF), -1, buckets)
+        types = [pa.int32(), pa.int32()] + [pa.binary()] * 5
+        return pa.Table.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(types)], names=ANSWER_COLUMNS)
+    return run
+
+
+def _answers(cid, size, key, df, fragment: int, buckets: int) -> list[tuple]:
+    bucket = fragment_of(mix64(cid), buckets)
+    order = np.lexsort((cid, bucket))
+    cid, size, key, df, bucket = (x[order] for x in (cid, size, key, df, bucket))
+    edge = np.append(starts(bucket), len(bucket))
+    out = []
+    for a, b in zip(edge[:-1], edge[1:]):
+        at = starts(cid[a:b])
+        counts = np.diff(np.append(at, b - a))
+        out.append((int(bucket[a]), fragment, cid[a:b][at].tobytes(), size[a:b][at].astype("<u4").tobytes(),
+                    counts.astype("<u4").tobytes(), planes(key[a:b], 5), planes(df[a:b].astype(np.uint64), 2)))
+    return out
 
 
 # --- prefixes ------------------------------------------------------------------------------------
 
-def _tokens(fragment: np.ndarray, keys: list[bytes]) -> np.ndarray:
-    """Shingle numbers: fragment and key; hot ones have the sign bit."""
-    parts = []
-    for f, k in zip(fragment, keys):
-        x = np.zeros((len(k) // 5, 8), dtype=np.uint8)
-        x[:, :5] = np.frombuffer(k, dtype=np.uint8).reshape(-1, 5)
-        top = np.uint64(1 << 63) if f < 0 else np.uint64(f << KEY_BITS)
-        parts.append(x.reshape(-1).view("<u8").astype(np.uint64) | top)
-    return np.concatenate(parts)
+PREFIX_SCHEMA = "cid long, n long, shared long, prefix array<long>, pieces array<array<long>>"
 
 
 def _prefix_task(percent: int):
-    """A class with all its shared shingles -> its prefix and its segments."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols = batch.to_pydict()
-            prefix, pieces = [], []
-            for n, parts in zip(cols["n"], cols["parts"]):
-                tok = _tokens([p["fragment"] for p in parts], [p["keys"] for p in parts])
-                df = np.frombuffer(b"".join(p["dfs"] for p in parts), dtype="<u2")
-                need = -(-percent * n // 100)
-                length = n - need + 1 - (n - len(tok))         # shingles of this class alone come first
-                order = np.lexsort((tok, df))
-                prefix.append(tok[order][:max(0, length)].view(np.int64).tolist())
-                piece = ((tok >> np.uint64(KEY_BITS - 3)) & np.uint64(PIECES - 1)).astype(np.int64)
-                pieces.append([tok[piece == p].view(np.int64).tolist() for p in range(PIECES)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("cid"), batch.column("n"), pa.array([sum(map(len, p)) for p in pieces], pa.int64()),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(pieces, pa.list_(pa.list_(pa.int64())))],
-                names=["cid", "n", "shared", "prefix", "pieces"])
+    def run(t: pa.Table) -> pa.Table:
+        """One bucket of classes with all answers -> prefix and segments of those that may have a partner.
+        A shingle's number is its fragment and key; hot ones have the top bit."""
+        cid, size, tok, df = [], [], [], []
+        columns = [t.column(c) for c in ANSWER_COLUMNS]
+        for r in range(t.num_rows):
+            _, fragment, cids, sizes, counts, keys, dfs = (c[r].as_py() for c in columns)
+            counts = np.frombuffer(counts, dtype="<u4")
+            n = int(counts.sum())
+            top = np.uint64(1 << 63) if fragment < 0 else np.uint64(fragment << KEY_BITS)
+            cid.append(np.repeat(np.frombuffer(cids, dtype=np.uint64), counts))
+            size.append(np.repeat(np.frombuffer(sizes, dtype="<u4"), counts))
+            tok.append(unplanes(keys, n, 5) | top)
+            df.append(unplanes(dfs, n, 2).astype(np.uint16))
+        cid, size, tok, df = (np.concatenate(x) for x in (cid, size, tok, df))
+        owner, index, shared = np.unique(cid, return_inverse=True, return_counts=True)
+        n = np.zeros(len(owner), dtype=np.int64)
+        n[index] = size
+        need = -(-percent * n // 100)
+        able = shared >= need
+        keep = able[index]
+        number = np.cumsum(able) - 1
+        index, tok, df = number[index[keep]], tok[keep], df[keep]
+        owner, n, need, shared = owner[able], n[able], need[able], shared[able]
+        # shingles of this class alone come first in the order, so of the shared ones fewer are in the prefix
+        order = np.lexsort((tok, df, index))
+        place = np.arange(len(tok)) - np.repeat(np.cumsum(shared) - shared, shared)
+        length = shared - need + 1
+        first = place < length[index[order]]
+        prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(tok[order][first].view(np.int64)))
+        piece = index * PIECES + ((tok >> np.uint64(KEY_BITS - 3)) & np.uint64(PIECES - 1)).astype(np.int64)
+        order = np.lexsort((tok, piece))
+        inner = np.append(0, np.cumsum(np.bincount(piece, minlength=len(owner) * PIECES)))
+        pieces = pa.ListArray.from_arrays(pa.array(np.arange(0, len(owner) * PIECES + 1, PIECES), pa.int32()),
+                                          pa.ListArray.from_arrays(pa.array(inner, pa.int32()), pa.array(tok[order].view(np.int64))))
+        return pa.table({"cid": pa.array(owner.view(np.int64)), "n": pa.array(n), "shared": pa.array(shared.astype(np.int64)),
+                         "prefix": prefix, "pieces": pieces})
     return run
 
 
-PREFIX_SCHEMA = "cid long, n long, shared long, prefix array<long>, pieces array<array<long>>"
-
-
 def candidates(docs: DataFrame, sets: DataFrame, percent: int, fragment: int = FRAGMENT) -> DataFrame:
     """Classes that may have a partner: ``cid, n, shared, prefix, pieces``."""
-    classes = sets.where(f"kind = {DOC} and n > 0").groupBy("cid").agg(F.max("n").alias("n"))
     total = sets.where(f"kind = {DOC}").agg(F.sum("n")).first()[0] or 0
     hot = (sets.where(f"kind = {HOT}").groupBy("cid").agg(F.sum("n").alias("n"), F.sum("check").alias("docs"))
            .where(f"n >= docs div {HOT_SHARE}").select("cid").toPandas()["cid"].to_numpy(dtype=np.int64))
     # at most HOT_SHARE times the mean size of a set for each size of flush: no more rows with more documents
     fragments = max(1, -(-total // fragment))
-    shared = shared_shingles(docs, hot.view(np.uint64), fragments)
-    parts = shared.groupBy("cid").agg(F.sum(F.octet_length("keys") / 5).cast("long").alias("s"),
-                                      F.collect_list(F.struct("fragment", "keys", "dfs")).alias("parts"))
-    able = parts.join(classes, "cid").where(F.col("s") * 100 >= F.col("n") * percent).select("cid", "n", "parts")
-    return written(able.mapInArrow(_prefix_task(percent), PREFIX_SCHEMA), "prefixes")
+    sent = docs.sparkSession.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
+    segments = docs.select("text").mapInArrow(_segment_task(sent, fragments), SEGMENT_SCHEMA)
+    answers = segments.groupBy("fragment").applyInArrow(_count_task(max(1, fragments // 2)), ANSWER_SCHEMA)
+    return written(answers.groupBy("bucket").applyInArrow(_prefix_task(percent), PREFIX_SCHEMA), "prefixes")
 
 
 # --- candidate groups, overlaps, links -----------------------------------------------------
 
 def linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """``a, b`` -> those pairs whose overlap, summed over the pieces, reaches the threshold."""
+    pairs = written(pairs, "pairs")
+    if pairs.count() <= SENT_PAIRS:                 # few enough to be sent: the segments of others stay where they are
+        ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
+        segments = segments.join(F.broadcast(ids), "cid", "left_semi")
     sa = segments.select(F.col("cid").alias("a"), F.col("n").alias("na"), "piece", F.col("toks").alias("ta"))
     sb = segments.select(F.col("cid").alias("b"), F.col("n").alias("nb"), "piece", F.col("toks").alias("tb"))
     partial = (pairs.join(sa, "a").join(sb, ["b", "piece"])
