@@ -250,38 +250,63 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[dict, list[s
     return train([(b, names.index(lang)) for b, lang in found], len(names)), names
 
 
+def _judged(net, names, batch: pa.RecordBatch) -> tuple[list[str], list[float]]:
+    """Language and score of each row of a batch with ``text`` and ``lettered``."""
+    text, lettered = batch.column("text"), batch.column("lettered").to_pylist()
+    best, score, group, size = [UND] * len(text), [0.0] * len(text), [], 0
+
+    def flush():
+        p = pooled(net, [b for _, b in group])
+        for (i, _), row in zip(group, p):
+            k = int(row.argmax())
+            best[i], score[i] = names[k], min(1.0, max(0.0, float(row[k])))
+
+    for i, value in enumerate(text):
+        if not lettered[i]:
+            continue
+        group.append((i, value.as_buffer().to_pybytes()))
+        size += len(group[-1][1])
+        if size >= 4 * STEPS * BATCH:
+            flush()
+            group, size = [], 0
+    if group:
+        flush()
+    return best, score
+
+
 def _label_task(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, names = model.value
         for batch in batches:
-            text, lettered = batch.column("text"), batch.column("lettered").to_pylist()
-            best, score, group, size = [UND] * len(text), [0.0] * len(text), [], 0
-
-            def flush():
-                p = pooled(net, [b for _, b in group])
-                for (i, _), row in zip(group, p):
-                    k = int(row.argmax())
-                    best[i], score[i] = names[k], min(1.0, max(0.0, float(row[k])))
-
-            for i, value in enumerate(text):
-                if not lettered[i]:
-                    continue
-                group.append((i, value.as_buffer().to_pybytes()))
-                size += len(group[-1][1])
-                if size >= 4 * STEPS * BATCH:
-                    flush()
-                    group, size = [], 0
-            if group:
-                flush()
+            best, score = _judged(*model.value, batch)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), pa.array(score, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
     return run
 
 
+def _keep_task(model, clear: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best, score = _judged(*model.value, batch)
+            keep = [b != UND and s >= clear for b, s in zip(best, score)]
+            yield batch.drop_columns(["lettered"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _lettered(docs: DataFrame):
+    return F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)).alias("lettered")
+
+
+def keep(docs: DataFrame, model: tuple[dict, list[str]] | None, clear: float) -> DataFrame:
+    """The rows of ``docs`` whose language is not ``und`` and has a score of at least ``clear``."""
+    if model is None:
+        return docs.where(F.lit(False))
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.select("*", _lettered(docs)).mapInArrow(_keep_task(sent, clear), docs.schema)
+
+
 def classify(docs: DataFrame, model: tuple[dict, list[str]] | None) -> DataFrame:
     """``doc_id, text`` -> ``doc_id, lang_pred, score`` for every row."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                    F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"), "text")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _lettered(docs), "text")
     if model is None:
         return d.select("doc_id", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)

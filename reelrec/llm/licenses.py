@@ -32,7 +32,7 @@ from reelrec.llm.common import table, written
 UNKNOWN = "unknown"
 SAMPLE_DOCS = 3000
 SAMPLE_LINES = 8             # lines of a sampled document
-LEAST = 0.6
+LEAST = 0.5
 CONFIRM = 0.7
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 WORDS = r"[\p{Alnum}\P{ASCII}]+"
@@ -173,11 +173,10 @@ class Model:
         return spark.createDataFrame(rows, "gram string, w array<double>")
 
 
-def _probabilities(scores: list[Column], temperature: float) -> list[Column]:
-    top = F.greatest(*scores)
-    e = [F.exp((s - top) / temperature) for s in scores]
-    total = sum(e[1:], e[0])
-    return [x / total for x in e]
+def _likelihood(scores: Column, at: Column, temperature: float) -> Column:
+    """Softmax probability of the class number ``at`` (from 0)."""
+    own = F.element_at(scores, (at + 1).cast("int"))
+    return 1 / F.aggregate(F.transform(scores, lambda x: F.exp((x - own) / temperature)), F.lit(0.0), lambda a, x: a + x)
 
 
 def fit(docs: DataFrame) -> Model:
@@ -186,8 +185,15 @@ def fit(docs: DataFrame) -> Model:
     vocabulary = sorted(r["g"] for r in templates(spark).select(F.explode(_grams(_words(F.col("text")))).alias("g")).distinct().collect())
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")) - 1
     data = written(training_set(docs).select("family", _grams(F.col("words")).alias("grams"), index.cast("double").alias("label"), "fold"), "licenses")
+    # the unknown and the known weigh the same, and so do the known among themselves
+    counts = {int(r["label"]): r["count"] for r in data.where("fold > 0").groupBy("label").count().collect()}
+    known = max(1, len(counts) - (0 in counts))
+    share = F.lit(0.0)
+    for k, n in counts.items():
+        share = F.when(F.col("label") == k, F.lit((0.5 if k == 0 else 0.5 / known) / n * sum(counts.values()))).otherwise(share)
+    data = data.withColumn("share", share)
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", binary=True).transform(data)
-    lr = LogisticRegression(family="multinomial", regParam=2e-4, elasticNetParam=1.0, maxIter=60, standardization=False)
+    lr = LogisticRegression(family="multinomial", regParam=1e-4, elasticNetParam=1.0, maxIter=60, standardization=False, weightCol="share")
     model = lr.fit(vectors.where("fold > 0"))
     matrix, bias = model.coefficientMatrix.toArray(), list(model.interceptVector.toArray())
     bias += [-30.0] * (len(classes) - len(bias))                  # classes that no row had
@@ -195,13 +201,10 @@ def fit(docs: DataFrame) -> Model:
     raw = Model(classes, vocabulary, weights, [float(b) for b in bias], 1.0)
     # calibration: the temperature with the least log loss on the held-out fold
     held = data.where("fold = 0").withColumn("_n", F.monotonically_increasing_id())
-    held = written(held.select("_n", "label", "grams"), "held")
-    z = _scores(held.select("_n", "label", F.explode_outer(F.array_distinct("grams")).alias("gram")), ["_n", "label"], raw)
-    scores = [F.col(f"z{k}") for k in range(len(classes))]
-    loss = []
-    for t in TEMPERATURES:
-        p = F.element_at(F.array(*_probabilities(scores, t)), (F.col("label") + 1).cast("int"))
-        loss.append(F.avg(-F.log(F.greatest(p, F.lit(1e-12)))))
+    held = written(held.select("_n", "label", "share", "grams"), "held")
+    z = _scores(held.select("_n", "label", "share", F.explode_outer(F.array_distinct("grams")).alias("gram")), ["_n", "label", "share"], raw)
+    scores = F.array(*[F.col(f"z{k}") for k in range(len(classes))])
+    loss = [F.sum(-F.log(F.greatest(_likelihood(scores, F.col("label"), t), F.lit(1e-12))) * F.col("share")) for t in TEMPERATURES]
     found = z.agg(*[x.alias(str(k)) for k, x in enumerate(loss)]).first()
     ranked = [(found[k], t) for k, t in enumerate(TEMPERATURES) if found[k] is not None]
     raw.temperature = min(ranked)[1] if ranked else 1.0
@@ -238,17 +241,17 @@ def scan(docs: DataFrame, model: Model, least: float = LEAST, confirm: float = C
                                                                   lambda x: x["w"].isNotNull())).alias("x"))
     hit = hit.select("doc_id", "line", "text", "x.g", "x.w").dropDuplicates(["doc_id", "line", "text", "g"])
     z = hit.groupBy("doc_id", "line", "text").agg(*[(F.sum(F.get("w", k)) + x).alias(f"z{k}") for k, x in enumerate(model.bias)])
-    probability = _probabilities([F.col(f"z{k}") for k in range(len(model.classes))], model.temperature)
-    named = F.array(*[F.struct(x.alias("p"), F.lit(-k).alias("k"), F.lit(n).alias("family"))
-                      for k, (n, x) in enumerate(zip(model.classes, probability))])
-    best = z.select("doc_id", "line", "text", F.array_max(named).alias("_b"))
-    best = best.where((F.col("_b.family") != UNKNOWN) & (F.col("_b.p") >= least))
+    z = z.select("doc_id", "line", "text", F.array(*[F.col(f"z{k}") for k in range(len(model.classes))]).alias("_z"))
+    z = z.withColumn("_at", F.array_position("_z", F.array_max("_z")) - 1)        # of equals the first
+    best = z.where("_at > 0").select("doc_id", "line", "text", F.element_at(F.array(*[F.lit(c) for c in model.classes]), (F.col("_at") + 1).cast("int")).alias("family"),
+                                     _likelihood(F.col("_z"), F.col("_at"), model.temperature).alias("p"))
+    best = best.where(F.col("p") >= least)
     # confirmation: the share of a template's n-grams that the paragraph holds
     t = templates(spark).select(F.col("family").alias("_f"), F.array_distinct(_grams(_words(F.col("text")))).alias("_t"))
-    own = best.select("doc_id", "line", "text", "_b", F.array_distinct(_grams(_words(F.col("text")))).alias("_g"))
-    j = own.join(F.broadcast(t), F.col("_b.family") == F.col("_f"))
+    own = best.select("doc_id", "line", "text", "family", "p", F.array_distinct(_grams(_words(F.col("text")))).alias("_g"))
+    j = own.join(F.broadcast(t), F.col("family") == F.col("_f"))
     share = F.size(F.array_intersect("_g", "_t")) / F.size("_t")
-    out = j.groupBy("doc_id", "line", "text").agg(F.first("_b.family").alias("family"), F.first("_b.p").alias("probability"),
+    out = j.groupBy("doc_id", "line", "text").agg(F.first("family").alias("family"), F.first("p").alias("probability"),
                                                   F.max(share).alias("similarity"))
     return out.select("doc_id", "line", "family", "probability", "similarity", (F.col("similarity") >= confirm).alias("confirmed"), "text")
 

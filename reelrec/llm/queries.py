@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from reelrec.llm import decontaminate, langid, licenses, mixing, ngram_join, quality, substring, tokens, url_filter, warc
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_token_counts": tokens.op9_token_counts,
     "op10_quality_rules": quality.op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
