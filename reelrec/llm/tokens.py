@@ -29,10 +29,11 @@ from reelrec.llm.common import by_value, table
 by_value(__name__)
 
 MODEL = "piece_bpe_32k.model"
-CHUNK = 1 << 16              # characters
+CHUNK = 1 << 16              # bytes
 OVERLAP = 1 << 10
 LIMIT = 4096
-GROUP_CHARS = 1 << 20        # short documents encoded by one call
+GROUP_BYTES = 1 << 20        # of short documents encoded by one call
+SPACE_SIGN = "\u2581".encode()
 
 
 class Encoder:
@@ -55,25 +56,35 @@ class Encoder:
     def counts(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.sp.encode(texts, num_threads=1)]
 
-    def starts(self, text: str) -> list[int]:
-        """Offset of each token, in characters."""
-        return [p.begin for p in self.sp.encode(text, return_type="proto").pieces]
+    def starts(self, text: bytes) -> list[int]:
+        """Offset of each token, in bytes of UTF-8."""
+        return [p.begin for p in self.sp.encode(text.decode(), return_type="proto").pieces]
 
-    def stable(self, text: str, at: int) -> bool:
-        return self.parts and 0 < at < len(text) and text[at] in " \u2581" and text[at - 1] not in " \u2581"
+    def stable(self, text: bytes, at: int) -> bool:
+        """Whether a space begins at ``at`` after another character: no merge can cross this place."""
+        if not self.parts or not 0 < at < len(text):
+            return False
+        return ((text[at] == 0x20 or text.startswith(SPACE_SIGN, at))
+                and text[at - 1] != 0x20 and not text.endswith(SPACE_SIGN, 0, at))
 
 
-def spliced_count(enc, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of the whole text, from overlapping chunks of about ``chunk`` characters."""
+def _whole(text: bytes, at: int) -> int:
+    """The last place up to ``at`` where a character begins."""
+    while 0 < at < len(text) and text[at] & 0xC0 == 0x80:
+        at -= 1
+    return at
+
+
+def spliced_count(enc, text: bytes, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
+    """Tokens of the whole UTF-8 text, from overlapping chunks of about ``chunk`` bytes."""
     n, start, entry, total = len(text), 0, 0, 0
     while True:
-        ahead = overlap
+        ahead, after = overlap, _whole(text, start + max(chunk, 4))
         while True:
-            end = min(n, start + chunk + ahead)
+            end = _whole(text, min(n, after + max(ahead, 4)))
             left = [start + x for x in enc.starts(text[start:end])]
-            if end == n:
+            if end >= n:
                 return total + sum(x >= entry for x in left)
-            after = start + chunk
             right = {after + x for x in enc.starts(text[after:end])}
             cut = next((x for x in left if x > after and x in right and enc.stable(text, x)), None)
             if cut is not None:
@@ -100,12 +111,12 @@ def _count_batches(model: str, chunk: int, overlap: int):
 
             for i, value in enumerate(texts):
                 text = value.as_py() or ""
-                if len(text) > chunk + overlap:
-                    out[i] = spliced_count(enc, text, chunk, overlap)
+                if len(text) + len(text) // 4 > chunk + overlap:
+                    out[i] = spliced_count(enc, text.encode(), chunk, overlap)
                 elif text:
                     group.append((i, text))
                     size += len(text)
-                    if size > GROUP_CHARS:
+                    if size > GROUP_BYTES:
                         flush()
                         size = 0
             if group:
