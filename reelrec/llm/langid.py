@@ -243,7 +243,7 @@ def training_passages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[dict, list[str]] | None:
     """The network and its languages, in code point order; None if there is nothing to learn from."""
-    found = [(b, lang) for b, lang in training_passages(docs, per_language) if b]
+    found = [(b, lang) for b, lang in training_passages(docs.select("doc_id", "text", "lang"), per_language) if b]
     names = sorted({lang for _, lang in found})
     if not names:
         return None
