@@ -139,9 +139,11 @@ def _write_task(dictionary: bytes, per_archive: int):
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, per_archive: int = PER_ARCHIVE) -> None:
     """``id, uri, body`` -> archives in the new folder ``path``."""
-    sample = (pages.where("body is not null")
-              .select(F.substring(F.col("body").cast("binary"), 1, SAMPLE_BYTES).alias("s"),
-                      F.xxhash64("id").alias("k"), F.col("id"))
+    some = pages.where("body is not null")
+    share = min(1.0, 2 * SAMPLE / max(1, some.count()))                     # so each task sends a few rows only
+    sample = (some.select(F.substring(F.col("body").cast("binary"), 1, SAMPLE_BYTES).alias("s"),
+                          F.xxhash64("id").alias("k"), F.col("id"))
+              .where(F.pmod("k", F.lit(1 << 30)) < int(share * (1 << 30)))
               .orderBy("k", "id").limit(SAMPLE).collect())                  # bounded: SAMPLE * SAMPLE_BYTES
     dictionary = train([bytes(r.s) for r in sample])
     frames = plan_records(pages, min_bytes).mapInArrow(_write_task(dictionary, per_archive), "frame binary")
