@@ -54,7 +54,7 @@ FLUSH = 1_000_000            # postings packed at once by a task
 HOT_SHARE = 250
 HOT_LEAST = 16
 SENT_PAIRS = 500_000         # pairs whose ids are broadcast (16 MB at most)
-PIECES = 8                   # segments in which an overlap is counted
+PIECES = 4                   # segments in which an overlap is counted
 HOT_DF = 65_535              # frequency given to hot shingles: last in the order
 
 
@@ -153,7 +153,14 @@ def _segment_task(hot, fragments: int):
             k = key[a:b].copy()
             k[1:m] -= key[a:a + m - 1] if m > 1 else k[1:m]     # differences of the sorted keys
             wide = 2 if len(local) <= 0xFFFF else 4
-            yield (int(frag[a]), len(local), b - a, m, cids[local].tobytes(), sizes[local].tobytes(), planes(k, 5), planes(index.astype(np.uint64), wide))
+            yield (int(frag[a]), len(local), b - a, m, cids[local].tobytes(), planes(k, 5), planes(index.astype(np.uint64), wide), b"", b"")
+        # the size of a class goes to one fragment only
+        place = fragment_of(mix64(cids), fragments)
+        order = np.argsort(place, kind="stable")
+        at = np.append(starts(place[order]), len(order))
+        for a, b in zip(at[:-1], at[1:]):
+            own = order[a:b]
+            yield (int(place[own[0]]), 0, 0, 0, b"", b"", b"", cids[own].tobytes(), sizes[own].tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_h = hot.value
@@ -161,7 +168,7 @@ def _segment_task(hot, fragments: int):
 
         def flush():
             cols = list(zip(*pack(sets, hot_h)))
-            types = [pa.int32()] * 4 + [pa.binary()] * 4
+            types = [pa.int32()] * 4 + [pa.binary()] * 5
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=SEGMENT_COLUMNS)
 
         for batch in batches:
@@ -182,61 +189,75 @@ def _segment_task(hot, fragments: int):
     return run
 
 
-SEGMENT_COLUMNS = ["fragment", "classes", "postings", "cold", "cids", "sizes", "keys", "owners"]
-SEGMENT_SCHEMA = "fragment int, classes int, postings int, cold int, cids binary, sizes binary, keys binary, owners binary"
-ANSWER_COLUMNS = ["bucket", "fragment", "cids", "sizes", "counts", "keys", "dfs"]
-ANSWER_SCHEMA = "bucket int, fragment int, cids binary, sizes binary, counts binary, keys binary, dfs binary"
+SEGMENT_COLUMNS = ["fragment", "classes", "postings", "cold", "cids", "keys", "owners", "home", "sizes"]
+SEGMENT_SCHEMA = ("fragment int, classes int, postings int, cold int, cids binary, keys binary, owners binary, "
+                  "home binary, sizes binary")
+ANSWER_COLUMNS = ["bucket", "fragment", "cids", "counts", "keys", "dfs"]
+ANSWER_SCHEMA = "bucket int, fragment int, cids binary, counts binary, keys binary, dfs binary"
+HOT_ANSWER, SIZE_ANSWER = -1, -2     # in place of a fragment: hot shingles; sizes of classes in ``counts``
 
 
-def _unique(key: list, cid: list, size: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    key, cid, size = np.concatenate(key), np.concatenate(cid), np.concatenate(size)
+def _unique(key: list, cid: list) -> tuple[np.ndarray, np.ndarray]:
+    if not key:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+    key, cid = np.concatenate(key), np.concatenate(cid)
     order = np.lexsort((cid, key))
-    key, cid, size = key[order], cid[order], size[order]
+    key, cid = key[order], cid[order]
     keep = np.ones(len(key), dtype=bool)
     keep[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
-    return key[keep], cid[keep], size[keep]
+    return key[keep], cid[keep]
 
 
 def _count_task(buckets: int):
     def run(t: pa.Table) -> pa.Table:
         """One fragment: the shingles that two classes or more have, packed per bucket of classes."""
-        cold_part, hot_part = ([], [], []), ([], [], [])
+        cold_part, hot_part, home = ([], []), ([], []), ([], [])
         columns = [t.column(c) for c in SEGMENT_COLUMNS]
         for r in range(t.num_rows):
-            _, _, n, cold, cids, sizes, keys, owners = (c[r].as_py() for c in columns)
+            _, _, n, cold, cids, keys, owners, own, sizes = (c[r].as_py() for c in columns)
+            if not n:
+                home[0].append(np.frombuffer(sizes, dtype="<u4").astype(np.uint64))
+                home[1].append(np.frombuffer(own, dtype=np.uint64))
+                continue
             k = unplanes(keys, n, 5)
             k[:cold] = np.cumsum(k[:cold])
-            at = unplanes(owners, n, len(owners) // n).astype(np.int64)
-            cid, size = np.frombuffer(cids, dtype=np.uint64)[at], np.frombuffer(sizes, dtype="<u4")[at]
+            cid = np.frombuffer(cids, dtype=np.uint64)[unplanes(owners, n, len(owners) // n).astype(np.int64)]
             for part, a, b in ((cold_part, 0, cold), (hot_part, cold, n)):
-                for x, y in zip(part, (k, cid, size)):
-                    x.append(y[a:b])
+                part[0].append(k[a:b])
+                part[1].append(cid[a:b])
         fragment = t.column("fragment")[0].as_py()
-        key, cid, size = _unique(*cold_part)
+        key, cid = _unique(*cold_part)
         del cold_part
         at = starts(key)
         df = np.diff(np.append(at, len(key)))
         df = np.repeat(np.minimum(df, HOT_DF - 1), df)
         shared = df >= 2
-        rows = _answers(cid[shared], size[shared], key[shared], df[shared], fragment, buckets)
-        key, cid, size = _unique(*hot_part)
-        rows += _answers(cid, size, key, np.full(len(key), HOT_DF), -1, buckets)
-        types = [pa.int32(), pa.int32()] + [pa.binary()] * 5
+        rows = _answers(cid[shared], key[shared], df[shared], fragment, buckets)
+        key, cid = _unique(*hot_part)
+        rows += _answers(cid, key, np.full(len(key), HOT_DF), HOT_ANSWER, buckets)
+        size, cid = _unique(*home)
+        bucket = fragment_of(mix64(cid), buckets)
+        order = np.argsort(bucket, kind="stable")
+        edge = np.append(starts(bucket[order]), len(order))
+        for a, b in zip(edge[:-1], edge[1:]):
+            own = order[a:b]
+            rows.append((int(bucket[own[0]]), SIZE_ANSWER, cid[own].tobytes(), size[own].astype("<u4").tobytes(), b"", b""))
+        types = [pa.int32(), pa.int32()] + [pa.binary()] * 4
         return pa.Table.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(types)], names=ANSWER_COLUMNS)
     return run
 
 
-def _answers(cid, size, key, df, fragment: int, buckets: int) -> list[tuple]:
+def _answers(cid, key, df, fragment: int, buckets: int) -> list[tuple]:
     bucket = fragment_of(mix64(cid), buckets)
     order = np.lexsort((cid, bucket))
-    cid, size, key, df, bucket = (x[order] for x in (cid, size, key, df, bucket))
+    cid, key, df, bucket = (x[order] for x in (cid, key, df, bucket))
     edge = np.append(starts(bucket), len(bucket))
     out = []
     for a, b in zip(edge[:-1], edge[1:]):
         at = starts(cid[a:b])
         counts = np.diff(np.append(at, b - a))
-        out.append((int(bucket[a]), fragment, cid[a:b][at].tobytes(), size[a:b][at].astype("<u4").tobytes(),
-                    counts.astype("<u4").tobytes(), planes(key[a:b], 5), planes(df[a:b].astype(np.uint64), 2)))
+        out.append((int(bucket[a]), fragment, cid[a:b][at].tobytes(), counts.astype("<u4").tobytes(),
+                    planes(key[a:b], 5), planes(df[a:b].astype(np.uint64), 2)))
     return out
 
 
@@ -249,21 +270,25 @@ def _prefix_task(percent: int):
     def run(t: pa.Table) -> pa.Table:
         """One bucket of classes with all answers -> prefix and segments of those that may have a partner.
         A shingle's number is its fragment and key; hot ones have the top bit."""
-        cid, size, tok, df = [], [], [], []
+        none = np.zeros(0, dtype=np.uint64)
+        cid, tok, df, known, known_size = [none], [none], [np.zeros(0, dtype=np.uint16)], [none], [np.zeros(0, dtype=np.int64)]
         columns = [t.column(c) for c in ANSWER_COLUMNS]
         for r in range(t.num_rows):
-            _, fragment, cids, sizes, counts, keys, dfs = (c[r].as_py() for c in columns)
+            _, fragment, cids, counts, keys, dfs = (c[r].as_py() for c in columns)
             counts = np.frombuffer(counts, dtype="<u4")
+            if fragment == SIZE_ANSWER:
+                known.append(np.frombuffer(cids, dtype=np.uint64))
+                known_size.append(counts.astype(np.int64))
+                continue
             n = int(counts.sum())
             top = np.uint64(1 << 63) if fragment < 0 else np.uint64(fragment << KEY_BITS)
             cid.append(np.repeat(np.frombuffer(cids, dtype=np.uint64), counts))
-            size.append(np.repeat(np.frombuffer(sizes, dtype="<u4"), counts))
             tok.append(unplanes(keys, n, 5) | top)
             df.append(unplanes(dfs, n, 2).astype(np.uint16))
-        cid, size, tok, df = (np.concatenate(x) for x in (cid, size, tok, df))
+        cid, tok, df, known, known_size = (np.concatenate(x) for x in (cid, tok, df, known, known_size))
         owner, index, shared = np.unique(cid, return_inverse=True, return_counts=True)
-        n = np.zeros(len(owner), dtype=np.int64)
-        n[index] = size
+        order = np.argsort(known)
+        n = known_size[order][np.searchsorted(known[order], owner)] if len(owner) else np.zeros(0, dtype=np.int64)
         need = -(-percent * n // 100)
         able = shared >= need
         keep = able[index]
@@ -276,7 +301,7 @@ def _prefix_task(percent: int):
         length = shared - need + 1
         first = place < length[index[order]]
         prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(tok[order][first].view(np.int64)))
-        piece = index * PIECES + ((tok >> np.uint64(KEY_BITS - 3)) & np.uint64(PIECES - 1)).astype(np.int64)
+        piece = index * PIECES + ((tok >> np.uint64(KEY_BITS - 2)) & np.uint64(PIECES - 1)).astype(np.int64)
         order = np.lexsort((tok, piece))
         inner = np.append(0, np.cumsum(np.bincount(piece, minlength=len(owner) * PIECES)))
         pieces = pa.ListArray.from_arrays(pa.array(np.arange(0, len(owner) * PIECES + 1, PIECES), pa.int32()),
@@ -320,20 +345,22 @@ def components(cand: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = cand.sparkSession
     # most of its shingles shared first: such a member links with most of its group
     order = F.struct(((F.col("n") - F.col("shared")) * 1000 / F.col("n")).cast("int").alias("u"), F.col("cid").alias("cid"))
-    groups = written(cand.select(F.posexplode("prefix").alias("at", "tok"), "cid", "n", "shared", order.alias("ord")), "groups")
+    base = written(cand.select(F.posexplode("prefix").alias("at", "tok"), "cid", "n", "shared", order.alias("ord")), "groups")
     segments = cand.select("cid", "n", F.posexplode("pieces").alias("piece", "toks"))
     segments = written(segments.where(F.size("toks") > 0), "segments")
     labels = spark.createDataFrame([], "v long, c long")
     done = pivots = 0
     while True:
         done, pivots = pivots, pivots * 16 + 1
-        g = groups.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
-        # groups of one component are finished
+        # a group of one component is finished, now and in all later rounds
+        g = base.withColumn("c", F.col("cid")) if not done else (
+            base.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid")))
         open_groups = (g.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
                        .where((F.col("lo") < F.col("hi")) & (F.col("m") > done + 1)).select("tok"))
         g = written(g.join(open_groups, "tok"), "open")
         if g.isEmpty():
             return labels
+        base = g.drop("c")
         rank = F.row_number().over(Window.partitionBy("tok").orderBy("ord"))
         p = (g.withColumn("k", rank).where(F.col("k") <= pivots).where(F.col("k") > done)
              .select("tok", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"),
