@@ -26,6 +26,7 @@ MODES = ("quarantine", "fail", "drop")
 class ParseResult:
     rows: DataFrame
     rejects: DataFrame | None
+    staged: DataFrame | None = None     # both at once: value, the fields, ``_reason`` (null for rows)
 
 
 def drop_incomplete(lines: DataFrame, delim: str, value_col: str = "value") -> DataFrame:
@@ -36,7 +37,10 @@ def drop_incomplete(lines: DataFrame, delim: str, value_col: str = "value") -> D
 def _typed(raw: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return raw
-    return raw.try_cast(dtype)
+    value = raw.try_cast(dtype)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):      # NaN and infinities are no ratings
+        value = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return value
 
 
 def _reason(n_fields: Column, needed: int, raws: list[Column], typed: list[Column],
@@ -77,7 +81,7 @@ def _finish(projected: DataFrame, schema: T.StructType, value_col: str, on_error
         return ParseResult(rows, None)
     rejects = projected.where(F.col("_reason").isNotNull()).select(
         F.col(value_col).alias("value"), F.col("_reason").alias("reason"))
-    return ParseResult(rows, rejects)
+    return ParseResult(rows, rejects, projected)
 
 
 def parse_delimited(lines: DataFrame, schema: T.StructType, delim: str, *,
@@ -108,10 +112,12 @@ def parse_csv_quoted(lines: DataFrame, schema: T.StructType, *, on_error: str =
     """D17 option: RFC-4180 quoting (``"American President, The (1995)"`` stays one field)."""
     lines = drop_incomplete(lines, ",", value_col)
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    rec = F.from_csv(F.col(value_col), as_text.simpleString(), {"mode": "PERMISSIVE"})
+    rec = F.from_csv(F.col(value_col), as_text.simpleString(),
+                     {"mode": "PERMISSIVE", "escape": '"', "nullValue": "\u0001", "emptyValue": ""})
     raws = [java_trim(F.col("_rec").getField(f.name)) for f in schema.fields]
     typed = [_typed(r, f.dataType) for r, f in zip(raws, schema.fields)]
-    n_fields = F.size(F.split(F.col(value_col), ","))  # lower bound only matters for too-few
+    # the record's own fields, as quotes may hold commas: the parser leaves those it lacks null
+    n_fields = sum((r.isNotNull().cast("int") for r in raws), F.lit(0))
     staged = lines.select(F.col(value_col), rec.alias("_rec"))
     reason = _reason(F.when(F.col("_rec").isNull(), F.lit(0)).otherwise(n_fields), len(schema.fields),
                      raws, typed, schema)

@@ -18,13 +18,13 @@ import itertools
 import os
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelrec.operators.scoring import best_run, factor_top_k, rmse
+from reelrec.session import held
 
 # The reference's live training settings.
 DEFAULT_RANK = 10
@@ -32,13 +32,16 @@ DEFAULT_ITERATIONS = 10
 DEFAULT_LAMBDA = 0.07
 DEFAULT_K = 5
 DEFAULT_SEED = 42
-MAX_BLOCKS = 1024   # user/item blocks: parallelism of every ALS stage, capped to bound block traffic
+# User and item blocks: the parallelism of every ALS stage, and part of the model: factors are
+# initialised per block, so another number gives another model.  Never taken from the session.
+DEFAULT_BLOCKS = 10
 
 METRICS_SCHEMA = T.StructType([
     T.StructField("run_id", T.IntegerType()),
     T.StructField("rank", T.IntegerType()),
     T.StructField("iterations", T.IntegerType()),
     T.StructField("lambda", T.DoubleType()),
+    T.StructField("blocks", T.IntegerType()),
     T.StructField("rmse", T.DoubleType()),
     T.StructField("n", T.LongType()),
     T.StructField("model_path", T.StringType()),
@@ -46,31 +49,19 @@ METRICS_SCHEMA = T.StructType([
 
 
 def als_estimator(rank: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
-                  reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int = 10) -> ALS:
+                  reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int = DEFAULT_BLOCKS) -> ALS:
     return ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="userId",
                itemCol="movieId", ratingCol="rating", coldStartStrategy="drop", nonnegative=False,
                numUserBlocks=blocks, numItemBlocks=blocks)
 
 
-def default_blocks(df: DataFrame) -> int:
-    """ALS's fixed default of 10 blocks would cap every stage at 10 tasks on any cluster;
-    use the session's parallelism instead (bounded by ``MAX_BLOCKS``)."""
-    return max(1, min(MAX_BLOCKS, df.sparkSession.sparkContext.defaultParallelism))
-
-
 def fit(train: DataFrame, rank: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
-        reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int | None = None) -> ALSModel:
+        reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int = DEFAULT_BLOCKS) -> ALSModel:
     """M1.  The three input columns are persisted for the fit (ALS reads its input more
     than once); the fitted factors are materialised by ``fit``, so the input is released."""
-    est = als_estimator(rank, iterations, reg, seed, blocks or default_blocks(train))
-    data = train.select("userId", "movieId", "rating")
-    if data.storageLevel.useMemory or data.storageLevel.useDisk:
+    est = als_estimator(rank, iterations, reg, seed, blocks)
+    with held(train.select("userId", "movieId", "rating")) as data:
         return est.fit(data)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return est.fit(data)
-    finally:
-        data.unpersist()
 
 
 def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -101,43 +92,40 @@ class GridResult:
 
 
 def grid_search(train: DataFrame, test: DataFrame, *, ranks=(DEFAULT_RANK,), iterations=(DEFAULT_ITERATIONS,),
-                lambdas=(DEFAULT_LAMBDA,), seed: int = DEFAULT_SEED, model_root: str | None = None) -> GridResult:
+                lambdas=(DEFAULT_LAMBDA,), seed: int = DEFAULT_SEED, blocks: int = DEFAULT_BLOCKS,
+                model_root: str | None = None) -> GridResult:
     """M3 + A5: fit every (rank, iterations, lambda), score each on ``test``, keep the best.
 
     Not ``CrossValidator``/``TrainValidationSplit``: the hold-out is chronological, so a
     random split would leak the future.
     """
     spark = train.sparkSession
-    train = train.select("userId", "movieId", "rating").persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.select("userId", "movieId", "rating").persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
-    try:
+    with held(train.select("userId", "movieId", "rating")) as train, held(test.select("userId", "movieId", "rating")) as test:
         for run_id, (r, it, lam) in enumerate(itertools.product(ranks, iterations, lambdas), start=1):
-            model = fit(train, r, it, lam, seed)
+            model = fit(train, r, it, lam, seed, blocks)
             m = evaluate(model, test).first()
             path = None
             if model_root:
                 path = save(model, os.path.join(model_root, f"run={run_id}"))
-            rows.append((run_id, int(r), int(it), float(lam), m["rmse"], int(m["n"]), path))
-    finally:
-        train.unpersist()
-        test.unpersist()
+            rows.append((run_id, int(r), int(it), float(lam), int(blocks), m["rmse"], int(m["n"]), path))
     metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
     return GridResult(metrics, best_run(metrics))
 
 
+def _ranked(recs: DataFrame) -> DataFrame:
+    """Adds ``rank`` (1 = best), so that a stored list keeps its order."""
+    best_first = Window.partitionBy("userId").orderBy(F.desc("score"), F.asc("movieId"))
+    return recs.withColumn("rank", F.row_number().over(best_first)).withColumnRenamed("score", "rating")
+
+
 def recommend_all_users(model: ALSModel, k: int = DEFAULT_K) -> DataFrame:
     """M5: top-k for every user; rated movies are not removed (as in the reference)."""
-    return factor_top_k(model.userFactors, model.itemFactors, k).withColumnRenamed("score", "rating")
+    return _ranked(factor_top_k(model.userFactors, model.itemFactors, k))
 
 
 def recommend_users(model: ALSModel, users: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     """M4 for a set of users (one user = a one-row frame); users unknown to the model get
     no rows (the router sends them to the popular list)."""
     wanted = model.userFactors.join(users.select(F.col("userId").alias("id")), "id", "left_semi")
-    return factor_top_k(wanted, model.itemFactors, k).withColumnRenamed("score", "rating")
-
-
-def factor_frames(model: ALSModel) -> tuple[DataFrame, DataFrame]:
-    """(user factors, item factors) as ``id int, features array<float>``."""
-    return model.userFactors, model.itemFactors
+    return _ranked(factor_top_k(wanted, model.itemFactors, k))

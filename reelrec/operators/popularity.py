@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from reelrec.operators.split import select_kth
 
-MAX_POPULAR_K = 1000  # the popular list is broadcast; its size is bounded by k
-
 
 def rating_count(ratings: DataFrame) -> DataFrame:
     """A1: one row, ``n`` as bigint (the reference's ``.toInt`` wrapped past 2^31)."""
@@ -26,8 +24,13 @@ def distinct_users(ratings: DataFrame) -> DataFrame:
 
 
 def dedupe_movies(movies: DataFrame) -> DataFrame:
-    """One title per movie id (D14): the smallest title wins, deterministically."""
-    return movies.groupBy("movieId").agg(F.min("title").alias("title"), F.min("genres").alias("genres"))
+    """One row per movie id (D14): the smallest (title, genres) row wins, whole."""
+    return movies.groupBy("movieId").agg(F.min(F.struct("title", "genres")).alias("_m")).select("movieId", "_m.title", "_m.genres")
+
+
+def duplicate_movies(movies: DataFrame) -> DataFrame:
+    """Movie ids with more than one row (D14): ``movieId, n``, what ``dedupe_movies`` decides on."""
+    return movies.groupBy("movieId").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def popular_top_k(ratings: DataFrame, movies: DataFrame, k: int = 5) -> DataFrame:
@@ -37,8 +40,8 @@ def popular_top_k(ratings: DataFrame, movies: DataFrame, k: int = 5) -> DataFram
     missing from ``movies`` shortens the list (D14).  The top-k plan is
     ``TakeOrderedAndProject`` over the partial counts; the k-row side is broadcast.
     """
-    if not 0 < k <= MAX_POPULAR_K:
-        raise ValueError(f"k must be in 1..{MAX_POPULAR_K}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
     top = movie_popularity(ratings).orderBy(F.desc("cnt"), F.asc("movieId")).limit(k)
     titles = movies.select("movieId", "title")
     return titles.join(F.broadcast(top), "movieId", "inner").select("movieId", "title", "cnt")

@@ -15,9 +15,8 @@ gives the same numbers with balanced tasks:
 
 Ties on the full key are identical rows, so any order among them is the same answer.
 
-The balanced plan costs a range shuffle and a checkpoint, so it is used only when the
-largest group is above ``max_group_rows`` (one aggregate, one number to the driver);
-below that bound one task per group is fine and Spark's window runs as is.
+The same plan runs at every size.  ``size`` adds the number of rows of the group, from the same
+totals, so rank bands need no second aggregate and no join (null groups included).
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ from pyspark.sql import functions as F
 from reelrec.session import ensure_checkpoint_dir
 
 EXPAND_CHUNK = 1_000_000
-MAX_GROUP_ROWS = 2_000_000   # rows one task may sort for a single group
 
 
 def _partitions(df: DataFrame, requested: int | None) -> int:
@@ -41,18 +39,13 @@ def _partitions(df: DataFrame, requested: int | None) -> int:
 
 
 def row_number_by_group(df: DataFrame, group: list[str], order: list[str], out: str = "rank", *,
-                        partitions: int | None = None, expand_chunk: int = EXPAND_CHUNK,
-                        max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                        size: str | None = None, partitions: int | None = None,
+                        expand_chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Exact ``row_number() over (partition by group order by order)``; output = input
-    columns + ``out`` (bigint)."""
+    columns + ``out`` (bigint), and with ``size`` the rows of the group in that column."""
     spark = df.sparkSession
     rest = [c for c in df.columns if c not in group and c not in order]
     key = list(group) + list(order) + rest
-    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if largest <= max_group_rows:
-        w = Window.partitionBy(*group).orderBy(*order, *rest)
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-
     ensure_checkpoint_dir(spark)
     p = _partitions(df, partitions)
     distinct = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_w"))
@@ -61,27 +54,29 @@ def row_number_by_group(df: DataFrame, group: list[str], order: list[str], out:
 
     totals = parts.groupBy("_pid", *group).agg(F.sum("_w").alias("_t"))
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *group, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    offsets = totals.select("_pid", *group, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_t").over(Window.partitionBy(*group)).alias("_size"))
 
     cond = reduce(lambda a, b: a & b,
                   [parts["_pid"] == offsets["_pid"]] + [parts[g].eqNullSafe(offsets[g]) for g in group])
-    joined = parts.join(offsets, cond, "inner").select(parts["*"], offsets["_off"])
+    joined = parts.join(offsets, cond, "inner").select(parts["*"], offsets["_off"], offsets["_size"])
     running = Window.partitionBy("_pid", *group).orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
     start = (F.col("_off") + F.sum("_w").over(running) - F.col("_w") + 1).cast("long")
-    numbered = joined.select(*key, "_w", start.alias("_start"))
+    numbered = joined.select(*key, "_w", start.alias("_start"), "_size")
+    result = [*df.columns, out, *([F.col("_size").alias(size)] if size else [])]
 
     max_w = parts.agg(F.max("_w")).first()[0] or 0
     if max_w <= expand_chunk:
-        return numbered.select(*key, F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_w") - 1))
-                               .alias(out)).select(*df.columns, out)
+        return numbered.select(*key, "_size", F.explode(F.sequence(F.col("_start"), F.col("_start") + F.col("_w") - 1))
+                               .alias(out)).select(*result)
     # Hot duplicate rows: split the expansion into chunks and spread them over tasks.
-    chunked = numbered.select(*key, "_w", "_start",
+    chunked = numbered.select(*key, "_w", "_start", "_size",
                               F.explode(F.sequence(F.lit(0).cast("long"),
                                                    F.floor((F.col("_w") - 1) / expand_chunk).cast("long"))).alias("_c"))
     chunked = chunked.repartition(p, *key, "_c")
     lo = F.col("_start") + F.col("_c") * expand_chunk
     hi = F.least(lo + expand_chunk - 1, F.col("_start") + F.col("_w") - 1)
-    return chunked.select(*key, F.explode(F.sequence(lo, hi)).alias(out)).select(*df.columns, out)
+    return chunked.select(*key, "_size", F.explode(F.sequence(lo, hi)).alias(out)).select(*result)
 
 
 def rank_within_rating(ratings: DataFrame, **kw) -> DataFrame:
@@ -97,12 +92,16 @@ def rank_band_sample(ratings: DataFrame, bounds: tuple[int, int] | None = None,
     Default bounds are per-rating thirds, b1 = n/3 and b2 = 2*(n/3) with integer division
     (D11); pass absolute ``bounds`` to use the same two numbers for every rating.
     """
-    ranked = rank_within_rating(ratings, **kw)
+    ranked = rank_within_rating(ratings, size="_n", **kw)
     if bounds is None:
-        sizes = ratings.groupBy("rating").agg(F.count(F.lit(1)).alias("_n"))
         third = F.floor(F.col("_n") / 3)
-        ranked = ranked.join(sizes.select("rating", third.alias("_b1"), (third * 2).alias("_b2")), "rating")
+        ranked = ranked.withColumn("_b1", third).withColumn("_b2", third * 2)
     else:
         ranked = ranked.withColumn("_b1", F.lit(bounds[0])).withColumn("_b2", F.lit(bounds[1]))
     band = F.when(F.col("rank") <= F.col("_b1"), 1).when(F.col("rank") <= F.col("_b2"), 2).otherwise(3)
     return ranked.select("userId", "movieId", "rating", "rank", band.cast("int").alias("band"))
+
+
+def banded(ratings: DataFrame, band: int, bounds: tuple[int, int] | None = None, **kw) -> DataFrame:
+    """Rows of one band (1, 2 or 3) in the form of the ratings triple: sampled train/test tables."""
+    return rank_band_sample(ratings, bounds, **kw).where(F.col("band") == band).select("userId", "movieId", "rating")

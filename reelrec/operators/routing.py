@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrec.operators.popularity import MAX_POPULAR_K
-
-# Fixed value: directory partitions of a stored recommendation table (see ``user_bucket``).
+# Default number of buckets of a stored recommendation table (see ``user_bucket``): a parameter of
+# the table, which its readers must pass on.
 USER_BUCKETS = 256
 BUCKET_COL = "ubucket"
 
@@ -40,10 +39,8 @@ def new_users(users: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _popular_rows(popular: DataFrame) -> list[int]:
-    rows = popular.select("movieId").limit(MAX_POPULAR_K + 1).collect()
-    if len(rows) > MAX_POPULAR_K:
-        raise ValueError(f"popular list longer than {MAX_POPULAR_K} rows")
-    return sorted({r["movieId"] for r in rows if r["movieId"] is not None})
+    """The popular list: as many rows as the caller's k."""
+    return sorted({r["movieId"] for r in popular.select("movieId").collect() if r["movieId"] is not None})
 
 
 def _popular_array(popular: DataFrame, movies: DataFrame | None, score: float | None = 0.0):
@@ -60,8 +57,8 @@ def _popular_array(popular: DataFrame, movies: DataFrame | None, score: float |
 def fallback_popular(users: DataFrame, popular: DataFrame, movies: DataFrame | None = None) -> DataFrame:
     """J4 + P9: each user x each popular movie, score 0.0 (ids in the right order, D5).
 
-    The popular list is at most ``MAX_POPULAR_K`` rows (checked), so it is inlined as a
-    literal array and exploded per user: no join, every user row stays where it is.
+    The popular list is the k rows its caller asked for, so it is inlined as a literal array and
+    exploded per user: no join, every user row stays where it is.
     With ``movies`` given, only popular movies that exist there are offered.
     """
     arr = _popular_array(popular, movies, score=None)
@@ -69,7 +66,7 @@ def fallback_popular(users: DataFrame, popular: DataFrame, movies: DataFrame | N
 
 
 def route(users: DataFrame, recommendations: DataFrame, popular: DataFrame,
-          movies: DataFrame | None = None, score: str = "score") -> DataFrame:
+          movies: DataFrame | None = None, score: str = "score", buckets: int = USER_BUCKETS) -> DataFrame:
     """Known users' stored top-k, the popular list (score 0.0) for everyone else.
 
     One left join of the batch users with the recommendations: a matched user expands to
@@ -80,10 +77,10 @@ def route(users: DataFrame, recommendations: DataFrame, popular: DataFrame,
     keys = ["userId"]
     if BUCKET_COL in recommendations.columns:
         # Stored by user bucket: read only the buckets this batch touches.  The bucket list
-        # is at most USER_BUCKETS values, so it is a bounded partition filter, not data.
+        # is at most ``buckets`` values, so it is a bounded partition filter, not data.
         keys = [BUCKET_COL, "userId"]
-        users = users.select("userId", user_bucket("userId").alias(BUCKET_COL))
-        touched = sorted(r[0] for r in users.select(BUCKET_COL).distinct().limit(USER_BUCKETS + 1).collect())
+        users = users.select("userId", user_bucket("userId", buckets).alias(BUCKET_COL))
+        touched = sorted(r[0] for r in users.select(BUCKET_COL).distinct().collect())
         recommendations = recommendations.where(F.col(BUCKET_COL).isin(touched))
     recs = recommendations.select(*keys, F.col("movieId").cast("int").alias("movieId"),
                                   F.col(score).cast("double").alias("rating"))

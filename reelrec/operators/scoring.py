@@ -6,8 +6,8 @@ every (user, item) pair, so the work is cut into block pairs:
 
 * users and items are hashed into blocks of about ``block_bytes`` of features; a block is
   one row holding an id array and a feature matrix, so its size is bounded by construction;
-* user blocks are replicated once per item block and joined on the item block id: a
-  work unit is one (user block, item block) pair, spread over tasks by the join;
+* user blocks are replicated once per item block, item blocks once per group of user blocks,
+  and joined on (group, item block): a work unit is one (user block, item block) pair;
 * float64 matrix products per pair (numpy inside ``mapInPandas``), a chunk of users at a
   time so at most ``SCORE_CELLS`` scores are held, and a vectorised top-k: only the k best
   items per user leave the task;
@@ -36,6 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DEFAULT_BLOCK_BYTES = 16 << 20      # feature bytes per block (float32 vectors)
 MIN_USER_BLOCK_ROWS = 256           # smallest user block worth a task of its own
 BROADCAST_ITEM_BYTES = 64 << 20     # item factors up to this size are broadcast
+USER_BLOCKS_PER_GROUP = 4           # user blocks that share a copy of an item block in the join
 SCORE_CELLS = 4 << 20               # scores held at once per task: 4M doubles = 32 MB
 PAIR_SCHEMA = "userId int, movieId int, score double"
 
@@ -110,18 +111,19 @@ def factor_top_k(user_factors: DataFrame, item_factors: DataFrame, k: int = 5, *
     # partition (hash would collide), and an explicit count is not coalesced away by AQE
     users = _blocks(user_factors, ub, "u").repartitionByRange(ub, "_ub")
     items = _blocks(item_factors, ib, "i")
-    # every user block meets every item block: replicate the user block per item block id
-    # and equi-join on that id (no nested-loop or cartesian join in the plan)
-    replicated = users.select("_ub", "u_ids", "u_feat",
-                              F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
+    # Every user block meets every item block.  Both sides are keyed by (group of user blocks, item
+    # block): a key has at most USER_BLOCKS_PER_GROUP user blocks and one item block, whatever the
+    # sizes, and there are about ub * ib / USER_BLOCKS_PER_GROUP keys of equal weight.
+    groups = math.ceil(ub / USER_BLOCKS_PER_GROUP)
+    group = F.floor(F.col("_ub") / USER_BLOCKS_PER_GROUP).cast("int").alias("_g")
+    replicated = users.select("_ub", group, "u_ids", "u_feat", F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("_ib"))
     if n_items * dim * 4 <= BROADCAST_ITEM_BYTES:
         # the whole catalogue is small (checked): ship its blocks once per executor, keep
         # one user block per task
         pairs = replicated.join(F.broadcast(items), "_ib")
     else:
-        pairs = replicated.join(items, "_ib")
-        if ib < cores:   # few item blocks: spread the pairs instead of one task per item block
-            pairs = pairs.repartition(ub * ib, "_ub", "_ib")
+        dealt = items.select("_ib", "i_ids", "i_feat", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_g"))
+        pairs = replicated.join(dealt.hint("merge"), ["_g", "_ib"])      # never a broadcast of replicated blocks
     pairs = pairs.select("u_ids", "u_feat", "i_ids", "i_feat")
     partial = pairs.mapInPandas(_topk_in_block(k), PAIR_SCHEMA)
     if ib == 1:
@@ -158,6 +160,6 @@ def rmse(joined: DataFrame, prediction: str = "prediction", label: str = "rating
 
 
 def best_run(metrics: DataFrame, metric: str = "rmse", run_id: str = "run_id") -> DataFrame:
-    """A5: the run with the smallest metric; the first of equal runs wins; runs with a null
-    metric are failures and never selected (Spark sorts nulls first)."""
-    return metrics.where(F.col(metric).isNotNull()).orderBy(F.asc(metric), F.asc(run_id)).limit(1)
+    """A5: the run with the smallest metric; the first of equal runs wins; runs with a null or
+    NaN metric are failures and never selected (Spark sorts nulls first)."""
+    return metrics.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double"))).orderBy(F.asc(metric), F.asc(run_id)).limit(1)

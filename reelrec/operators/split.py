@@ -24,14 +24,16 @@ counts.  No shuffle of rows, no single-task merge, same answer on any partitioni
 from __future__ import annotations
 
 import math
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelrec.session import held
+
 
 DEFAULT_BUCKETS = 4096
 DEFAULT_EXACT_ROWS = 200_000
@@ -148,13 +150,8 @@ def select_kths(df: DataFrame, order: list[str], targets: list[tuple[int, bool]]
     if not targets:
         return []
     keys = df.select(*order)
-    if persist:
-        keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(keys) if persist else nullcontext(keys) as keys:
         return _select(keys, order, targets, buckets, exact_rows, stats, first_level)
-    finally:
-        if persist:
-            keys.unpersist()
 
 
 def _select(keys: DataFrame, order: list[str], targets: list[tuple[int, bool]], buckets: int,
@@ -319,8 +316,7 @@ def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
     """
     order, output = list(order), list(output)
     # Selection passes read only the key columns, persisted once for both cuts.
-    keys = ratings.select(*order).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(ratings.select(*order)) as keys:
         days = coarse_histogram(keys, order, F.floor(F.col(order[0]) / F.lit(time_bucket_seconds)))
         stats = days.stats if days else key_stats(keys, order)
         n = stats.n
@@ -330,8 +326,6 @@ def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
         cuts = dict(zip(wanted, select_kths(keys, order, wanted, stats=stats, first_level=days,
                                                     persist=False, **kw)))
         cut_train, cut_test = cuts.get((k_train, False)), cuts.get((k_test, True))
-    finally:
-        keys.unpersist()
     empty = ratings.select(*output).where(F.lit(False))
     train = first_k(ratings, order, k_train, output=output, cut=cut_train) if k_train else empty
     test = first_k(ratings, order, k_test, descending=True, output=output, cut=cut_test) if k_test else empty

@@ -4,15 +4,21 @@ them) in full; computed columns carry the same names as in ``reelrec.plans.oracl
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelrec import schemas
 from reelrec.functions import parse, wire
 from reelrec.operators import als, popularity, ranking, routing, scoring, split
+from reelrec.session import ensure_checkpoint_dir
+from reelrec.sinks import tables
 from reelrec.sources import fixtures as fx
+from reelrec.sources.text import read_lines
+from reelrec.streaming import router
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +30,20 @@ DAMPING_GRID = (0.0, 1.0, 5.0, 25.0)
 ALS_GRID_LAMBDAS = (0.07, 0.2)
 
 
+def _path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder in the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def _stored(df: DataFrame, tag: str) -> DataFrame:
+    """Written once and read back, so that what reads it several times doesn't compute it again."""
+    path = _path(df.sparkSession, tag)
+    tables.write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _splits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return split.chronological_split(fx.ratings(spark, d), TRAIN_FRACTION)
+    return split.chronological_split(_stored(fx.ratings(spark, d), "ratings"), TRAIN_FRACTION)
 
 
 def _popular(spark: SparkSession, d: str) -> DataFrame:
@@ -33,7 +51,7 @@ def _popular(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _request_users(spark: SparkSession, d: str) -> DataFrame:
-    return routing.request_users(wire.decode(fx.requests(spark, d)).rows)
+    return routing.request_users(wire.decode_users(fx.requests(spark, d)).rows)
 
 
 def _factor_recs(spark: SparkSession, d: str) -> DataFrame:
@@ -96,6 +114,59 @@ def q_ingest_quarantine(spark, d):
     return res.rejects
 
 
+def q_ingest_movies_quoted(spark, d):
+    """Quotes, commas and doubled quotes inside a title; lines of two fields are set aside."""
+    return parse.parse_csv_quoted(fx.quoted_movie_lines(spark, d), schemas.MOVIES).rows
+
+
+def q_movies_deduped(spark, d):
+    """One whole row per movie id."""
+    return popularity.dedupe_movies(fx.duplicated_movies(spark, d))
+
+
+def q_text_round_trip(spark, d):
+    """Lines written as text files, read back and parsed."""
+    path = _path(spark, "lines")
+    fx.rating_lines(spark, d).write.text(path)
+    return parse.parse_delimited(read_lines(spark, path), schemas.RATINGS, "::").rows
+
+
+def _table(spark) -> str:
+    return f"reelrec_{uuid.uuid4().hex[:12]}"
+
+
+def q_publish_twice(spark, d):
+    """K1 K2 K9: a table published, then replaced by a plan that reads it."""
+    name = _table(spark)
+    tables.publish(fx.users(spark, d), name)
+    tables.publish(spark.table(name).where(F.col("userId") % 2 == 0), name)
+    return spark.table(name)
+
+
+def q_ctas_append(spark, d):
+    """K3 K4 K8: a table created from a plan, then appended to by name."""
+    name, m = _table(spark), fx.movies(spark, d)
+    tables.create_as(m.where(F.col("movieId") % 2 == 0), name)
+    tables.create_if_missing(spark, name, m.schema)
+    tables.append(m.where(F.col("movieId") % 2 != 0).select("genres", "title", "movieId"), name)
+    return spark.table(name)
+
+
+def q_stream_restart(spark, d):
+    """Half of the requests through the router, then a restart from its checkpoint with the rest."""
+    base = _path(spark, "stream")
+    recs, popular = _stored(_factor_recs(spark, d), "recs"), _stored(_popular(spark, d), "popular")
+    cfg = router.RouterConfig(recommendations=lambda _: recs, popular=lambda _: popular, out_path=os.path.join(base, "out"))
+    req = fx.requests(spark, d)
+    half = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (req.where(half), req.where(~half)):
+        router.replay_to_files(part, os.path.join(base, "in"))
+        stream = router.file_request_stream(spark, os.path.join(base, "in"))
+        router.start_router(stream, cfg, os.path.join(base, "checkpoint"), available_now=True).awaitTermination()
+    out = spark.read.parquet(cfg.out_path)
+    return out.select("batch_id", "userId", "movieId", _round("rating")).drop("batch_id").distinct()
+
+
 def q_ingest_tags_repaired(spark, d):
     return parse.parse_tag_lines(fx.tag_lines(spark, d), schemas.TAGS).rows
 
@@ -128,19 +199,21 @@ def q_wire_decode(spark, d):
     return wire.decode(fx.requests(spark, d)).rows
 
 
+def q_request_users(spark, d):
+    """Users of messages that may lack the movie or the rating."""
+    return routing.request_users(wire.decode_users(fx.short_requests(spark, d)).rows)
+
+
 def q_route_known_users(spark, d):
-    train, _ = _splits(spark, d)
-    return routing.known_users(_request_users(spark, d), train)
+    return routing.known_users(_request_users(spark, d), fx.known_users(spark, d))
 
 
 def q_route_new_users(spark, d):
-    train, _ = _splits(spark, d)
-    return routing.new_users(_request_users(spark, d), train)
+    return routing.new_users(_request_users(spark, d), fx.known_users(spark, d))
 
 
 def q_fallback_popular(spark, d):
-    train, _ = _splits(spark, d)
-    fresh = routing.new_users(_request_users(spark, d), train)
+    fresh = routing.new_users(_request_users(spark, d), fx.known_users(spark, d))
     return routing.fallback_popular(fresh, _popular(spark, d), fx.movies(spark, d))
 
 
@@ -177,8 +250,8 @@ def q_rmse_item_mean(spark, d):
 def q_best_run(spark, d):
     """A grid of damped item-mean models scored on the test split; the best run wins."""
     train, test = _splits(spark, d)
-    mu = train.agg(F.avg("rating")).first()[0]
-    stats = train.groupBy("movieId").agg(F.sum("rating").alias("_s"), F.count(F.lit(1)).alias("_c"))
+    stats = _stored(train.groupBy("movieId").agg(F.sum("rating").alias("_s"), F.count(F.lit(1)).alias("_c")), "stats")
+    mu = stats.agg(F.sum("_s") / F.sum("_c")).first()[0]          # one scalar, from the statistics
     runs = F.array(*[F.struct(F.lit(i + 1).alias("run_id"), F.lit(float(v)).alias("damping"))
                      for i, v in enumerate(DAMPING_GRID)])
     models = stats.select("movieId", "_s", "_c", F.explode(runs).alias("_run")).select(
@@ -191,40 +264,80 @@ def q_best_run(spark, d):
     return scoring.best_run(metrics).select("run_id", "damping", _round("rmse"), "n")
 
 
-# ---- phase 6: ALS (rows-only checks) ------------------------------------------------
+# ---- phase 6: ALS.  A trained model has no SQL equivalent, so these return what must hold of the
+# real output whatever the factors are: which rows there are, and checks computed from them.
+
+def _mean_rmse(train: DataFrame) -> float:
+    mu = train.agg(F.avg("rating")).first()[0]
+    return scoring.rmse(train.withColumn("prediction", F.lit(mu))).first()["rmse"]
+
 
 def q_als_train_summary(spark, d):
     train, test = _splits(spark, d)
     model = als.fit(train)
+    better = als.evaluate(model, train).first()["rmse"] < _mean_rmse(train)
     m = als.evaluate(model, test)
     return m.select(F.lit(model.rank).alias("rank"), F.lit(als.DEFAULT_ITERATIONS).alias("iterations"),
-                    F.lit(als.DEFAULT_LAMBDA).alias("lambda"), "rmse", "n",
-                    F.lit(model.userFactors.count()).alias("n_users"),
-                    F.lit(model.itemFactors.count()).alias("n_items"))
+                    F.lit(als.DEFAULT_LAMBDA).alias("lambda"), "n",
+                    F.lit(model.userFactors.count()).cast("long").alias("n_users"),
+                    F.lit(model.itemFactors.count()).cast("long").alias("n_items"),
+                    (F.col("rmse") > 0).alias("scored"), F.lit(better).alias("better_than_mean"))
 
 
 def q_als_predict_pairs(spark, d):
     train, test = _splits(spark, d)
-    model = als.fit(train)
-    return als.predict_pairs(model, test.select("userId", "movieId", "rating"))
+    p = als.predict_pairs(als.fit(train), test.select("userId", "movieId", "rating"))
+    finite = ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return p.select("userId", "movieId", "rating", finite.alias("finite"))
 
 
 def q_als_grid(spark, d):
     train, test = _splits(spark, d)
-    return als.grid_search(train, test, lambdas=ALS_GRID_LAMBDAS).metrics.drop("model_path")
+    found = als.grid_search(train, test, lambdas=ALS_GRID_LAMBDAS, model_root=_path(spark, "models"))
+    runs, best = found.metrics.collect(), found.best.first()      # a row per run of the grid
+    mean = _mean_rmse(train)
+    rows = [(r["run_id"], r["rank"], r["iterations"], r["lambda"], r["blocks"], r["n"],
+             als.evaluate(als.load(r["model_path"]), train).first()["rmse"] < mean,
+             (r["run_id"] == best["run_id"]) == (r["rmse"] == min(x["rmse"] for x in runs))) for r in runs]
+    return spark.createDataFrame(rows, "run_id int, rank int, iterations int, lambda double, blocks int, n long, "
+                                       "better_than_mean boolean, best_is_least boolean")
+
+
+def _checked(recs: DataFrame, model, k: int) -> DataFrame:
+    """``userId, rank`` and whether the list has k movies, falls in score, and has the model's scores."""
+    recs = _stored(recs, "recs")
+    whole = recs.groupBy("userId").agg((F.countDistinct("movieId") == k).alias("distinct_movies"))
+    before = F.lag("rating").over(Window.partitionBy("userId").orderBy("rank"))
+    r = recs.withColumn("falling", F.coalesce(before >= F.col("rating"), F.lit(True)))
+    u = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("uf"))
+    i = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("if"))
+    dot = F.aggregate(F.zip_with("uf", "if", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    r = r.join(u, "userId").join(i, "movieId").withColumn("own_score", F.abs(dot - F.col("rating")) < 1e-6)
+    return r.join(whole, "userId").select("userId", "rank", "distinct_movies", "falling", "own_score")
 
 
 def q_recommend_one_user(spark, d):
     train, _ = _splits(spark, d)
     model = als.fit(train)
-    user = popularity.nth_user(train, 1)
-    recs = als.recommend_users(model, user, TOP_K)
-    return popularity.with_titles(recs, fx.movies(spark, d))
+    recs = als.recommend_users(model, popularity.nth_user(train, 1), TOP_K)
+    titled = popularity.with_titles(recs, fx.movies(spark, d)).where("title is not null").drop("title")
+    return _checked(titled, model, TOP_K)
 
 
 def q_recommend_all_users(spark, d):
     train, _ = _splits(spark, d)
-    return als.recommend_all_users(als.fit(train), TOP_K)
+    model = als.fit(train)
+    return _checked(als.recommend_all_users(model, TOP_K), model, TOP_K)
+
+
+def q_model_round_trip(spark, d):
+    """A saved model, read back, has the same factors."""
+    train, _ = _splits(spark, d)
+    model = als.fit(train, rank=4, iterations=3)
+    back = als.load(als.save(model, _path(spark, "model")))
+    a = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("a"))
+    b = back.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("b"))
+    return a.join(b, "userId", "full").select("userId", F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("same"))
 
 
 QUERIES: dict[str, Query] = {
@@ -240,12 +353,19 @@ QUERIES: dict[str, Query] = {
     "ingest_ratings": q_ingest_ratings,
     "ingest_tags_repaired": q_ingest_tags_repaired,
     "ingest_quarantine": q_ingest_quarantine,
+    "ingest_movies_quoted": q_ingest_movies_quoted,
+    "movies_deduped": q_movies_deduped,
+    "text_round_trip": q_text_round_trip,
+    "publish_twice": q_publish_twice,
+    "ctas_append": q_ctas_append,
+    "stream_restart": q_stream_restart,
     "split_train": q_split_train,
     "split_test": q_split_test,
     "rank_within_rating": q_rank_within_rating,
     "rank_band_sample": q_rank_band_sample,
     "wire_encode": q_wire_encode,
     "wire_decode": q_wire_decode,
+    "request_users": q_request_users,
     "route_known_users": q_route_known_users,
     "route_new_users": q_route_new_users,
     "fallback_popular": q_fallback_popular,
@@ -260,4 +380,5 @@ QUERIES: dict[str, Query] = {
     "als_grid": q_als_grid,
     "recommend_one_user": q_recommend_one_user,
     "recommend_all_users": q_recommend_all_users,
+    "model_round_trip": q_model_round_trip,
 }

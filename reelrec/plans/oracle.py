@@ -1,8 +1,8 @@
 """DuckDB oracle SQL for the registered queries (same output column names).
 
 Each statement inlines the fixture views it needs as CTEs over the pre-registered
-warehouse tables.  ALS queries have no oracle (model training is randomised): they get
-rows-only checks plus the property tests in ``tests/``.
+warehouse tables.  ALS queries return what must hold of a trained model whatever its factors
+are (which rows there are, checks computed from them); the statements give those rows.
 """
 
 from __future__ import annotations
@@ -45,10 +45,12 @@ POPULAR = """popular as (
 
 REQ_USERS = """req as (select distinct split_part(value, '%', 1)::int as "userId" from requests)"""
 
+KNOWN = """known as (select distinct "userId" from ratings where "userId" % 3 = 0)"""
+
 FACTOR_RECS = """factor_recs as (
   select a.vec_id::int as "userId", b.vec_id::int as "movieId",
          list_inner_product(a.embedding::double[], b.embedding::double[]) as score
-  from embeddings a, embeddings b where a.vec_id < 50 and b.vec_id >= 50
+  from embeddings a, embeddings b where a.vec_id % 10 = 0 and b.vec_id % 10 <> 0
   qualify row_number() over (partition by a.vec_id order by score desc, b.vec_id) <= 5)"""
 
 ITEM_MEAN_JOIN = """im as (select "movieId", sum(rating) s, count(*) c from train group by 1),
@@ -79,6 +81,22 @@ ORACLE: dict[str, str] = {
                             'p_name as tag, (1000 + p_size)::bigint as ts from part',
     "ingest_quarantine": _with(LINK_LINES) + "select value, 'too few fields' as reason from link_lines "
                                              "where ends_with(value, ',')",
+    "ingest_movies_quoted": "select p_partkey::int as \"movieId\", replace(p_name, ' ', ', \" ') as title, "
+                            "p_type as genres from part where p_partkey % 5 <> 0",
+    "movies_deduped": _with(MOVIES) + """, both_rows as (select * from movies union all
+  select "movieId", (case when "movieId" % 2 = 0 then 'a ' else 'z ' end) || title, 'other' from movies where "movieId" % 3 = 0)
+select "movieId", title, genres from both_rows
+qualify row_number() over (partition by "movieId" order by title, genres) = 1""",
+    "text_round_trip": _with(RATINGS) + 'select "userId", "movieId", rating, ts from ratings',
+    "publish_twice": _with(USERS) + 'select "userId", gender, age from users where "userId" % 2 = 0',
+    "ctas_append": _with(MOVIES) + 'select "movieId", title, genres from movies',
+    "stream_restart": _with(RATINGS, MOVIES, POPULAR, REQUESTS, REQ_USERS, FACTOR_RECS)
+    + """select r."userId", f."movieId", round(f.score, 6) as rating
+from req r join factor_recs f on f."userId" = r."userId"
+union all
+select r."userId", p."movieId", 0.0::double
+from req r cross join popular p
+where r."userId" not in (select "userId" from factor_recs)""",
     "split_train": _with(RATINGS, TRAIN) + "select * from train",
     "split_test": _with(RATINGS, TEST) + "select * from test",
     "rank_within_rating": _with(RATINGS) + 'select "userId", "movieId", rating, ts, '
@@ -92,14 +110,15 @@ from (select *, row_number() over (partition by rating order by "userId", "movie
        "userId"::varchar || '%' || "movieId"::varchar || '%' || rating::varchar as value from ratings""",
     "wire_decode": _with(REQUESTS) + """select split_part(value, '%', 1)::int as "userId",
        split_part(value, '%', 2)::int as "movieId", split_part(value, '%', 3)::double as rating from requests""",
-    "route_known_users": _with(RATINGS, TRAIN, REQUESTS, REQ_USERS)
-    + 'select "userId" from req where "userId" in (select "userId" from train)',
-    "route_new_users": _with(RATINGS, TRAIN, REQUESTS, REQ_USERS)
-    + 'select "userId" from req where "userId" not in (select "userId" from train)',
-    "fallback_popular": _with(RATINGS, MOVIES, TRAIN, POPULAR, REQUESTS, REQ_USERS)
+    "request_users": 'select distinct user_id::int as "userId" from events where event_id % 5 <> 3',
+    "route_known_users": _with(RATINGS, KNOWN, REQUESTS, REQ_USERS)
+    + 'select "userId" from req where "userId" in (select "userId" from known)',
+    "route_new_users": _with(RATINGS, KNOWN, REQUESTS, REQ_USERS)
+    + 'select "userId" from req where "userId" not in (select "userId" from known)',
+    "fallback_popular": _with(RATINGS, MOVIES, KNOWN, POPULAR, REQUESTS, REQ_USERS)
     + """select r."userId", p."movieId", 0.0::double as rating
 from req r cross join popular p
-where r."userId" not in (select "userId" from train)
+where r."userId" not in (select "userId" from known)
   and p."movieId" in (select "movieId" from movies)""",
     "recommend_routed": _with(RATINGS, MOVIES, POPULAR, REQUESTS, REQ_USERS, FACTOR_RECS)
     + """select r."userId", f."movieId", round(f.score, 6) as rating
@@ -128,4 +147,18 @@ metrics as (select run_id, damping, sqrt(avg((prediction - rating) * (prediction
             from test t join models m on m."movieId" = t."movieId" group by run_id, damping)
 select run_id, damping, round(rmse, 6) as rmse, n from metrics where rmse is not null
 order by rmse, run_id limit 1""",
+    "als_train_summary": _with(RATINGS, TRAIN, TEST) + """select 10 as rank, 10 as iterations, 0.07::double as "lambda",
+  (select count(*) from test where "userId" in (select "userId" from train) and "movieId" in (select "movieId" from train)) as n,
+  count(distinct "userId") as n_users, count(distinct "movieId") as n_items, true as scored, true as better_than_mean from train""",
+    "als_predict_pairs": _with(RATINGS, TRAIN, TEST) + """select "userId", "movieId", rating, true as finite from test
+where "userId" in (select "userId" from train) and "movieId" in (select "movieId" from train)""",
+    "als_grid": _with(RATINGS, TRAIN, TEST) + """select v.run_id::int as run_id, 10::int as rank, 10::int as iterations, v.reg as "lambda", 10::int as blocks,
+  (select count(*) from test where "userId" in (select "userId" from train) and "movieId" in (select "movieId" from train)) as n,
+  true as better_than_mean, true as best_is_least
+from (values (1, 0.07::double), (2, 0.2::double)) v(run_id, reg)""",
+    "recommend_one_user": _with(RATINGS, TRAIN) + """select u."userId", r.rank::int as rank, true as distinct_movies, true as falling, true as own_score
+from (select min("userId") as "userId" from train) u cross join range(1, 6) r(rank)""",
+    "recommend_all_users": _with(RATINGS, TRAIN) + """select u."userId", r.rank::int as rank, true as distinct_movies, true as falling, true as own_score
+from (select distinct "userId" from train) u cross join range(1, 6) r(rank)""",
+    "model_round_trip": _with(RATINGS, TRAIN) + 'select distinct "userId", true as same from train',
 }

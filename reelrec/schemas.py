@@ -1,4 +1,4 @@
-"""Record schemas (one registry).  Ids are int (``pyspark.ml`` ALS needs int ids),
+"""Record schemas.  Ids are int (``pyspark.ml`` ALS needs int ids),
 time is epoch seconds as bigint, ratings are double."""
 
 from __future__ import annotations
@@ -50,26 +50,3 @@ WIRE = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
 ])
-
-QUARANTINE = T.StructType([
-    T.StructField("value", T.StringType()),
-    T.StructField("reason", T.StringType()),
-])
-
-FACTORS = T.StructType([
-    T.StructField("id", T.IntegerType()),
-    T.StructField("features", T.ArrayType(T.FloatType())),
-])
-
-REGISTRY = {
-    "links": LINKS,
-    "movies": MOVIES,
-    "users": USERS,
-    "ratings": RATINGS,
-    "tags": TAGS,
-    "rating_triple": RATING_TRIPLE,
-    "recommendation": RECOMMENDATION,
-    "wire": WIRE,
-    "quarantine": QUARANTINE,
-    "factors": FACTORS,
-}

@@ -1,16 +1,17 @@
 """Session helpers.
 
 Library code never sets cluster-sized knobs; it reads what the session has.  The only
-setting we fill in is ``spark.checkpoint.dir`` and only when the cluster left it unset
-(tests and local runs): on a cluster it must name a shared, reliable folder.
+setting we fill in is the checkpoint folder, and only when the cluster left
+``spark.checkpoint.dir`` unset: then a folder below the warehouse, which is shared too.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "reelrec",
@@ -49,31 +50,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``Dataset.checkpoint`` usable.
-
-    Uses the session's ``spark.checkpoint.dir`` when set (the cluster's shared folder);
-    only when nothing is configured (local tests) falls back to a fresh temp folder.
-    """
+    """Make ``Dataset.checkpoint`` usable: the session's ``spark.checkpoint.dir`` (the cluster's
+    shared folder), else a folder below the warehouse.  Never a machine-local temp folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    configured = checkpoint_dir(spark)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="reelrec-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    configured = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
-def ensure_parallel(df, *keys: str, target: int | None = None):
-    """Hash-repartition ``df`` on ``keys`` only when it has fewer partitions than the
-    session's parallelism (e.g. a file written as one row group).  On a cluster reading
-    many splits this is a no-op; hash (not round-robin) keeps retries deterministic.
-
-    Apply it to scans: asking a plan with exchanges for its partition count would run
-    its broadcast stages."""
-    spark = df.sparkSession
-    want = target or spark.sparkContext.defaultParallelism
-    have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()  # file splits; no job
-    if have >= want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` persisted for the duration; a frame that the caller has persisted is left alone."""
+    level = df.storageLevel
+    if level.useMemory or level.useDisk:
+        yield df
+        return
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -1,37 +1,30 @@
 """Parquet writes and catalog tables (no Hive needed: ``USING parquet``).
 
 The reference staged Parquet, dropped the table, re-created it and ran ``load data``;
-here a publish is one ``saveAsTable`` overwrite.  Spark refuses to overwrite a table the
-same plan reads, so such a publish goes through a staging table first.
+here a publish writes a table under a new name and then swaps the names, so a failed write
+leaves the old table, and a plan may read the table it replaces.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_parquet(df: DataFrame, path: str) -> None:
     """K1: overwrite a Parquet path (re-runnable)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode("overwrite").parquet(path)
 
 
 def publish(df: DataFrame, table: str) -> None:
     """K2 + K9: full replace of ``table`` with ``df``."""
-    try:
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    except AnalysisException as e:
-        if "UNSUPPORTED_OVERWRITE" not in str(e) and "overwrite" not in str(e).lower():
-            raise
-        staging = f"{table}__staging"
-        df.write.mode("overwrite").format("parquet").saveAsTable(staging)
-        spark = df.sparkSession
-        spark.table(staging).write.mode("overwrite").format("parquet").saveAsTable(table)
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    spark = df.sparkSession
+    staging = f"{table}__new_{uuid.uuid4().hex[:8]}"
+    df.write.format("parquet").saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
 def create_as(df: DataFrame, table: str) -> None:
@@ -40,8 +33,11 @@ def create_as(df: DataFrame, table: str) -> None:
 
 
 def append(df: DataFrame, table: str) -> None:
-    """K4: insert-select, columns matched by position against the table schema."""
-    df.write.insertInto(table)
+    """K4: insert-select, columns matched by name; a missing or extra one raises."""
+    names = df.sparkSession.table(table).columns
+    if sorted(names) != sorted(df.columns):
+        raise ValueError(f"{table} has {names}, the rows have {df.columns}")
+    df.select(*names).write.insertInto(table)
 
 
 def create_if_missing(spark: SparkSession, table: str, schema: T.StructType) -> None:

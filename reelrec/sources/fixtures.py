@@ -8,7 +8,7 @@ grows with them (mapping in FIXTURES.md):
             rating = ceil(l_quantity / 5) / 2 (half stars 0.5..5.0), ts = o_orderdate epoch s
 * movies:   part                   -> title = p_name, genres = p_type | p_brand
 * users:    customer               -> gender, age from the key
-* factors:  embeddings             -> vec_id < 50 are user vectors, the rest item vectors
+* factors:  embeddings             -> every tenth vec_id is a user vector, the rest item vectors
 * text:     each record rendered as the delimited line the reference ingests
 """
 
@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrec.functions.text import epoch_seconds, to_int_id
-from reelrec.session import ensure_parallel
 from reelrec.sources.tables import read_table
 
 # Fixed values of the fixture mapping.
-USER_VECTOR_LIMIT = 50          # embeddings.vec_id < 50 are users
+USER_VECTOR_MODULUS = 10        # embeddings.vec_id % 10 = 0 are users
+KNOWN_USER_MODULUS = 3          # a third of the rating users count as known to the router
 IMDB_BASE = 100000
 TMDB_BASE = 200000
 LINK_GAP_MODULUS = 7            # parts with p_size % 7 = 0 have no tmdb id (line ends with ',')
@@ -34,8 +34,9 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = ensure_parallel(t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"), "l_orderkey")
-    od = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    # two large tables: a shuffled join, so the rows that come out are spread over tasks
+    od = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     return j.select(
         to_int_id(F.col("o_custkey"), "userId").alias("userId"),
@@ -101,7 +102,7 @@ def tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recommendation requests as wire messages: key = topic, value = user%movie%value."""
-    e = ensure_parallel(t(spark, sf_dir, "events").select("event_id", "user_id", "value"), "event_id")
+    e = t(spark, sf_dir, "events").select("event_id", "user_id", "value")
     return e.select(F.lit(TOPIC).alias("key"),
                     F.concat_ws("%", _s("user_id"), _s(F.col("event_id") % 100), _s("value")).alias("value"))
 
@@ -112,5 +113,35 @@ def factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     def shape(df: DataFrame) -> DataFrame:
         return df.select(to_int_id(F.col("vec_id"), "vec_id").alias("id"), F.col("embedding").alias("features"))
-    # filter on the stored key, before narrowing, so the predicate reaches the Parquet scan
-    return (shape(e.where(F.col("vec_id") < USER_VECTOR_LIMIT)), shape(e.where(F.col("vec_id") >= USER_VECTOR_LIMIT)))
+    user = F.col("vec_id") % USER_VECTOR_MODULUS == 0
+    return shape(e.where(user)), shape(e.where(~user))
+
+
+def known_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users that the router counts as known: a third of those with ratings."""
+    return ratings(spark, sf_dir).where(F.col("userId") % KNOWN_USER_MODULUS == 0).select("userId").distinct()
+
+
+def quoted_movie_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comma lines whose quoted title holds commas and doubled quotes, with blanks around the id; every
+    fifth line has two fields only."""
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    quoted = F.concat(F.lit('"'), F.replace(F.col("p_name"), F.lit(" "), F.lit(', "" ')), F.lit('"'))
+    return p.select(F.when(F.col("p_partkey") % 5 == 0, F.concat(_s("p_partkey"), F.lit(","), quoted))
+                    .otherwise(F.concat(F.lit(" "), _s("p_partkey"), F.lit("\t,"), quoted, F.lit(","), F.col("p_type"))).alias("value"))
+
+
+def duplicated_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movies with a second row for every third id, whose title is smaller for some and larger for others."""
+    m = movies(spark, sf_dir)
+    other = F.concat(F.when(F.col("movieId") % 2 == 0, F.lit("a ")).otherwise(F.lit("z ")), "title")
+    return m.unionByName(m.where(F.col("movieId") % 3 == 0).select("movieId", other.alias("title"), F.lit("other").alias("genres")))
+
+
+def short_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request messages of one, two or three fields, some with a bad rating or a bad user."""
+    e = t(spark, sf_dir, "events").select("event_id", "user_id")
+    u, k = _s("user_id"), F.col("event_id") % 5
+    value = (F.when(k == 0, u).when(k == 1, F.concat(u, F.lit("%7"))).when(k == 2, F.concat(u, F.lit("%7%x")))
+             .when(k == 3, F.concat(F.lit("x"), u)).otherwise(F.concat(F.lit(" "), u, F.lit("%7%4.5"))))
+    return e.select(F.lit(TOPIC).alias("key"), value.alias("value"))

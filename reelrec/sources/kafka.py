@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MAX_OFFSETS_PER_TRIGGER = 1_000_000     # messages of a micro-batch, also of the first after an outage
+
+
 def kafka_request_stream(spark: SparkSession, bootstrap: str, topics: str = "real-time",
-                         starting_offsets: str = "latest", **extra: str) -> DataFrame:
+                         starting_offsets: str = "latest", max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
+                         **extra: str) -> DataFrame:
     """Subscribe to ``topics``; values cast to string as the reference's deserializers did.
 
     Offsets live in the streaming checkpoint, so a restart resumes where it stopped instead
@@ -20,6 +24,8 @@ def kafka_request_stream(spark: SparkSession, bootstrap: str, topics: str = "rea
               .option("kafka.bootstrap.servers", bootstrap)
               .option("subscribe", topics)
               .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in extra.items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("key").cast("string").alias("key"),

@@ -12,7 +12,7 @@
 The stored recommendations and the popular list are re-read once per batch (D21), so a
 refreshed model table is picked up without restarting.  The streaming checkpoint keeps
 source offsets, so a restart resumes instead of skipping to the latest offset (T5).
-Nothing is collected: each batch is a few joins and one write.
+The driver gets the popular list (its k rows) and the user buckets a batch touches; all else is a few joins and one write.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from reelrec import schemas
 from reelrec.functions import wire
 from reelrec.operators import routing
-from reelrec.sinks.jdbc import jdbc_append
+from reelrec.sinks.jdbc import MAX_CONNECTIONS, delete_batch, jdbc_append
 
 # Fixed value: the reference's live micro-batch interval.
 DEFAULT_TRIGGER = "15 seconds"
@@ -56,6 +56,7 @@ class RouterConfig:
     rejects_path: str | None = None
     movies: Callable[[SparkSession], DataFrame] | None = None
     jdbc: dict | None = None                               # url, table, properties
+    buckets: int = routing.USER_BUCKETS                    # of the stored recommendations
 
 
 def route_batch(cfg: RouterConfig) -> Callable[[DataFrame, int], None]:
@@ -72,18 +73,19 @@ def route_batch(cfg: RouterConfig) -> Callable[[DataFrame, int], None]:
 
 def _route_one(cfg: RouterConfig, spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
     """One micro-batch: decode, route, write ``batch_id=<id>`` (overwrite), rejects, JDBC."""
-    decoded = wire.decode(batch)
+    decoded = wire.decode_users(batch)
     users = routing.request_users(decoded.rows)
     movies = cfg.movies(spark) if cfg.movies else None
-    routed = routing.route(users, cfg.recommendations(spark), cfg.popular(spark), movies)
+    routed = routing.route(users, cfg.recommendations(spark), cfg.popular(spark), movies, buckets=cfg.buckets)
     target = os.path.join(cfg.out_path, f"batch_id={batch_id}")
     routed.write.mode("overwrite").parquet(target)
     if cfg.rejects_path:
         decoded.rejects.write.mode("overwrite").parquet(os.path.join(cfg.rejects_path, f"batch_id={batch_id}"))
     if cfg.jdbc:
         written = spark.read.parquet(target).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        delete_batch(spark, cfg.jdbc["url"], cfg.jdbc["table"], batch_id, cfg.jdbc.get("properties"))
         jdbc_append(written, cfg.jdbc["url"], cfg.jdbc["table"], cfg.jdbc.get("properties"),
-                    max_connections=cfg.jdbc.get("max_connections"))
+                    max_connections=cfg.jdbc.get("max_connections") or MAX_CONNECTIONS)
 
 
 def start_router(requests: DataFrame, cfg: RouterConfig, checkpoint: str, *,

@@ -25,13 +25,14 @@ def test_top_k_properties_and_builtin_agreement(spark, model):
     recs = als.recommend_all_users(model, 5)
     rows = recs.collect()
     by_user = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: (r["userId"], r["rank"])):
         by_user.setdefault(r["userId"], []).append((r["movieId"], r["rating"]))
+    assert all(sorted(r["rank"] for r in rows if r["userId"] == u) == [1, 2, 3, 4, 5] for u in list(by_user)[:20])
     assert len(by_user) == model.userFactors.count()
     for items in by_user.values():
         assert len(items) == 5 and len({m for m, _ in items}) == 5
         scores = [s for _, s in items]
-        assert sorted(scores, reverse=True) == sorted(scores, reverse=True)
+        assert scores == sorted(scores, reverse=True)          # in the order of the rank column
     # Spark ML's own all-user top-k (float32 scores, arbitrary ties) as the oracle
     builtin = model.recommendForAllUsers(5).select("userId", F.explode("recommendations").alias("r"))
     theirs = sorted(round(r["r"]["rating"], 3) for r in builtin.collect())
@@ -55,6 +56,27 @@ def test_same_seed_same_factors(data):
     assert [tuple(r.features) for r in a] == [tuple(r.features) for r in b]
 
 
+def test_same_factors_under_another_parallelism(spark, data):
+    """Blocks are a parameter, not the session's parallelism: the input's partitioning, which follows the
+    cores, changes factors by rounding only."""
+    few = als.fit(data[0].repartition(2), rank=3, iterations=3, seed=11)
+    many = als.fit(data[0].repartition(13), rank=3, iterations=3, seed=11)
+    a, b = ({r["id"]: r["features"] for r in m.userFactors.collect()} for m in (few, many))
+    assert a.keys() == b.keys()
+    assert max(abs(x - y) for i in a for x, y in zip(a[i], b[i])) < 1e-3
+
+
+def test_callers_caches_survive(spark, data):
+    train, test = data[0].select("userId", "movieId", "rating").persist(), data[1].select("userId", "movieId", "rating").persist()
+    als.grid_search(train, test, ranks=(2,), iterations=(1,))
+    ratings = fx.ratings(spark, SF_SMALL).persist()
+    split.chronological_split(ratings, 0.6)
+    kept = [df.storageLevel.useMemory for df in (train, test, ratings)]
+    for df in (train, test, ratings):
+        df.unpersist()
+    assert all(kept)
+
+
 def test_train_rmse_beats_global_mean(spark, data, model):
     train = data[0]
     mu = train.agg(F.avg("rating")).first()[0]

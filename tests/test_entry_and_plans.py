@@ -6,12 +6,13 @@ import os
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
+from reelrec.plans.catalog import QUERIES
+from reelrec.plans.oracle import ORACLE
 from reelrec.plans import jobs
 from reelrec.sources import fixtures as fx
 
 from conftest import SF_SMALL
 
-ALS_KEYS = {"als_train_summary", "als_predict_pairs", "als_grid", "recommend_one_user", "recommend_all_users"}
 
 
 def plan(df):
@@ -24,7 +25,7 @@ def test_entry_and_registry(spark):
     assert df.count() == 5
     qs, sql = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == ALS_KEYS
+    assert set(QUERIES) == set(ORACLE)          # every query of the reference's operators has its SQL
 
 
 def test_scan_pruning_and_no_python_udf(spark):
@@ -37,8 +38,9 @@ def test_scan_pruning_and_no_python_udf(spark):
 
 def test_filter_pushdown_to_parquet(spark):
     users, items = fx.factors(spark, SF_SMALL)
-    assert "PushedFilters: [IsNotNull(vec_id), LessThan(vec_id,50)]" in plan(users)
-    assert "PushedFilters: [IsNotNull(vec_id), GreaterThanOrEqual(vec_id,50)]" in plan(items)
+    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,49.0)]" in plan(
+        fx.t(spark, SF_SMALL, "lineitem").where("l_quantity > 49"))
+    assert users.count() == fx.t(spark, SF_SMALL, "embeddings").where("vec_id % 10 = 0").count()     # grows with the table
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan(items)
 
 
@@ -100,7 +102,7 @@ def test_cli_split_and_popular(spark):
 
 def test_no_registered_query_plans_a_non_scaling_node(spark):
     bad = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "CollectLimit")
-    for name, fn in entry_mod.queries().items():
+    for name, fn in QUERIES.items():
         p = plan(fn(spark, SF_SMALL))
         found = [b for b in bad if b in p]
         assert not found, (name, found)
@@ -113,13 +115,43 @@ def test_cli_serving_and_stream_arguments():
     assert (a.files, a.kafka, a.trigger, a.topics) == ("/in", None, "15 seconds", "real-time")
     b = cli.parser().parse_args(["serve-all", "--model", "/m/run=1", "--out", "recs", "--jdbc-url", "jdbc:x",
                                  "--jdbc-properties", '{"user": "u"}', "--jdbc-connections", "4"])
-    assert cli._jdbc(b) == {"url": "jdbc:x", "table": "user_movies_recommendation",
+    assert cli._jdbc(b) == {"url": "jdbc:x", "table": "recommendations",
                             "properties": {"user": "u"}, "max_connections": 4}
+    c = cli.parser().parse_args(["serve-one", "--model", "m", "--train", "t", "--movies", "m", "--index", "2", "--out", "one"])
+    assert (c.out, c.index, cli._jdbc(c)) == ("one", 2, None)
     t = cli.parser().parse_args(["train", "--train", "a", "--test", "b", "--model-root", "/m", "--metrics", "r",
                                  "--lambdas", "0.05,0.07", "--iterations", "10,20"])
     assert t.lambdas == (0.05, 0.07) and t.iterations == (10, 20) and t.ranks == (10,)
 
 
+def test_jobs_that_store_and_replay(spark, scratch):
+    from reelrec.sinks import jdbc
+    from reelrec.sinks import tables as sink
+    sink.publish(fx.ratings(spark, SF_SMALL), "j_ratings")
+    sink.publish(fx.duplicated_movies(spark, SF_SMALL), "j_movies")
+    sink.publish(spark.table("j_ratings").select("userId", "movieId", "rating"), "j_train")
+    from reelrec.operators import als
+    model = als.save(als.fit(spark.table("j_train"), rank=2, iterations=1), os.path.join(scratch, "m"))
+    derby = {"url": "jdbc:derby:memory:reelrec_jobs;create=true", "properties": {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}}
+    one = jobs.serve_one(spark, model, "j_train", "j_movies", 2, out_table="j_one", jdbc=derby | {"table": "one_user"})
+    assert one.count() == 5 == jdbc.jdbc_read(spark, derby["url"], "one_user", derby["properties"]).count()
+    jobs.movies_to_jdbc(spark, "j_movies", derby | {"table": "movies"})
+    assert jdbc.jdbc_read(spark, derby["url"], "movies", derby["properties"]).count() == fx.movies(spark, SF_SMALL).count()
+    jobs.replay(spark, "j_ratings", "t", path=os.path.join(scratch, "messages"))
+    assert spark.read.parquet(os.path.join(scratch, "messages")).count() == spark.table("j_ratings").count()
+    jobs.banded_tables(spark, "j_ratings", "j_band1", "j_band2")
+    n = spark.table("j_ratings").groupBy("rating").count().selectExpr("sum(count div 3)").first()[0]
+    assert spark.table("j_band1").count() == spark.table("j_band2").count() == n
+
+
+def test_ingest_reports_duplicates_and_reads_once(spark, scratch):
+    path = os.path.join(scratch, "movies.txt")
+    spark.createDataFrame([("1,A,x",), ("1,B,y",), ("2,C,z",), ("q,D,z",)], "value string").coalesce(1).write.text(path)
+    jobs.ingest(spark, {"movies": path}, table_prefix="dup_", quarantine_table="dup_bad", duplicates_table="dup_report")
+    assert spark.table("dup_movies").count() == 3 and spark.table("dup_bad").count() == 1
+    assert [tuple(r) for r in spark.table("dup_report").collect()] == [(1, 2)]
+
+
 def test_ingest_quoted_option(spark, scratch):
     path = os.path.join(scratch, "movies.txt")
     lines = ['11,"American President, The (1995)",Comedy|Drama', "12,Plain Title (1996),Drama", "13,bad,"]

@@ -98,6 +98,23 @@ def test_wire_decode_edges(spark, value, expected, reason):
     assert len(rows(res.rejects)) == (1 if reason else 0)
 
 
+@pytest.mark.parametrize("value,user", [("7%11%4.5", 7), ("7%11%x", 7), ("8%11", 8), ("9", 9), (" 10 %", 10), ("x%1%2", None), ("", None), (None, None), ("%3", None)])
+def test_requests_need_the_user_only(spark, value, user):
+    res = wire.decode_users(spark.createDataFrame([("real-time", value)], "key string, value string"))
+    assert rows(res.rows) == ([(user,)] if user is not None else [])
+    assert len(rows(res.rejects)) == (0 if user is not None else 1)
+
+
+@pytest.mark.parametrize("line,expected", [
+    ('1,"He said ""hi"", ok (1990)",Drama', (1, 'He said "hi", ok (1990)', "Drama")),
+    (' 2 ,"a, b",c|d', (2, "a, b", "c|d")), ("3,plain,x", (3, "plain", "x")), ('4,"only, two"', None), ("5,two", None), ('6,"",g', (6, "", "g")),
+])
+def test_quoted_lines(spark, line, expected):
+    res = parse.parse_csv_quoted(lines(spark, line), schemas.MOVIES)
+    assert rows(res.rows) == ([expected] if expected else [])
+    assert len(rows(res.rejects)) == (0 if expected else 1)
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2**31 - 1), st.integers(0, 2**31 - 1),
                           st.sampled_from([0.5, 1.0, 2.5, 3.5, 5.0])), min_size=1, max_size=5))
@@ -109,17 +126,16 @@ def test_wire_roundtrip(spark, triples):
 
 @pytest.mark.parametrize("text,as_int,as_double", [
     ("1.0", None, 1.0), ("+5", 5, 5.0), ("007", 7, 7.0), ("1e3", None, 1000.0), ("0x10", None, None),
-    ("NaN", None, float("nan")), ("2147483648", None, 2147483648.0), ("2.5d", None, 2.5), ("1_000", None, None),
+    ("NaN", None, None), ("Infinity", None, None), ("-Infinity", None, None), ("2147483648", None, 2147483648.0), ("2.5d", None, 2.5), ("1_000", None, None),
 ])
 def test_numbers_follow_java_parsing(spark, text, as_int, as_double):
-    """toInt / toDouble parity: what Java rejects is quarantined, what it accepts parses."""
+    """toInt / toDouble parity: what Java rejects is quarantined, what it accepts parses, but for
+    NaN and infinities, which are no ratings."""
     ints = parse.parse_delimited(lines(spark, f"{text},1,1"), schemas.LINKS, ",", on_error="drop").rows.collect()
     assert [r["movieId"] for r in ints] == ([as_int] if as_int is not None else [])
     dbl = parse.parse_delimited(lines(spark, f"1,2,{text},3"), schemas.RATINGS, ",", on_error="drop").rows.collect()
     got = [r["rating"] for r in dbl]
     if as_double is None:
         assert got == []
-    elif as_double != as_double:
-        assert len(got) == 1 and got[0] != got[0]
     else:
         assert got == [as_double]

@@ -19,11 +19,11 @@ def brute_rank(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("parts,bound", [(1, 0), (3, 0), (16, 0), (None, 10**9)])
-def test_rank_matches_window(spark, parts, bound):
+@pytest.mark.parametrize("parts", [1, 3, 16, None])
+def test_rank_matches_window(spark, parts):
     df = fx.ratings(spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=parts, max_group_rows=bound).collect())
+    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=parts).collect())
     assert got == brute_rank(rows)
 
 
@@ -32,10 +32,18 @@ def test_hot_duplicates_chunked(spark):
     rows = [(5, 5, 4.0, 9)] * 57 + [(rnd.randint(1, 4), rnd.randint(1, 4), 4.0, rnd.randint(1, 3)) for _ in range(40)]
     rows += [(rnd.randint(1, 4), rnd.randint(1, 4), 1.0, 1) for _ in range(20)]
     df = spark.createDataFrame(rows, "userId int, movieId int, rating double, ts long")
-    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=4, expand_chunk=10, max_group_rows=0).collect())
+    got = sorted(tuple(r) for r in ranking.rank_within_rating(df, partitions=4, expand_chunk=10).collect())
     assert got == brute_rank(rows)
 
 
+def test_null_ratings_keep_their_band(spark):
+    rows = [(i, 1, r, 1) for i, r in enumerate([None, None, None, 1.0, 1.0, 1.0, 2.0])]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, ts long")
+    got = sorted(((r["rating"], r["rank"], r["band"]) for r in ranking.rank_band_sample(df).collect()), key=str)
+    assert got == [(1.0, 1, 1), (1.0, 2, 2), (1.0, 3, 3), (2.0, 1, 3), (None, 1, 1), (None, 2, 2), (None, 3, 3)]
+    assert ranking.banded(df, 1).count() == 2 and ranking.rank_band_sample(df, (1, 2)).count() == 7
+
+
 def test_bands_are_disjoint_and_complete(spark):
     df = fx.ratings(spark, SF_SMALL)
     bands = ranking.rank_band_sample(df).collect()
