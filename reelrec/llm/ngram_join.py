@@ -17,7 +17,8 @@ checked against a few pivots at a time (1, 16, 256, ...), and members that are a
 with a pivot are not compared with it.  Rounds go on until every group is either in one
 component or fully compared, so no link between components is ever missed.
 
-Scale and skew: shingles of more than 1/250 of the classes of some task are "hot".  Their postings are not
+Scale and skew: shingles that a task finds in 1/250 of its classes, and that add up to 1/250 of all
+documents, are "hot".  Their postings are not
 sent to the fragments (they always count as shared, last in the order), so no fragment grows with a
 passage that a third of the documents hold.  Copies collapse inside a task before anything is sent.
 Fragments hold about ``FRAGMENT`` postings each; their number follows the input.  Hot candidate groups
@@ -49,7 +50,7 @@ from reelrec.llm.words import mix64, shingles, text_words
 by_value(__name__)
 
 PERCENT = 75
-FRAGMENT = 2_000_000         # postings of a fragment
+FRAGMENT = 1_500_000         # postings of a fragment
 FLUSH = 1_000_000            # postings packed at once by a task
 HOT_SHARE = 250
 HOT_LEAST = 16
@@ -214,14 +215,15 @@ def _count_task(buckets: int):
         cold_part, hot_part, home = ([], []), ([], []), ([], [])
         columns = [t.column(c) for c in SEGMENT_COLUMNS]
         for r in range(t.num_rows):
-            _, _, n, cold, cids, keys, owners, own, sizes = (c[r].as_py() for c in columns)
+            n, cold = columns[2][r].as_py(), columns[3][r].as_py()
+            cids, keys, owners, own, sizes = (c[r].as_buffer() for c in columns[4:])
             if not n:
                 home[0].append(np.frombuffer(sizes, dtype="<u4").astype(np.uint64))
                 home[1].append(np.frombuffer(own, dtype=np.uint64))
                 continue
             k = unplanes(keys, n, 5)
             k[:cold] = np.cumsum(k[:cold])
-            cid = np.frombuffer(cids, dtype=np.uint64)[unplanes(owners, n, len(owners) // n).astype(np.int64)]
+            cid = np.frombuffer(cids, dtype=np.uint64)[unplanes(owners, n, owners.size // n).astype(np.int32)]
             for part, a, b in ((cold_part, 0, cold), (hot_part, cold, n)):
                 part[0].append(k[a:b])
                 part[1].append(cid[a:b])
@@ -274,7 +276,8 @@ def _prefix_task(percent: int):
         cid, tok, df, known, known_size = [none], [none], [np.zeros(0, dtype=np.uint16)], [none], [np.zeros(0, dtype=np.int64)]
         columns = [t.column(c) for c in ANSWER_COLUMNS]
         for r in range(t.num_rows):
-            _, fragment, cids, counts, keys, dfs = (c[r].as_py() for c in columns)
+            fragment = columns[1][r].as_py()
+            cids, counts, keys, dfs = (c[r].as_buffer() for c in columns[2:])
             counts = np.frombuffer(counts, dtype="<u4")
             if fragment == SIZE_ANSWER:
                 known.append(np.frombuffer(cids, dtype=np.uint64))
@@ -313,10 +316,11 @@ def _prefix_task(percent: int):
 
 def candidates(docs: DataFrame, sets: DataFrame, percent: int, fragment: int = FRAGMENT) -> DataFrame:
     """Classes that may have a partner: ``cid, n, shared, prefix, pieces``."""
-    total = sets.where(f"kind = {DOC}").agg(F.sum("n")).first()[0] or 0
-    hot = (sets.where(f"kind = {HOT}").groupBy("cid").agg(F.sum("n").alias("n"), F.sum("check").alias("docs"))
-           .where(f"n >= docs div {HOT_SHARE}").select("cid").toPandas()["cid"].to_numpy(dtype=np.int64))
-    # at most HOT_SHARE times the mean size of a set for each size of flush: no more rows with more documents
+    total, rows = sets.where(f"kind = {DOC}").agg(F.sum("n"), F.count(F.lit(1))).first()
+    total = total or 0
+    # in 1 / HOT_SHARE of the documents each, so at most HOT_SHARE times the mean size of a set: bounded
+    hot = (sets.where(f"kind = {HOT}").groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= rows // HOT_SHARE)
+           .select("cid").toPandas()["cid"].to_numpy(dtype=np.int64))
     fragments = max(1, -(-total // fragment))
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
     segments = docs.select("text").mapInArrow(_segment_task(sent, fragments), SEGMENT_SCHEMA)
