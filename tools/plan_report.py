@@ -18,7 +18,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from reelrec.plans.catalog import QUERIES  # noqa: E402
 from reelrec.session import local_session  # noqa: E402
 
 RISKY = ("BroadcastNestedLoopJoin", "CartesianProduct", "CollectLimit", "BatchEvalPython", "GlobalLimit")
@@ -41,8 +41,17 @@ def summarise(plan: str) -> dict:
                      if n in plan})
     other = sorted({n for n in ("TakeOrderedAndProject", "Window", "WindowGroupLimit", "Generate", "Union")
                     if n in plan})
-    if "SinglePartition" in plan:   # global aggregate: one partial row per task to one task
-        other.append("global aggregate (SinglePartition of partials)")
+    lines = plan.splitlines()
+    for k, line in enumerate(lines):        # what goes to one task, by the node below the exchange
+        if "Exchange SinglePartition" not in line:
+            continue
+        below = next((x for x in lines[k + 1:] if not re.search(r"InputAdapter|WholeStageCodegen", x)), "")
+        if "REPARTITION" in line:
+            other.append("SinglePartition: one block, by its number")
+        elif re.search(r"partial_|LocalLimit", below):
+            other.append("SinglePartition: partial rows of a global aggregate or limit, one a task")
+        else:
+            other.append(f"SinglePartition: rows of {below.strip(' :+-*()0123456789')[:40]}")
     risky = sorted({n for n in RISKY if n in plan})
     return {"exchanges": dict(ex), "joins": dict(joins), "scans": scans, "python": python,
             "other": other, "risky": risky}
@@ -55,9 +64,10 @@ def main() -> None:
            f"Physical plans of the registered queries at `{sf_dir}` (generated by `tools/plan_report.py`).",
            "Exchanges are shuffles; scans list the file, the pruned read schema and the filters pushed",
            "into Parquet.  `risky` lists nodes that would not scale (none expected).",
-           "In plans over ratings, one hash shuffle of `lineitem` is `ensure_parallel` spreading a",
-           "one-row-group test file over the cores; on a cluster reading many splits it is absent.", ""]
-    for name, fn in queries().items():
+           "Queries that read a table several times store it first (a Parquet table in the checkpoint",
+           "folder): their plan begins at that table, and the plan that wrote it is that of its operator.",
+           "The training-data queries are not listed: most of their work is done while the result is built.", ""]
+    for name, fn in QUERIES.items():
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         out.append(f"## {name}")
