@@ -1,9 +1,13 @@
-"""Plain Python versions of the operators, for small tables."""
+"""Plain Python versions of the operators, for small tables, and a fixture that makes documents."""
 
 import hashlib
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
+SF_SMALL = "/root/testdata/sf0.001"
+
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -124,3 +128,13 @@ def water_fill(sizes, weights, total, epochs):
             left -= target[k]
         open_ -= over
     return target
+
+
+@pytest.fixture()
+def docs_of(spark):
+    """Documents from (id, text) pairs or full rows; ``parts`` spreads them over tasks."""
+    def make(rows, parts=3):
+        full = [tuple(r) + (None,) * (5 - len(r)) if len(r) < 5 else tuple(r) for r in rows]
+        full = [(i, t, lang, src, n if n is not None else (len(t) if t is not None else None)) for i, t, lang, src, n in full]
+        return spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long").repartition(parts)
+    return make

@@ -12,6 +12,7 @@ from reelrec.llm import (decontaminate, graph, langid, licenses, mixing, ngram_j
 
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
+from brute import docs_of  # noqa: E402, F401
 
 rng = random.Random(3)
 VOCABULARY = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(600)]

@@ -4,19 +4,19 @@ import os
 import sys
 
 import corpus_pipeline
-from conftest import SF_SMALL
 from reelrec.llm import langid
 
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
+from brute import docs_of  # noqa: E402, F401
 
 
 def test_stages(spark, scratch):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = spark.read.parquet(f"{brute.SF_SMALL}/documents.parquet")
     seen = [[tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()]]
     for name, stage in corpus_pipeline.STAGES:
         path = os.path.join(scratch, name)
-        stage(spark, docs, SF_SMALL).write.parquet(path)
+        stage(spark, docs, brute.SF_SMALL).write.parquet(path)
         docs = spark.read.parquet(path)
         seen.append([tuple(r) for r in docs.collect()])
         if name != "mixing":
@@ -30,7 +30,7 @@ def test_stages(spark, scratch):
     assert not any(brute.repeated([r[:2] for r in cut], 60).values())
     clean_before = {r for r in near if not brute.repeated([x[:2] for x in near], 12)[r[0]]}
     assert clean_before <= set(cut)
-    items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{brute.SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     bad = {r[0] for r in brute.contamination([r[:2] for r in cut], items) if r[5]}
     assert sorted(clean) == sorted(r for r in cut if r[0] not in bad)
     sources = {}
@@ -42,8 +42,8 @@ def test_stages(spark, scratch):
 
 
 def test_run_equals_the_stages(spark):
-    first = sorted(map(str, corpus_pipeline.run(spark, SF_SMALL).collect()))
-    assert first and first == sorted(map(str, corpus_pipeline.run(spark, SF_SMALL).collect()))
+    first = sorted(map(str, corpus_pipeline.run(spark, brute.SF_SMALL).collect()))
+    assert first and first == sorted(map(str, corpus_pipeline.run(spark, brute.SF_SMALL).collect()))
 
 
 def test_stages_on_an_empty_table_and_odd_rows(spark, docs_of, scratch):
@@ -52,6 +52,6 @@ def test_stages_on_an_empty_table_and_odd_rows(spark, docs_of, scratch):
     for k, docs in enumerate((docs_of(rows).limit(0), docs_of(rows))):
         for name, stage in corpus_pipeline.STAGES:
             path = os.path.join(scratch, f"{k}-{name}")
-            stage(spark, docs.withColumn("size", docs["doc_id"]) if name != "mixing" else docs, SF_SMALL).write.parquet(path)
+            stage(spark, docs.withColumn("size", docs["doc_id"]) if name != "mixing" else docs, brute.SF_SMALL).write.parquet(path)
             docs = spark.read.parquet(path)
         assert docs.count() == (0 if k == 0 else docs.count())

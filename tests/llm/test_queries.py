@@ -7,12 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF_SMALL
 from reelrec.llm.queries import ORACLE, QUERIES
 
 sys.path.insert(0, os.path.join(os.path.dirname(__file__)))
 sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
 import brute  # noqa: E402
+from brute import SF_SMALL  # noqa: E402
 from check_oracle import digest, type_mismatches  # noqa: E402
 
 TABLES = ("documents", "pages", "benchmark", "labels")
