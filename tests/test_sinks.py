@@ -42,3 +42,26 @@ def test_jdbc_append_derby_in_memory(spark):
     jdbc.jdbc_append(df, url, "user_movies_recommendation", props, max_connections=1)
     back = jdbc.jdbc_read(spark, url, "user_movies_recommendation", props)
     assert back.count() == 4
+
+
+def test_checkpoint_folder_is_the_configured_one_or_below_the_warehouse(spark):
+    from reelrec.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    assert configured.removeprefix("file:").rstrip("/") in folder
+
+
+def test_append_matches_by_name(spark):
+    tables.drop_if_exists(spark, "t_named")
+    tables.create_as(spark.createDataFrame([(1, 2)], "a int, b int"), "t_named")
+    tables.append(spark.createDataFrame([(4, 3)], "b int, a int"), "t_named")
+    assert sorted(tuple(r) for r in spark.table("t_named").collect()) == [(1, 2), (3, 4)]
+    with pytest.raises(ValueError):
+        tables.append(spark.createDataFrame([(4, 3)], "b int, c int"), "t_named")
+
+
+def test_failed_publish_keeps_the_old_table(spark):
+    tables.publish(spark.createDataFrame([(1,)], "a int"), "t_kept")
+    with pytest.raises(Exception):
+        tables.publish(spark.createDataFrame([("x",)], "a string").selectExpr("cast(raise_error(a) as int) as a"), "t_kept")
+    assert [tuple(r) for r in spark.table("t_kept").collect()] == [(1,)]
