@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrec.llm.common import written
+from reelrec.llm.common import release, written
 
 
 def merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -28,14 +28,21 @@ def merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
         while True:                          # a hook's end may be hooked itself
             on = hooks.select(F.col("c").alias("to"), F.col("to").alias("next"))
             jumped = hooks.join(on, "to", "left")
-            hooks = written(jumped.select("c", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "hooks")
-            more = not hooks.where("moved").isEmpty()
-            hooks = hooks.drop("moved")
+            after = written(jumped.select("c", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "hooks")
+            release(hooks)
+            more = not after.where("moved").isEmpty()
+            hooks = after.drop("moved")
+            hooks.written_path = after.written_path
             if not more:
                 break
-        known = written(known.join(hooks, "c", "left").select("v", F.coalesce("to", "c").alias("c")), "labels")
+        before = known
+        known = written(before.join(hooks, "c", "left").select("v", F.coalesce("to", "c").alias("c")), "labels")
+        release(before)
         ha, hb = hooks.select(F.col("c").alias("ca"), F.col("to").alias("ta")), hooks.select(F.col("c").alias("cb"), F.col("to").alias("tb"))
-        left = written(left.join(ha, "ca", "left").join(hb, "cb", "left")
+        rest = written(left.join(ha, "ca", "left").join(hb, "cb", "left")
                        .select(F.coalesce("ta", "ca").alias("ca"), F.coalesce("tb", "cb").alias("cb"))
                        .where("ca <> cb").distinct(), "edges")
+        release(left, hooks)
+        left = rest
+    release(left)
     return known

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrec.llm import graph
-from reelrec.llm.common import by_value, table, written
+from reelrec.llm.common import by_value, release, table, written
 from reelrec.llm.packing import KEY_BITS, KEY_MASK, fragment_of, planes, starts, unplanes
 from reelrec.llm.words import mix64, shingles, text_words
 
@@ -55,6 +55,7 @@ FLUSH = 1_000_000            # postings packed at once by a task
 HOT_SHARE = 250
 HOT_LEAST = 16
 SENT_PAIRS = 500_000         # pairs whose ids are broadcast (16 MB at most)
+MEMBERS = 5_000              # members of a candidate group in one array
 PIECES = 4                   # segments in which an overlap is counted
 HOT_DF = 65_535              # frequency given to hot shingles: last in the order
 
@@ -332,7 +333,6 @@ def candidates(docs: DataFrame, sets: DataFrame, percent: int, fragment: int = F
 
 def linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """``a, b`` -> those pairs whose overlap, summed over the pieces, reaches the threshold."""
-    pairs = written(pairs, "pairs")
     if pairs.count() <= SENT_PAIRS:                 # few enough to be sent: the segments of others stay where they are
         ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
         segments = segments.join(F.broadcast(ids), "cid", "left_semi")
@@ -344,14 +344,30 @@ def linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(F.col("o") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
 
 
+def _meetings(g: DataFrame, pivots: DataFrame, percent: int, largest: int) -> DataFrame:
+    """``a, b``: each pivot with the later members of its groups that are in another component.
+
+    A pair may meet in many groups.  The members of a group go as arrays of at most about ``MEMBERS``,
+    and the arrays of a pivot are made one before the pairs are rows, so there is a row per pair only."""
+    parts = max(1, -(-largest // MEMBERS))
+    member = F.struct("ord", "c", "n", "cid")
+    arrays = g.groupBy("tok", F.pmod(F.xxhash64("cid"), F.lit(parts)).alias("part")).agg(F.collect_list(member).alias("xs"))
+    fit = lambda x: ((x["ord"] > F.col("oa")) & (x["c"] != F.col("ca"))
+                     & (F.least(x["n"], F.col("na")) * 100 >= F.greatest(x["n"], F.col("na")) * percent))
+    met = pivots.join(arrays, "tok").select("a", "part", F.transform(F.filter("xs", fit), lambda x: x["cid"]).alias("bs"))
+    each = met.where(F.size("bs") > 0).groupBy("a", "part").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs"))
+    return each.select("a", F.explode("bs").alias("b"))
+
+
 def components(cand: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``v, c``: component of each class that has a partner."""
     spark = cand.sparkSession
     # most of its shingles shared first: such a member links with most of its group
     order = F.struct(((F.col("n") - F.col("shared")) * 1000 / F.col("n")).cast("int").alias("u"), F.col("cid").alias("cid"))
-    base = written(cand.select(F.posexplode("prefix").alias("at", "tok"), "cid", "n", "shared", order.alias("ord")), "groups")
+    base = written(cand.select(F.explode("prefix").alias("tok"), "cid", "n", order.alias("ord")), "groups")
     segments = cand.select("cid", "n", F.posexplode("pieces").alias("piece", "toks"))
     segments = written(segments.where(F.size("toks") > 0), "segments")
+    release(cand)
     labels = spark.createDataFrame([], "v long, c long")
     done = pivots = 0
     while True:
@@ -359,25 +375,24 @@ def components(cand: DataFrame, percent: int = PERCENT) -> DataFrame:
         # a group of one component is finished, now and in all later rounds
         g = base.withColumn("c", F.col("cid")) if not done else (
             base.join(labels.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid")))
-        open_groups = (g.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
-                       .where((F.col("lo") < F.col("hi")) & (F.col("m") > done + 1)).select("tok"))
-        g = written(g.join(open_groups, "tok"), "open")
-        if g.isEmpty():
+        open_groups = written(g.groupBy("tok").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"))
+                              .where((F.col("lo") < F.col("hi")) & (F.col("m") > done + 1)).select("tok", "m"), "groups")
+        largest = open_groups.agg(F.max("m")).first()[0]
+        if largest is None:
+            release(base, segments, open_groups)
             return labels
+        g = written(g.join(open_groups.select("tok"), "tok"), "open")
+        release(base, open_groups)
         base = g.drop("c")
+        base.written_path = g.written_path
         rank = F.row_number().over(Window.partitionBy("tok").orderBy("ord"))
         p = (g.withColumn("k", rank).where(F.col("k") <= pivots).where(F.col("k") > done)
-             .select("tok", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"),
-                     F.col("at").alias("ia"), F.col("c").alias("ca"), F.col("ord").alias("oa")))
-        meet = g.join(p, "tok").where((F.col("ord") > F.col("oa")) & (F.col("c") != F.col("ca")))
-        # common shingles before this one, this one, and those that can follow
-        most = (F.least("at", "ia") + 1 + F.least(F.col("shared") - F.col("at"), F.col("sa") - F.col("ia")) - 1)
-        pairs = (meet.select("a", F.col("cid").alias("b"), most.alias("most"), (F.col("n") + F.col("na")).alias("both"))
-                 .groupBy("a", "b", "both").agg(F.min("most").alias("most"))
-                 .where(F.col("most") * (100 + percent) >= percent * F.col("both")).select("a", "b"))
+             .select("tok", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("ord").alias("oa")))
+        pairs = written(_meetings(g, p, percent, largest).distinct(), "pairs")
         edges = written(linked(pairs, segments, percent), "links")
         if not edges.isEmpty():
             labels = graph.merge(labels, edges)
+        release(pairs, edges)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, fragment: int = FRAGMENT) -> DataFrame:
