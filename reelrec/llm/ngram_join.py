@@ -350,12 +350,22 @@ def _meetings(g: DataFrame, pivots: DataFrame, percent: int, largest: int) -> Da
     A pair may meet in many groups.  The members of a group go as arrays of at most about ``MEMBERS``,
     and the arrays of a pivot are made one before the pairs are rows, so there is a row per pair only."""
     parts = max(1, -(-largest // MEMBERS))
-    member = F.struct("ord", "c", "n", "cid")
-    arrays = g.groupBy("tok", F.pmod(F.xxhash64("cid"), F.lit(parts)).alias("part")).agg(F.collect_list(member).alias("xs"))
-    fit = lambda x: ((x["ord"] > F.col("oa")) & (x["c"] != F.col("ca"))
-                     & (F.least(x["n"], F.col("na")) * 100 >= F.greatest(x["n"], F.col("na")) * percent))
-    met = pivots.join(arrays, "tok").select("a", "part", F.transform(F.filter("xs", fit), lambda x: x["cid"]).alias("bs"))
-    each = met.where(F.size("bs") > 0).groupBy("a", "part").agg(F.array_distinct(F.flatten(F.collect_list("bs"))).alias("bs"))
+    key = ["tok"] if parts == 1 else ["tok", "part"]
+    part = F.lit(0) if parts == 1 else F.pmod(F.xxhash64("cid"), F.lit(parts))
+    member = F.struct("ord", "c", "n", "cid", "at", "shared")
+    arrays = g.withColumn("part", part).groupBy(*key).agg(F.collect_list(member).alias("xs"))
+    met = pivots.join(arrays, "tok").withColumn("xs", F.filter("xs", lambda x: (x["ord"] > F.col("oa")) & (x["c"] != F.col("ca"))))
+
+    def may(x):
+        """The common shingles before this one, this one, and those that can follow; and the sizes."""
+        most = F.least(x["at"], F.col("ia")) + F.least(x["shared"] - x["at"], F.col("sa") - F.col("ia"))
+        return ((most * (100 + percent) >= percent * (x["n"] + F.col("na")))
+                & (F.least(x["n"], F.col("na")) * 100 >= F.greatest(x["n"], F.col("na")) * percent))
+
+    ids = lambda keep: F.transform(F.filter("xs", keep), lambda x: x["cid"])
+    met = met.where(F.size("xs") > 0).select("a", *key[1:], ids(may).alias("yes"), ids(lambda x: ~may(x)).alias("no"))
+    # a pair that one common shingle rules out is out
+    each = met.groupBy("a", *key[1:]).agg(F.array_except(F.flatten(F.collect_list("yes")), F.flatten(F.collect_list("no"))).alias("bs"))
     return each.select("a", F.explode("bs").alias("b"))
 
 
@@ -364,7 +374,7 @@ def components(cand: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = cand.sparkSession
     # most of its shingles shared first: such a member links with most of its group
     order = F.struct(((F.col("n") - F.col("shared")) * 1000 / F.col("n")).cast("int").alias("u"), F.col("cid").alias("cid"))
-    base = written(cand.select(F.explode("prefix").alias("tok"), "cid", "n", order.alias("ord")), "groups")
+    base = written(cand.select(F.posexplode("prefix").alias("at", "tok"), "cid", "n", "shared", order.alias("ord")), "groups")
     segments = cand.select("cid", "n", F.posexplode("pieces").alias("piece", "toks"))
     segments = written(segments.where(F.size("toks") > 0), "segments")
     release(cand)
@@ -387,7 +397,8 @@ def components(cand: DataFrame, percent: int = PERCENT) -> DataFrame:
         base.written_path = g.written_path
         rank = F.row_number().over(Window.partitionBy("tok").orderBy("ord"))
         p = (g.withColumn("k", rank).where(F.col("k") <= pivots).where(F.col("k") > done)
-             .select("tok", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("ord").alias("oa")))
+             .select("tok", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"), F.col("at").alias("ia"),
+                     F.col("c").alias("ca"), F.col("ord").alias("oa")))
         pairs = written(_meetings(g, p, percent, largest).distinct(), "pairs")
         edges = written(linked(pairs, segments, percent), "links")
         if not edges.isEmpty():
