@@ -158,6 +158,16 @@ def windows(h: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
+def stretches(h: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Like ``windows``, in time that does not grow with the width."""
+    if not len(at):
+        return np.zeros(0, dtype=np.uint64)
+    up, down = _power(len(h))
+    sums = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.cumsum(mix64(h) * up[:len(h)], out=sums[1:])
+    return mix64((sums[at + width] - sums[at]) * down[at])
+
+
 def shingles(words: np.ndarray, doc: np.ndarray, rows: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles ``(doc, hash)`` sorted by both.  A row of fewer than ``width`` words,
     but not none, has its whole sequence as its one shingle."""

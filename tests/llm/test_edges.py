@@ -127,6 +127,18 @@ def test_substring_parts_that_occur_earlier_elsewhere(docs_of):
     assert covered(docs_of(rows))[4] >= set(range(35, 125))
 
 
+def test_substring_whole_behind_halves(docs_of):
+    """Only one earlier document has the whole passage; of each half the first and the last earlier document have no more."""
+    p = prose(60, 51).split(" ")
+    halves = [" ".join(p[:30]), " ".join(p[30:]), " ".join(p)] * 2
+    rows = [(i + 1, prose(20 + i, 520 + i) + " " + t + " " + prose(25 + i, 540 + i)) for i, t in enumerate(halves)]
+    need = {i: n for i, n in brute.repeated(rows).items() if n}
+    assert set(need) == {6}
+    for parts, fragment in ((1, substring.FRAGMENT), (4, 20)):
+        got = covered(docs_of(rows, parts), fragment=fragment)
+        assert set(got) == {6} and got[6] >= need[6] and len(got[6]) <= 66
+
+
 def test_substring_hot_passage(docs_of):
     p = prose(70, 31)
     rows = [(i, prose(30, 300 + i) + " " + p + " " + prose(30, 400 + i)) for i in range(150)]
