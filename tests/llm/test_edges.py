@@ -147,6 +147,19 @@ def test_substring_hot_passage(docs_of):
         assert set(got) == set(range(1, 150)) and all(c >= set(range(30, 100)) and len(c) <= 76 for c in got.values())
 
 
+def test_substring_frequent_passages_whose_halves_come_first(docs_of):
+    rows = []
+    for g in range(8):
+        p = prose(60, 560 + g).split(" ")
+        texts = [" ".join(p[:30]), " ".join(p[30:])] + [" ".join(p)] * 40
+        rows += [(100 * g + i, prose(21, 6000 + 100 * g + i) + " " + t + " " + prose(22, 7000 + 100 * g + i)) for i, t in enumerate(texts)]
+    need = {i: n for i, n in brute.repeated(rows).items() if n}
+    assert len(need) == 8 * 39
+    for parts in (1, 5):
+        got = covered(docs_of(rows, parts))
+        assert set(got) == set(need) and all(got[i] >= n and len(got[i]) <= 66 for i, n in need.items())
+
+
 def test_substring_cut(docs_of):
     p = prose(60, 41)
     rows = [(1, "start " + p + " end"), (2, "Keep this,\n" + p + "\n  and that. "), (3, p), (4, None), (None, p)]
