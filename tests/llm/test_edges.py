@@ -160,6 +160,16 @@ def test_substring_frequent_passages_whose_halves_come_first(docs_of):
         assert set(got) == set(need) and all(got[i] >= n and len(got[i]) <= 66 for i, n in need.items())
 
 
+def test_substring_passage_quoted_more_often_than_before(docs_of):
+    p = prose(60, 571)
+    rows = [(1, prose(20, 572) + " " + p + " " + prose(30, 573)), (2, p + " " + prose(90, 574) + " " + p + " " + prose(70, 575) + " " + p),
+            (3, prose(25, 576) + " " + p + " " + prose(80, 577) + " " + p)]
+    need = {i: n for i, n in brute.repeated(rows).items() if n}
+    assert {i: len(n) for i, n in need.items()} == {2: 180, 3: 120}
+    got = covered(docs_of(rows))
+    assert set(got) == {2, 3} and all(got[i] >= n and len(got[i]) <= len(n) + 18 for i, n in need.items())
+
+
 def test_substring_cut(docs_of):
     p = prose(60, 41)
     rows = [(1, "start " + p + " end"), (2, "Keep this,\n" + p + "\n  and that. "), (3, p), (4, None), (None, p)]
