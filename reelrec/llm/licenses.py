@@ -10,6 +10,11 @@ calibrated.  A paragraph is predicted to be a licence if ``unknown`` is not the
 family has at least ``LEAST`` of the probability; it is confirmed if it holds ``CONFIRM`` of the pairs of
 one of the family's templates.
 
+A notice that is wrapped over neighbouring lines (with a word each) is found by its joined words: at each template
+n-gram, ``REACH`` times the template's words from there hold ``CONFIRM`` of its n-grams, over more than one line.
+It is reported from its first to its last line, with the family's probability for the n-grams it holds, whatever
+class is the likeliest.
+
 Scale: one pass splits the texts and joins word pairs and triples with the weights by broadcast (as many
 rows as the templates have n-grams).  A paragraph without a weighted n-gram has the score of the empty
 one, which is ``unknown``, so only the few others are shuffled, by document and line; copies and hot
@@ -24,7 +29,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelrec.llm.common import table, written
@@ -34,6 +39,7 @@ SAMPLE_DOCS = 3000
 SAMPLE_LINES = 8             # lines of a sampled document
 LEAST = 0.5
 CONFIRM = 0.7
+REACH = 1.5                  # words of a wrapped notice, as a multiple of its template's
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 WORDS = r"[\p{Alnum}\P{ASCII}]+"
 
@@ -256,6 +262,63 @@ def scan(docs: DataFrame, model: Model, least: float = LEAST, confirm: float = C
     return out.select("doc_id", "line", "family", "probability", "similarity", (F.col("similarity") >= confirm).alias("confirmed"), "text")
 
 
+def wrapped(docs: DataFrame, model: Model, confirm: float = CONFIRM) -> DataFrame:
+    """``doc_id, line, last_line, family, probability, similarity, confirmed`` for each notice whose words are
+    spread over neighbouring lines and hold ``confirm`` of a template's n-grams."""
+    spark = docs.sparkSession
+    t = templates(spark).withColumn("_w", _words(F.col("text"))).withColumn("_all", F.array_distinct(_grams(F.col("_w"))))
+    known = t.select("template", "family", F.size("_w").alias("n"), F.size("_all").alias("m"), F.explode("_all").alias("g"))
+    # with CONFIRM of its n-grams a template of four words or more has a triple, a shorter one a pair
+    rare = [r["g"] for r in known.where((F.size(F.split("g", " ")) == 3) | (F.col("n") < 4)).select("g").distinct().collect()]
+    d = docs.where(F.col("text").contains("\n")).select("doc_id", "text").withColumn("_w", _words(F.col("text")))
+    d = d.where(F.arrays_overlap(_grams(F.col("_w")), F.array(*[F.lit(g) for g in sorted(rare)])))
+    own = ["doc_id", "_h1", "_h2"]
+    a = F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.transform(_words(x), lambda w: F.struct(i.alias("line"), w.alias("w")))))
+    d = d.select("doc_id", F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"), a.alias("_a")).dropDuplicates(own)
+    places = F.arrays_zip(F.col("_a").alias("a"), F.slice("_a", 2, F.size("_a")).alias("b"), F.slice("_a", 3, F.size("_a")).alias("c"))
+    p = d.where(F.size("_a") > 1).select(*own, F.posexplode(places).alias("pos", "x")).select(*own, "pos", "x.a", "x.b", "x.c")
+    near = F.col("b.line") - F.col("a.line") <= 1             # no blank line between
+    near3 = near & (F.col("c.line") - F.col("b.line") <= 1)
+    two = F.when(near, F.struct(F.concat_ws(" ", "a.w", "b.w").alias("g"), F.col("b.line").alias("last")))
+    three = F.when(near3, F.struct(F.concat_ws(" ", "a.w", "b.w", "c.w").alias("g"), F.col("c.line").alias("last")))
+    # neighbouring lines with words are one block
+    jump = F.when(F.col("a.line") - F.lag("a.line").over(Window.partitionBy(*own).orderBy("pos")) > 1, 1).otherwise(0)
+    p = p.withColumn("block", F.sum(jump).over(Window.partitionBy(*own).orderBy("pos")))
+    p = p.select(*own, "block", "pos", F.col("a.line").alias("line"), F.explode(F.array_compact(F.array(two, three))).alias("x"))
+    hit = p.select(*own, "block", "pos", "line", "x.last", "x.g").join(F.broadcast(known), "g")
+    spot = [*own, "block", "template"]
+    ahead = lambda n: Window.partitionBy(*spot).orderBy("pos").rangeBetween(0, n)
+    longest = int(REACH * max(r["n"] for r in t.select(F.size("_w").alias("n")).collect()))
+    within = F.collect_list(F.struct("pos", "g", "last")).over(ahead(longest))
+    hit = hit.withColumn("_x", F.filter(within, lambda x: x["pos"] < F.col("pos") + F.floor(F.col("n") * REACH)))
+    hit = hit.withColumn("_all", F.transform("_x", lambda x: x["g"])).withColumn("_g", F.array_distinct("_all"))
+    hit = hit.withColumn("similarity", F.size("_g") / F.col("m")).where(F.col("similarity") >= confirm)
+    # up to where the last of the n-grams is first met
+    hit = hit.withColumn("_x", F.filter("_x", lambda x, i: F.array_position("_all", x["g"]) == i + 1))
+    hit = hit.withColumn("end", F.array_max(F.transform("_x", lambda x: x["pos"]))).withColumn("last_line", F.array_max(F.transform("_x", lambda x: x["last"])))
+    # of a template's places whose words overlap the likest, of equals the shortest and then the first
+    order = Window.partitionBy(*own, "template").orderBy("pos", "end", "g")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    hit = hit.withColumn("_new", F.when(reached >= F.col("pos"), 0).otherwise(1)).withColumn("_part", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    likest = Window.partitionBy(*own, "template", "_part").orderBy(F.desc("similarity"), F.col("end") - F.col("pos"), "pos", "g")
+    best = hit.withColumn("_r", F.row_number().over(likest)).where("_r = 1").select(*own, "template", "family", "_part", "pos", "end", "line", "last_line", "similarity", "_g")
+    # of templates that hold for the same words (half of them or more) the likest, of equals the first
+    keys = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in own]
+    likelier = F.expr("y.similarity > x.similarity or (y.similarity = x.similarity and y.template < x.template)")
+    common = F.expr("2 * (least(x.end, y.end) - greatest(x.pos, y.pos)) >= least(x.end - x.pos, y.end - y.pos)")
+    best = best.alias("x").join(best.alias("y"), keys[0] & keys[1] & keys[2] & likelier & common, "left_anti").where("last_line > line")
+    weights = F.broadcast(model.table(spark))
+    z = best.select(*own, "template", "family", "_part", "line", "last_line", "similarity", F.explode("_g").alias("gram")).join(weights, "gram", "left")
+    z = z.groupBy(*own, "template", "family", "_part", "line", "last_line", "similarity").agg(
+        F.array(*[F.coalesce(F.sum(F.get("w", k)), F.lit(0.0)) + x for k, x in enumerate(model.bias)]).alias("_z"))
+    at = F.array_position(F.array(*[F.lit(c) for c in model.classes]), F.col("family")) - 1
+    return z.select("doc_id", "line", "last_line", "family", _likelihood(F.col("_z"), at, model.temperature).alias("probability"),
+                    "similarity", F.lit(True).alias("confirmed"))
+
+
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan(docs, fit(docs)).select("doc_id", "line", "family", F.round("probability", 6).alias("probability"), "similarity", "confirmed")
+    model = fit(docs)
+    one = scan(docs, model).withColumn("last_line", F.col("line"))
+    return (one.drop("text").unionByName(wrapped(docs, model))
+            .select("doc_id", "line", "last_line", "family", F.round("probability", 6).alias("probability"), "similarity", "confirmed"))

@@ -352,6 +352,23 @@ def test_license_edges(docs_of):
     assert licenses.fit(docs.limit(0)).classes == model.classes
 
 
+def test_license_wrapped_notices(docs_of):
+    mit = ("# Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and associated documentation\n"
+           "# files (the \"Software\"), to deal in the Software without restriction.")
+    gpl = "This program is free software:\nyou can redistribute it and/or modify it\nunder the terms of the GNU General Public\nLicense as published by the Free\nSoftware Foundation."
+    rows = [(50 + i, prose(30, i) + "\n" + prose(12, 900 + i)) for i in range(40)]
+    rows += [(300, "Intro words.\n\n" + mit + "\n\nmore"), (301, "Intro\n" + gpl + "\nmore\n" + prose(30, 3) + "\n" + gpl),
+             (302, mit.replace("\n", "\n\n")), (303, "Released under\nthe MIT License."), (300, "Intro words.\n\n" + mit + "\n\nmore"),
+             (304, " ".join(gpl.split("\n")) + "\nend"), (305, None)]
+    docs = clashing(docs_of(rows))
+    model = licenses.fit(docs)
+    got = licenses.wrapped(docs, model).collect()
+    assert sorted((r["doc_id"], r["line"], r["last_line"], r["family"]) for r in got) == [
+        (300, 2, 4, "MIT"), (301, 1, 5, "GPL"), (301, 8, 12, "GPL"), (303, 0, 1, "MIT")]
+    assert all(r["confirmed"] and 0 <= r["probability"] <= 1 for r in got)
+    assert licenses.wrapped(docs.limit(0), model).count() == 0
+
+
 # --- WARC ---------------------------------------------------------------------------------------------
 
 def test_warc_round_trip(spark, scratch):
