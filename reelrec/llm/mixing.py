@@ -97,7 +97,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
               .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before") - F.col("_in")))
-    extra = (F.when(F.col("_edge").isNull(), F.lit(0))
+    extra = (F.when(F.col("_rest") >= F.col("source_size"), F.col("size"))    # rounded up to the whole source: no edge
+             .when(F.col("_edge").isNull(), F.lit(0))
              .when(F.col("_bucket") < F.col("_edge"), F.col("size"))
              .when(F.col("_bucket") == F.col("_edge"), part).otherwise(F.lit(0)))
     return d.select("doc_id", "source", "size", "source_size", "target",

@@ -267,6 +267,12 @@ def test_mixing_edges(docs_of):
     assert mixing.mix(docs_of(rows).limit(0)).count() == 0
 
 
+def test_mixing_rest_rounds_up_to_the_whole_source(docs_of):
+    rows = [(1, "one two three", None, "a"), (2, "four five", None, "a")]
+    out = mixing.mix(docs_of(rows), weights=(1,), share=0.92).collect()        # target 4.6 of 5
+    assert {r["doc_id"]: r["taken"] for r in out} == {1: 3, 2: 2}
+
+
 # --- tokens -----------------------------------------------------------------------------------------
 
 def test_spliced_counts_equal_whole_ones():
