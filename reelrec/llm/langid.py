@@ -129,7 +129,7 @@ def train(passages: list[tuple[bytes, int]], languages: int, steps: int = EPOCH_
     m = {k: np.zeros_like(v) for k, v in net.items()}
     v = {k: np.zeros_like(x) for k, x in net.items()}
     for step in range(1, steps + 1):
-        label = np.arange(TRAIN_BATCH) % languages
+        label = ((step - 1) * TRAIN_BATCH + np.arange(TRAIN_BATCH)) % languages
         data = np.full((TRAIN_STEPS, TRAIN_BATCH), 32, dtype=np.uint8)
         weight = np.zeros((TRAIN_STEPS, TRAIN_BATCH), dtype=np.float32)
         for k, lang in enumerate(label):

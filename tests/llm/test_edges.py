@@ -323,6 +323,14 @@ def test_gradients_by_differences():
         assert (up - down) / 2e-4 == pytest.approx(grad[k][at], rel=2e-2, abs=2e-5)
 
 
+def test_every_language_is_trained(monkeypatch):
+    seen, real = set(), langid.gradients
+    monkeypatch.setattr(langid, "gradients", lambda net, data, label, weight: (seen.update(int(x) for x in label), real(net, data, label, weight))[1])
+    languages = langid.TRAIN_BATCH + 10
+    langid.train([(b"some words", k) for k in range(languages)], languages, steps=2)
+    assert seen == set(range(languages))
+
+
 def test_pooling_does_not_depend_on_the_batch(monkeypatch):
     net = langid.new_network(4)
     texts = [prose(n, n).encode() for n in (1, 5, 60, 300)] + [b"z", b""]
