@@ -270,8 +270,11 @@ def wrapped(docs: DataFrame, model: Model, confirm: float = CONFIRM) -> DataFram
     known = t.select("template", "family", F.size("_w").alias("n"), F.size("_all").alias("m"), F.explode("_all").alias("g"))
     # with CONFIRM of its n-grams a template of four words or more has a triple, a shorter one a pair
     rare = [r["g"] for r in known.where((F.size(F.split("g", " ")) == 3) | (F.col("n") < 4)).select("g").distinct().collect()]
-    d = docs.where(F.col("text").contains("\n")).select("doc_id", "text").withColumn("_w", _words(F.col("text")))
-    d = d.where(F.arrays_overlap(_grams(F.col("_w")), F.array(*[F.lit(g) for g in sorted(rare)])))
+    # zipped, as the optimizer may put the word array in place of its name: inside a lambda it would be made for each word
+    w = _words(F.col("text"))
+    zipped = F.arrays_zip(w.alias("a"), F.slice(w, 2, F.size(w)).alias("b"), F.slice(w, 3, F.size(w)).alias("c"))
+    near_words = F.concat(F.transform(zipped, lambda x: F.concat_ws(" ", x["a"], x["b"])), F.transform(zipped, lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"])))
+    d = docs.select("doc_id", "text").where(F.col("text").contains("\n") & F.arrays_overlap(near_words, F.array(*[F.lit(g) for g in sorted(rare)])))
     own = ["doc_id", "_h1", "_h2"]
     a = F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.transform(_words(x), lambda w: F.struct(i.alias("line"), w.alias("w")))))
     d = d.select("doc_id", F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"), a.alias("_a")).dropDuplicates(own)
