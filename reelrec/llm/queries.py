@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from reelrec.llm import decontaminate, langid, licenses, mixing, ngram_join, quality, substring, tokens, url_filter, warc
+from reelrec.llm import align, audit, bpe, decontaminate, langid, licenses, mixing, ngram_join, quality, substring, tokens, url_filter, warc
 
 QUERIES = {
     "op1_url_filters": url_filter.op1_url_filters,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_token_counts": tokens.op9_token_counts,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_token_alignment": align.op11_token_alignment,
+    "op12_byte_bpe": bpe.op12_byte_bpe,
+    "op13_filter_audit": audit.op13_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +27,5 @@ ORACLE = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
     "op8_warc": warc.ORACLE_SQL,
+    "op13_filter_audit": audit.ORACLE_SQL,
 }
