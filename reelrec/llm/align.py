@@ -23,6 +23,7 @@ document of its own (ids may repeat or be null); equal texts each count; an empt
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 from collections.abc import Iterator
@@ -42,7 +43,7 @@ from reelrec.llm.packing import planes, starts, unplanes
 by_value(__name__)
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-GROUP_BYTES = 1 << 21        # of texts encoded together
+GROUP_BYTES = 1 << 20        # of texts encoded together
 GROUP_UNITS = 1 << 16        # units of a longer text encoded together
 CACHED = 1 << 18             # units kept by each of two generations
 HELD_PAIRS = 1 << 19         # counts that a task holds before it sends them
@@ -193,6 +194,7 @@ def _align_task(model_a: str, model_b: str, finish):
     """Rows ``doc_id, text`` -> ROW; ``finish`` takes the written groups to what is returned of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = None
+        gc.disable()             # no cycles are made; the collector would only walk the caches
         for batch in batches:
             pair = pair or Pair(model_a, model_b)
             scale = len(pair.sizes[1])
@@ -217,6 +219,7 @@ def _align_task(model_a: str, model_b: str, finish):
                     [ids.slice(at, end - at), *(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.binary()),
                      pa.array(columns[5], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[6:])],
                     names=[f.split()[0] for f in ROW.split(", ")])
+        gc.enable()
     return run
 
 
