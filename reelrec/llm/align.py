@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrec.llm.bpe import Kept, groups, tokenizer_path
-from reelrec.llm.common import by_value, table, written
+from reelrec.llm.common import by_value, per_worker, table, written
 from reelrec.llm.gallop import found, ranks
 from reelrec.llm.packing import planes, starts, unplanes
 
@@ -193,12 +193,11 @@ ROW = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups bina
 def _align_task(model_a: str, model_b: str, finish):
     """Rows ``doc_id, text`` -> ROW; ``finish`` takes the written groups to what is returned of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = None
         gc.disable()             # no cycles are made; the collector would only walk the caches
+        pair = per_worker(("align", model_a, model_b), lambda: Pair(model_a, model_b))
+        scale = len(pair.sizes[1])
+        width = -(-(len(pair.sizes[0]) * scale).bit_length() // 8)
         for batch in batches:
-            pair = pair or Pair(model_a, model_b)
-            scale = len(pair.sizes[1])
-            width = -(-(len(pair.sizes[0]) * scale).bit_length() // 8)
             ids, texts = batch.column("doc_id"), batch.column("text")
             sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
             for at, end in groups(sizes, GROUP_BYTES):

@@ -11,7 +11,7 @@ so all the new ones of a group of texts lie in one list and go through one queue
 
 Texts are cut into units at spaces that follow a character that is no white space.  No match of the pattern
 crosses such a place or looks beyond it, so units are independent, and repeated units and pre-tokens are
-encoded once for each task (bounded caches).  Code points that the installed ``regex`` counts as letters or
+encoded once for each Python worker (bounded caches).  Code points that the installed ``regex`` counts as letters or
 numbers but ``tiktoken`` (older Unicode tables) does not are found once on the driver and left out of the classes.
 
 Nothing is shuffled: one ``mapInArrow`` whose state is the ranks and the caches, so copies and hot sources do not matter.  Texts of
@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrec.llm.common import by_value, table
+from reelrec.llm.common import by_value, per_worker, table
 
 by_value(__name__)
 
@@ -237,14 +237,10 @@ class Kept:
         if len(self.young) + len(keys) > self.size:
             self.old, self.young = self.young, {}
         old, young = self.old, self.young
-        out = []
-        for key in keys:
-            if key not in young:
-                if key in old:
-                    young[key] = old[key]
-                else:
-                    out.append(key)
-        return out
+        rest = keys.difference(young)
+        again = rest.intersection(old)
+        young.update((key, old[key]) for key in again)
+        return list(rest - again)
 
 
 class Encoder:
@@ -316,10 +312,9 @@ def groups(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
 def _task(ranks_name: str, newer: str, pattern: str, column: str, steps: tuple[str, ...]):
     """Rows ``(doc_id, column)`` -> ``doc_id`` and the result of each step."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = None
         gc.disable()             # no cycles are made; the collector would only walk the caches
+        enc = per_worker(("bpe", ranks_name, newer, pattern), lambda: Encoder(load_ranks(ranks_name), newer, pattern))
         for batch in batches:
-            enc = enc or Encoder(load_ranks(ranks_name), newer, pattern)
             values, ids = batch.column(column), batch.column("doc_id")
             sizes = [0 if x is None else x for x in pc.binary_length(values).to_pylist()]
             for at, end in groups(sizes, LONG):

@@ -4,7 +4,9 @@ and pickling by value so that executors need no copy of this package."""
 from __future__ import annotations
 
 import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +24,15 @@ def by_value(name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
+def per_worker(key: tuple, make: Callable):
+    """``make()``, kept for the next tasks of this Python worker; one object a worker, that of the last key."""
+    kept = sys.modules.setdefault("_reelrec_kept", types.ModuleType("_reelrec_kept")).__dict__
+    if kept.get("key") != key:
+        kept.update(key=None, value=None)
+        kept.update(value=make(), key=key)
+    return kept["value"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
