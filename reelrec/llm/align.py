@@ -109,65 +109,90 @@ class Pair:
         self.both = ByteLevel(tokenizer_path(model_a)), Pieces(tokenizer_path(model_b))
         self.sizes = [np.array([len(b) for b in t.bytes_of], dtype=np.int64) for t in self.both]
         self.units = Kept(CACHED)
-        self.digits = [[f"{i}{c}".encode() for i in range(len(t.bytes_of)) for c in ",|;"] for t in self.both]
+        self.second = 3 * len(self.sizes[0])               # where the second tokenizer's begin
+        self.digits = [f"{i}{c}".encode() for t in self.both for i in range(len(t.bytes_of)) for c in ",|;"]
 
     def learn(self, units: set[str]) -> dict[str, tuple[bytes, bytes, bool]]:
         """Packed ids of both tokenizers, and whether both give the unit back."""
         new = self.units.missing(units)
         if new:
-            packed, same = [], [True] * len(new)
+            whole, packed, same = [u.encode() for u in new], [], []
             for t in self.both:
-                of, rows = t.bytes_of, []
-                for i, (unit, ids) in enumerate(zip(new, t.encode(new))):
-                    if same[i] and b"".join([of[x] for x in ids]) != unit.encode():
-                        same[i] = False
-                    rows.append(struct.pack(f"<{len(ids)}I", *ids))
-                packed.append(rows)
-            self.units.young.update(zip(new, zip(*packed, same)))
+                of, rows = t.bytes_of.__getitem__, t.encode(new)
+                same.append([b"".join(map(of, ids)) == unit for unit, ids in zip(whole, rows)])
+                packed.append([struct.pack(f"<{len(ids)}I", *ids) for ids in rows])
+            self.units.young.update(zip(new, zip(*packed, [x and y for x, y in zip(*same)])))
         return self.units.young
 
-    def _ids(self, found: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+    def encode(self, found: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both tokenizers for each list of units; None where they don't give the units back."""
         known, out = self.learn({u for units in found for u in units}), []
         for units in found:
-            rows = [known[u] for u in units]
-            if not rows:
+            if not units:
                 out.append(None)
                 continue
-            a, b, same = zip(*rows)
+            a, b, same = zip(*map(known.__getitem__, units))
             out.append((np.frombuffer(b"".join(a), dtype="<u4"), np.frombuffer(b"".join(b), dtype="<u4")) if all(same) else None)
         return out
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both tokenizers for each text; None for one without tokens."""
-        return self._ids([UNITS.findall(" " + t) if t else [] for t in texts])
-
-    def encode_long(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        found, parts = (m.group() for m in UNITS.finditer(" " + text)), []
-        while units := list(islice(found, GROUP_UNITS)):
-            part = self._ids([units])[0]
-            if part is None:
+    def written_groups(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[bytes]:
+        """The pieces of ``a1,a2|b1;a3|b2,b3;``, one a token, given the last token of each group in both lists."""
+        ca, cb = a.astype(np.int64) * 3, b.astype(np.int64) * 3 + self.second
+        ca[cut_a] += 1
+        cb[cut_b] += 2
+        of_a, of_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)       # tokens of each group
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + np.repeat(cut_b + 1 - of_b, of_a)] = ca        # after the b of the groups before
+        order[np.arange(len(b)) + np.repeat(cut_a + 1, of_b)] = cb               # after the a of its own group
+        return list(map(self.digits.__getitem__, order.tolist()))
+
+    def aligned(self, tokens: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int, int, bytes, np.ndarray, np.ndarray]]:
+        """For each text's ids: tokens of both, groups, links, the written groups, distinct linked pairs and how often each
+        is linked.  The texts' ends lie one after the other in two lists, which meet at the end of each text."""
+        scale = np.uint64(len(self.sizes[1]))
+        a, b = (np.concatenate([t[k] for t in tokens]) for k in (0, 1))
+        cut_a, cut_b, ia, ib = meetings(*(np.cumsum(size[x]) for size, x in zip(self.sizes, (a, b))))
+        words = self.written_groups(a, b, cut_a, cut_b)
+        keys = a[ia].astype(np.uint64) * scale + b[ib]
+        to_a, to_b = (np.cumsum([len(t[k]) for t in tokens]) for k in (0, 1))
+        to_group, to_link = np.searchsorted(cut_a, to_a), np.searchsorted(ia, to_a)
+        ends = zip(*(x.tolist() for x in (to_a, to_b, to_group, to_link)))
+        a0 = b0 = g0 = l0 = 0
+        for a1, b1, g1, l1 in ends:
+            key, times = np.unique(keys[l0:l1], return_counts=True)
+            yield a1 - a0, b1 - b0, g1 - g0, l1 - l0, b"".join(words[a0 + b0:a1 + b1])[:-1], key, times
+            a0, b0, g0, l0 = a1, b1, g1, l1
+
+    def one_by_one(self, texts: list[str]) -> Iterator:
+        """What ``aligned`` gives for each text; None for one without tokens."""
+        encoded = self.encode([UNITS.findall(" " + t) if t else [] for t in texts])
+        good = [t for t in encoded if t]
+        rows = self.aligned(good) if good else iter(())
+        for t in encoded:
+            yield next(rows) if t else None
+
+    def in_parts(self, text: str) -> tuple | None:
+        """The same for a text of any length, ``GROUP_UNITS`` units at a time: both tokenizers end a token with each unit."""
+        units, counts, written_parts = (m.group() for m in UNITS.finditer(" " + text)), np.zeros(4, dtype=np.int64), []
+        held = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        while part := list(islice(units, GROUP_UNITS)):
+            tokens = self.encode([part])
+            if tokens[0] is None:
                 return None
-            parts.append(part)
-        return tuple(np.concatenate(x) for x in zip(*parts))
+            *numbers, groups_text, key, times = next(self.aligned(tokens))
+            counts += numbers
+            written_parts.append(groups_text)
+            held = added([held[0], key], [held[1], times])
+        return *counts.tolist(), b";".join(written_parts), *held
 
-    def ends(self, ids: np.ndarray, which: int) -> np.ndarray:
-        """Where each token ends, in bytes."""
-        return np.cumsum(self.sizes[which][ids])
 
-    def written_groups(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> bytes:
-        """``a1,a2|b1;a3|b2,b3``, given the last token of each group in both lists."""
-        ca, cb = a.astype(np.int64) * 3, b.astype(np.int64) * 3
-        ca[cut_a] += 1
-        cb[cut_b] += 2
-        group_a, group_b = (np.cumsum(np.bincount(cut + 1, minlength=len(x) + 1)[:len(x)]) for cut, x in ((cut_a, a), (cut_b, b)))
-        before_b = np.concatenate([[0], cut_b + 1])          # tokens of b before each group, and so on
-        out: list[bytes] = [b""] * (len(a) + len(b))
-        at_a = np.arange(len(a)) + before_b[group_a]
-        at_b = np.arange(len(b)) + (cut_a + 1)[group_b]
-        order = np.argsort(np.concatenate([at_a, at_b]), kind="stable")
-        words = [*map(self.digits[0].__getitem__, ca.tolist()), *map(self.digits[1].__getitem__, cb.tolist())]
-        out = [words[i] for i in order.tolist()]
-        return b"".join(out)[:-1]
+def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    key, counted = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, counted = key[order], counted[order]
+    at = starts(key)
+    return key[at], np.add.reduceat(counted, at) if len(at) else counted
 
 
 def meetings(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -202,16 +227,13 @@ def _align_task(model_a: str, model_b: str, finish):
             sizes = [n or 0 for n in pc.binary_length(texts).to_pylist()]
             for at, end in groups(sizes, GROUP_BYTES):
                 rows = [t or "" for t in texts.slice(at, end - at).to_pylist()]
-                encoded = [pair.encode_long(rows[0])] if sizes[at] > GROUP_BYTES else pair.encode(rows)
                 out = []
-                for tokens in encoded:
-                    if tokens is None:
+                for found in [pair.in_parts(rows[0])] if sizes[at] > GROUP_BYTES else pair.one_by_one(rows):
+                    if found is None:
                         out.append((0, 0, 0, 0, b"", width, b"", b""))
                         continue
-                    a, b = tokens
-                    cut_a, cut_b, ia, ib = meetings(pair.ends(a, 0), pair.ends(b, 1))
-                    key, times = np.unique(a[ia].astype(np.uint64) * np.uint64(scale) + b[ib], return_counts=True)
-                    out.append((len(a), len(b), len(cut_a), len(ia), finish(pair.written_groups(a, b, cut_a, cut_b)), width,
+                    *counts, groups_text, key, times = found
+                    out.append((*counts, finish(groups_text), width,
                                 planes(key, width), planes(times.astype(np.uint64), 1 if times.max() < 256 else 4)))
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
@@ -229,13 +251,6 @@ def _unpacked(width: int, pairs: bytes, times: bytes) -> tuple[np.ndarray, np.nd
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``width, pairs`` -> ``pair, docs``: counts added up for as many pairs as are held."""
-    def added(keys, counts):
-        key, counted = np.concatenate(keys), np.concatenate(counts)
-        order = np.argsort(key, kind="stable")
-        key, counted = key[order], counted[order]
-        at = starts(key)
-        return key[at], np.add.reduceat(counted, at) if len(at) else counted
-
     def sent(key, counted):
         return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(counted)], names=["pair", "docs"])
 
