@@ -25,7 +25,7 @@ def rows_of(spark, name, *columns):
 def test_registered():
     names = entry_mod.queries()
     assert set(QUERIES) <= set(names)
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in QUERIES}
     assert "pipeline" in QUERIES
 
 
