@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelrec.operators.bounded import bounded_top_k
 from reelrec.operators.scoring import best_run, factor_top_k, rmse
 from reelrec.session import held
 
@@ -119,9 +120,11 @@ def _ranked(recs: DataFrame) -> DataFrame:
     return recs.withColumn("rank", F.row_number().over(best_first)).withColumnRenamed("score", "rating")
 
 
-def recommend_all_users(model: ALSModel, k: int = DEFAULT_K) -> DataFrame:
-    """M5: top-k for every user; rated movies are not removed (as in the reference)."""
-    return _ranked(factor_top_k(model.userFactors, model.itemFactors, k))
+def recommend_all_users(model: ALSModel, k: int = DEFAULT_K, *, bounds: bool = False) -> DataFrame:
+    """M5: top-k for every user; rated movies are not removed (as in the reference).  With ``bounds`` items whose norms are too
+    small for a user are not scored (``bounded``): the same lists, less work where norms differ."""
+    top_k = bounded_top_k if bounds else factor_top_k
+    return _ranked(top_k(model.userFactors, model.itemFactors, k))
 
 
 def recommend_users(model: ALSModel, users: DataFrame, k: int = DEFAULT_K) -> DataFrame:

@@ -4,21 +4,23 @@ them) in full; computed columns carry the same names as in ``reelrec.plans.oracl
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelrec import schemas
 from reelrec.functions import parse, wire
-from reelrec.operators import als, popularity, ranking, routing, scoring, split
+from reelrec.operators import als, bounded, membership, popularity, ranking, routing, scoring, split
 from reelrec.session import ensure_checkpoint_dir
-from reelrec.sinks import tables
+from reelrec.sinks import colocated, snapshots, tables
 from reelrec.sources import fixtures as fx
 from reelrec.sources.text import read_lines
-from reelrec.streaming import router
+from reelrec.streaming import ingest, router
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,35 +138,145 @@ def _table(spark) -> str:
 
 
 def q_publish_twice(spark, d):
-    """K1 K2 K9: a table published, then replaced by a plan that reads it."""
+    """K1 K2 K9: a table published, then replaced by a plan that reads it and changes every row."""
     name = _table(spark)
     tables.publish(fx.users(spark, d), name)
-    tables.publish(spark.table(name).where(F.col("userId") % 2 == 0), name)
+    tables.publish(spark.table(name).withColumn("age", F.col("age") + 1), name)
     return spark.table(name)
 
 
+def q_publish_interrupted(spark, d):
+    """K1 K2: a publish that stops before its pointer is swapped; readers between, before and after."""
+    root = _path(spark, "snapshots")
+    snapshots.publish(fx.users(spark, d), root)
+    pinned = snapshots.read(spark, root)
+    staged = snapshots.stage(snapshots.read(spark, root).withColumn("age", F.col("age") + 1), root)
+    between = snapshots.read(spark, root)                           # the driver died here: the old rows
+    snapshots.commit(spark, root, staged)                           # the next one goes on
+    seen = {"between": between, "pinned": pinned, "after": snapshots.read(spark, root)}
+    return functools.reduce(DataFrame.unionByName, [df.withColumn("reader", F.lit(r)) for r, df in seen.items()])
+
+
 def q_ctas_append(spark, d):
-    """K3 K4 K8: a table created from a plan, then appended to by name."""
-    name, m = _table(spark), fx.movies(spark, d)
-    tables.create_as(m.where(F.col("movieId") % 2 == 0), name)
-    tables.create_if_missing(spark, name, m.schema)
-    tables.append(m.where(F.col("movieId") % 2 != 0).select("genres", "title", "movieId"), name)
-    return spark.table(name)
+    """A table created because it is missing, one created from a plan, both appended to by name; read
+    through a named view."""
+    empty, name, m = _table(spark), _table(spark), fx.movies(spark, d)
+    even = F.col("movieId") % 2 == 0
+    tables.create_if_missing(spark, empty, m.schema)
+    tables.append(m.where(even), empty)
+    tables.create_as(spark.table(empty), name)
+    tables.create_if_missing(spark, name, m.schema)                 # is there: nothing changes
+    tables.append(m.where(~even).select("genres", "title", "movieId"), name)
+    view = _table(spark)
+    tables.name_view(spark.table(name), view)
+    return spark.sql(f"select movieId, title, genres from {view}")
 
 
-def q_stream_restart(spark, d):
-    """Half of the requests through the router, then a restart from its checkpoint with the rest."""
-    base = _path(spark, "stream")
+class _Died(RuntimeError):
+    """What the recovery queries raise in place of a crash."""
+
+
+def _dies(batch_id: int) -> None:
+    raise _Died(f"batch {batch_id}")
+
+
+def _router(spark, d, base, **kw) -> router.RouterConfig:
     recs, popular = _stored(_factor_recs(spark, d), "recs"), _stored(_popular(spark, d), "popular")
-    cfg = router.RouterConfig(recommendations=lambda _: recs, popular=lambda _: popular, out_path=os.path.join(base, "out"))
+    return router.RouterConfig(recommendations=lambda _: recs, popular=lambda _: popular, out_path=os.path.join(base, "out"),
+                               ledger=True, **kw)
+
+
+def _halves(spark, d) -> list[DataFrame]:
+    """The requests in two parts; all of a user's are in one."""
     req = fx.requests(spark, d)
-    half = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
-    for part in (req.where(half), req.where(~half)):
+    half = F.pmod(F.xxhash64(F.substring_index("value", "%", 1)), F.lit(2)) == 0
+    return [req.where(half), req.where(~half)]
+
+
+def _run_router(spark, cfg, base) -> None:
+    stream = router.file_request_stream(spark, os.path.join(base, "in"))
+    router.start_router(stream, cfg, os.path.join(base, "checkpoint"), available_now=True).awaitTermination()
+
+
+def _times(routed: DataFrame) -> DataFrame:
+    """Every routed row and how often it is there."""
+    return routed.groupBy("userId", "movieId", _round("rating")).agg(F.count(F.lit(1)).alias("times"))
+
+
+def q_stream_restart(spark, d):
+    """Half of the requests through the router, then a restart from its checkpoint with the rest."""
+    base = _path(spark, "stream")
+    cfg = _router(spark, d, base)
+    for part in _halves(spark, d):
         router.replay_to_files(part, os.path.join(base, "in"))
-        stream = router.file_request_stream(spark, os.path.join(base, "in"))
-        router.start_router(stream, cfg, os.path.join(base, "checkpoint"), available_now=True).awaitTermination()
-    out = spark.read.parquet(cfg.out_path)
-    return out.select("batch_id", "userId", "movieId", _round("rating")).drop("batch_id").distinct()
+        _run_router(spark, cfg, base)
+    return router.routed_rows(spark, cfg).select("userId", "movieId", _round("rating"))
+
+
+def q_stream_recovery(spark, d):
+    """The second batch dies when its rows are written and not committed; the restart runs it again."""
+    base = _path(spark, "stream")
+    cfg = _router(spark, d, base)
+    first, second = _halves(spark, d)
+    router.replay_to_files(first, os.path.join(base, "in"))
+    _run_router(spark, cfg, base)
+    router.replay_to_files(second, os.path.join(base, "in"))
+    cfg.before_commit = _dies
+    try:
+        _run_router(spark, cfg, base)
+        raise AssertionError("the batch did not die")
+    except StreamingQueryException:
+        cfg.before_commit = None
+    _run_router(spark, cfg, base)
+    return _times(router.routed_rows(spark, cfg))
+
+
+def q_stream_trigger(spark, d):
+    """A router with a processing-time trigger, stopped when it has read what there was."""
+    base = _path(spark, "stream")
+    cfg = _router(spark, d, base)
+    router.replay_to_files(fx.requests(spark, d), os.path.join(base, "in"))
+    stream = router.file_request_stream(spark, os.path.join(base, "in"))
+    query = router.start_router(stream, cfg, os.path.join(base, "checkpoint"), trigger="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _times(router.routed_rows(spark, cfg))
+
+
+def _ingest_growing(spark, lines: DataFrame, schema, delim: str) -> tuple[ingest.Ingested, str]:
+    """Lines in three parts that arrive one after the other; the run over the third dies once before its commit."""
+    base = _path(spark, "ingest")
+    folder, root = os.path.join(base, "in"), os.path.join(base, "out")
+    part = F.pmod(F.xxhash64("value"), F.lit(3))
+    for k in range(3):
+        lines.where(part == k).write.mode("append").text(folder)
+        if k == 2:
+            try:
+                ingest.ingest_new(spark, folder, root, schema, delim, before_commit=_dies)
+                raise AssertionError("the batch did not die")
+            except StreamingQueryException:
+                pass
+        out = ingest.ingest_new(spark, folder, root, schema, delim)
+    return out, folder
+
+
+def q_ingest_incremental(spark, d):
+    """Three runs over a growing folder, one of which dies and runs again."""
+    return _ingest_growing(spark, fx.rating_lines(spark, d), schemas.RATINGS, "::")[0].rows
+
+
+def q_ingest_files(spark, d):
+    """The ledger of an incremental ingest: lines of the files, each read once, and what became of them."""
+    out, folder = _ingest_growing(spark, fx.links_lines(spark, d), schemas.LINKS, ",")
+    there = spark.read.text(folder).select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("there"))
+    per_file = out.files.groupBy("file").agg(F.count(F.lit(1)).alias("times"), F.sum("lines").alias("lines"))
+    seen = there.join(per_file, "file", "full")
+    counts = seen.agg(F.sum("there").alias("lines_there"), F.sum("lines").alias("lines_read"), F.max("times").alias("times_read"))
+    good = out.rows.agg(F.count(F.lit(1)).alias("n_rows"))
+    both = counts.unionByName(good, allowMissingColumns=True)       # a row each, side by side
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
 
 
 def q_ingest_tags_repaired(spark, d):
@@ -264,6 +376,57 @@ def q_best_run(spark, d):
     return scoring.best_run(metrics).select("run_id", "damping", _round("rmse"), "n")
 
 
+# ---- tables that meet without a shuffle, top-k with bounds, membership index --------------
+
+def q_colocated_predictions(spark, d):
+    """Predictions and held-out ratings, bucketed by (user, movie), joined bucket by bucket."""
+    train, test = _splits(spark, d)
+    pairs = test.select("userId", "movieId").distinct()
+    left, right = _table(spark), _table(spark)
+    colocated.store(scoring.item_mean_predictions(train, pairs), left, ["userId", "movieId"])
+    colocated.store(test, right, ["userId", "movieId"])
+    return colocated.join(left, right, spark).select("userId", "movieId", _round("prediction"), "rating")
+
+
+def q_colocated_titles(spark, d):
+    """Recommendations and titles, bucketed by movie."""
+    left, right = _table(spark), _table(spark)
+    colocated.store(_factor_recs(spark, d), left, ["movieId"])
+    colocated.store(fx.movies(spark, d).select("movieId", "title"), right, ["movieId"])
+    return colocated.join(left, right, spark, "left").select("userId", "movieId", _round("score"), "title")
+
+
+def q_colocated_membership(spark, d):
+    """Request users and known users, bucketed by user."""
+    left, right = _table(spark), _table(spark)
+    colocated.store(_request_users(spark, d), left, ["userId"])
+    colocated.store(fx.known_users(spark, d), right, ["userId"])
+    return colocated.known_and_new(left, right, spark)
+
+
+def q_membership_index(spark, d):
+    """The index built of half of the known users, added to with the others; request users split by it."""
+    root, everyone = _path(spark, "members"), fx.known_users(spark, d)
+    half = F.pmod(F.xxhash64("userId"), F.lit(2)) == 0
+    membership.add(spark, root, everyone.where(half))
+    membership.add(spark, root, everyone.where(~half))
+    index, asked = snapshots.read(spark, root), _stored(_request_users(spark, d), "asked")
+    return (membership.known(asked, index).withColumn("known", F.lit(True))
+            .unionByName(membership.new(asked, index).withColumn("known", F.lit(False))))
+
+
+def _weighted_factors(spark, d):
+    users, items = fx.factors(spark, d)
+    weight = F.lit(1.0) / (1 + F.col("id") % 50)
+    return users, items.select("id", F.transform("features", lambda x: x.cast("double") * weight).alias("features"))
+
+
+def q_bounded_top_k(spark, d):
+    """M6: exact top-k over items of different norms, with bounds."""
+    users, items = _weighted_factors(spark, d)
+    return bounded.bounded_top_k(users, items, TOP_K, slice_bytes=1 << 16).select("userId", "movieId", _round("score"))
+
+
 # ---- phase 6: ALS.  A trained model has no SQL equivalent, so these return what must hold of the
 # real output whatever the factors are: which rows there are, and checks computed from them.
 
@@ -358,7 +521,12 @@ QUERIES: dict[str, Query] = {
     "text_round_trip": q_text_round_trip,
     "publish_twice": q_publish_twice,
     "ctas_append": q_ctas_append,
+    "publish_interrupted": q_publish_interrupted,
     "stream_restart": q_stream_restart,
+    "stream_recovery": q_stream_recovery,
+    "stream_trigger": q_stream_trigger,
+    "ingest_incremental": q_ingest_incremental,
+    "ingest_files": q_ingest_files,
     "split_train": q_split_train,
     "split_test": q_split_test,
     "rank_within_rating": q_rank_within_rating,
@@ -375,6 +543,11 @@ QUERIES: dict[str, Query] = {
     "prediction_fact_join": q_prediction_fact_join,
     "rmse_item_mean": q_rmse_item_mean,
     "best_run": q_best_run,
+    "colocated_predictions": q_colocated_predictions,
+    "colocated_titles": q_colocated_titles,
+    "colocated_membership": q_colocated_membership,
+    "membership_index": q_membership_index,
+    "bounded_top_k": q_bounded_top_k,
     "als_train_summary": q_als_train_summary,
     "als_predict_pairs": q_als_predict_pairs,
     "als_grid": q_als_grid,

@@ -64,6 +64,15 @@ def _with(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
 
 
+ROUTED = _with(RATINGS, MOVIES, POPULAR, REQUESTS, REQ_USERS, FACTOR_RECS, """routed as (
+  select r."userId", f."movieId", round(f.score, 6) as rating
+  from req r join factor_recs f on f."userId" = r."userId"
+  union all
+  select r."userId", p."movieId", 0.0::double
+  from req r cross join popular p
+  where r."userId" not in (select "userId" from factor_recs))""")
+
+
 ORACLE: dict[str, str] = {
     "rating_count": _with(RATINGS) + "select count(*) as n from ratings",
     "movie_popularity": _with(RATINGS) + 'select "movieId", count(*) as cnt from ratings group by 1',
@@ -88,15 +97,16 @@ ORACLE: dict[str, str] = {
 select "movieId", title, genres from both_rows
 qualify row_number() over (partition by "movieId" order by title, genres) = 1""",
     "text_round_trip": _with(RATINGS) + 'select "userId", "movieId", rating, ts from ratings',
-    "publish_twice": _with(USERS) + 'select "userId", gender, age from users where "userId" % 2 = 0',
+    "publish_twice": _with(USERS) + 'select "userId", gender, age + 1 as age from users',
+    "publish_interrupted": _with(USERS) + """select "userId", gender, age, reader from users, (values ('between'), ('pinned')) v(reader)
+union all select "userId", gender, age + 1, 'after' from users""",
     "ctas_append": _with(MOVIES) + 'select "movieId", title, genres from movies',
-    "stream_restart": _with(RATINGS, MOVIES, POPULAR, REQUESTS, REQ_USERS, FACTOR_RECS)
-    + """select r."userId", f."movieId", round(f.score, 6) as rating
-from req r join factor_recs f on f."userId" = r."userId"
-union all
-select r."userId", p."movieId", 0.0::double
-from req r cross join popular p
-where r."userId" not in (select "userId" from factor_recs)""",
+    "stream_restart": ROUTED + 'select "userId", "movieId", rating from routed',
+    "stream_recovery": ROUTED + 'select "userId", "movieId", rating, 1::bigint as times from routed',
+    "stream_trigger": ROUTED + 'select "userId", "movieId", rating, 1::bigint as times from routed',
+    "ingest_incremental": _with(RATINGS) + 'select "userId", "movieId", rating, ts from ratings',
+    "ingest_files": """select count(*) as lines_there, count(*)::bigint as lines_read, 1::bigint as times_read,
+  count(*) filter (p_size % 7 <> 0) as n_rows from part""",
     "split_train": _with(RATINGS, TRAIN) + "select * from train",
     "split_test": _with(RATINGS, TEST) + "select * from test",
     "rank_within_rating": _with(RATINGS) + 'select "userId", "movieId", rating, ts, '
@@ -147,6 +157,19 @@ metrics as (select run_id, damping, sqrt(avg((prediction - rating) * (prediction
             from test t join models m on m."movieId" = t."movieId" group by run_id, damping)
 select run_id, damping, round(rmse, 6) as rmse, n from metrics where rmse is not null
 order by rmse, run_id limit 1""",
+    "colocated_predictions": _with(RATINGS, TRAIN, TEST, ITEM_MEAN_JOIN)
+    + 'select "userId", "movieId", round(prediction, 6) as prediction, rating from joined',
+    "colocated_titles": _with(MOVIES, FACTOR_RECS) + """select f."userId", f."movieId", round(f.score, 6) as score, m.title
+from factor_recs f left join movies m on m."movieId" = f."movieId\"""",
+    "colocated_membership": _with(RATINGS, KNOWN, REQUESTS, REQ_USERS)
+    + 'select "userId", "userId" in (select "userId" from known) as known from req',
+    "membership_index": _with(RATINGS, KNOWN, REQUESTS, REQ_USERS)
+    + 'select "userId", "userId" in (select "userId" from known) as known from req',
+    "bounded_top_k": """select "userId", "movieId", round(score, 6) as score from (
+  select a.vec_id::int as "userId", b.vec_id::int as "movieId",
+         list_inner_product(a.embedding::double[], b.embedding::double[]) / (1 + b.vec_id % 50) as score
+  from embeddings a, embeddings b where a.vec_id % 10 = 0 and b.vec_id % 10 <> 0)
+qualify row_number() over (partition by "userId" order by score desc, "movieId") <= 5""",
     "als_train_summary": _with(RATINGS, TRAIN, TEST) + """select 10 as rank, 10 as iterations, 0.07::double as "lambda",
   (select count(*) from test where "userId" in (select "userId" from train) and "movieId" in (select "movieId" from train)) as n,
   count(distinct "userId") as n_users, count(distinct "movieId") as n_items, true as scored, true as better_than_mean from train""",

@@ -7,6 +7,7 @@ setting we fill in is the checkpoint folder, and only when the cluster left
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -60,6 +61,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once below the checkpoint folder and read back: cuts the lineage, survives lost executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def held(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` persisted for the duration; a frame that the caller has persisted is left alone."""

@@ -8,6 +8,7 @@
                        union (U1) -> <out>/batch_id=<id>  (overwrite: a replayed batch
                                      rewrites the same folder, so the sink is idempotent)
                        optional JDBC append of that batch, tagged with batch_id
+                       with a ledger: rows and rejects of an attempt, then one entry that makes them count
 
 The stored recommendations and the popular list are re-read once per batch (D21), so a
 refreshed model table is picked up without restarting.  The streaming checkpoint keeps
@@ -30,6 +31,7 @@ from reelrec import schemas
 from reelrec.functions import wire
 from reelrec.operators import routing
 from reelrec.sinks.jdbc import MAX_CONNECTIONS, delete_batch, jdbc_append
+from reelrec.streaming import ledger
 
 # Fixed value: the reference's live micro-batch interval.
 DEFAULT_TRIGGER = "15 seconds"
@@ -57,11 +59,15 @@ class RouterConfig:
     movies: Callable[[SparkSession], DataFrame] | None = None
     jdbc: dict | None = None                               # url, table, properties
     buckets: int = routing.USER_BUCKETS                    # of the stored recommendations
+    ledger: bool = False                                   # batches count once they are in the ledger below out_path
+    before_commit: ledger.Step | None = None               # runs between a batch's rows and its ledger entry
 
 
 def route_batch(cfg: RouterConfig) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if cfg.ledger and ledger.committed(spark, cfg.out_path, batch_id):
+            return
         # the batch is read by routing, the bucket list and the rejects: read the source once
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -77,15 +83,34 @@ def _route_one(cfg: RouterConfig, spark: SparkSession, batch: DataFrame, batch_i
     users = routing.request_users(decoded.rows)
     movies = cfg.movies(spark) if cfg.movies else None
     routed = routing.route(users, cfg.recommendations(spark), cfg.popular(spark), movies, buckets=cfg.buckets)
+    if cfg.ledger:
+        def step(done: int) -> None:
+            if cfg.jdbc:
+                attempt = spark.read.parquet(os.path.join(cfg.out_path, "rows", f"batch_id={done}"))
+                _to_jdbc(cfg, spark, attempt.drop("attempt"), done)
+            if cfg.before_commit:
+                cfg.before_commit(done)
+        ledger.write(spark, cfg.out_path, batch_id, {"rows": routed, "rejects": decoded.rejects}, step)
+        return
     target = os.path.join(cfg.out_path, f"batch_id={batch_id}")
     routed.write.mode("overwrite").parquet(target)
     if cfg.rejects_path:
         decoded.rejects.write.mode("overwrite").parquet(os.path.join(cfg.rejects_path, f"batch_id={batch_id}"))
     if cfg.jdbc:
-        written = spark.read.parquet(target).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        delete_batch(spark, cfg.jdbc["url"], cfg.jdbc["table"], batch_id, cfg.jdbc.get("properties"))
-        jdbc_append(written, cfg.jdbc["url"], cfg.jdbc["table"], cfg.jdbc.get("properties"),
-                    max_connections=cfg.jdbc.get("max_connections") or MAX_CONNECTIONS)
+        _to_jdbc(cfg, spark, spark.read.parquet(target), batch_id)
+
+
+def _to_jdbc(cfg: RouterConfig, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
+    """The rows of a batch, in place of those that an attempt before may have sent."""
+    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    delete_batch(spark, cfg.jdbc["url"], cfg.jdbc["table"], batch_id, cfg.jdbc.get("properties"))
+    jdbc_append(rows, cfg.jdbc["url"], cfg.jdbc["table"], cfg.jdbc.get("properties"),
+                max_connections=cfg.jdbc.get("max_connections") or MAX_CONNECTIONS)
+
+
+def routed_rows(spark: SparkSession, cfg: RouterConfig) -> DataFrame:
+    """``batch_id, userId, movieId, rating`` of the committed batches of a router with a ledger."""
+    return ledger.read(spark, cfg.out_path, "rows", schemas.RECOMMENDATION)
 
 
 def start_router(requests: DataFrame, cfg: RouterConfig, checkpoint: str, *,
