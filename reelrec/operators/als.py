@@ -4,7 +4,7 @@
   unknown to the model give no prediction (as the RDD model did);
 * evaluation predicts the *test* pairs and joins the facts (D2 ruling), reporting the
   row count beside RMSE; an empty join is a failed run (null), never a winner (D3);
-* the grid is a driver loop over fits on persisted train/test: each fit is itself a
+* the grid is a driver loop over fits on persisted train/test, some at a time if asked: each fit is itself a
   distributed job and only one metric row per run comes back;
 * recommendations score the model's own factor tables with the blocked top-k of
   ``scoring.factor_top_k`` (an equi-join of factor blocks, vectorised top-k, ties by movie
@@ -15,9 +15,12 @@
 from __future__ import annotations
 
 import itertools
+import math
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +39,9 @@ DEFAULT_SEED = 42
 # User and item blocks: the parallelism of every ALS stage, and part of the model: factors are
 # initialised per block, so another number gives another model.  Never taken from the session.
 DEFAULT_BLOCKS = 10
+# A block's factors and in-links should fit a task: ``blocks_for`` gives the number for a table.
+BLOCK_RATINGS = 20_000_000
+BLOCK_FACTOR_BYTES = 64 << 20
 
 METRICS_SCHEMA = T.StructType([
     T.StructField("run_id", T.IntegerType()),
@@ -49,6 +55,9 @@ METRICS_SCHEMA = T.StructType([
 ])
 
 
+RUNG_SCHEMA = T.StructType([T.StructField("rung", T.IntegerType()), *METRICS_SCHEMA.fields[:7]])
+
+
 def als_estimator(rank: int = DEFAULT_RANK, iterations: int = DEFAULT_ITERATIONS,
                   reg: float = DEFAULT_LAMBDA, seed: int = DEFAULT_SEED, blocks: int = DEFAULT_BLOCKS) -> ALS:
     return ALS(rank=rank, maxIter=iterations, regParam=reg, seed=seed, userCol="userId",
@@ -65,6 +74,13 @@ def fit(train: DataFrame, rank: int = DEFAULT_RANK, iterations: int = DEFAULT_IT
         return est.fit(data)
 
 
+def blocks_for(n_ratings: int, n_users: int, n_items: int, rank: int = DEFAULT_RANK) -> int:
+    """Blocks for a table of that size: about ``BLOCK_RATINGS`` ratings (12 bytes each) and ``BLOCK_FACTOR_BYTES`` of factors
+    (4 bytes a number) in each, ten at least.  100 TB of ratings at 24 bytes are 4e12 rows: 200,000 blocks."""
+    factors = max(n_users, n_items) * rank * 4
+    return max(DEFAULT_BLOCKS, math.ceil(n_ratings / BLOCK_RATINGS), math.ceil(factors / BLOCK_FACTOR_BYTES))
+
+
 def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """M2: predictions for (userId, movieId) pairs; unknown users/movies give no row."""
     return model.transform(pairs).withColumn("prediction", F.col("prediction").cast("double"))
@@ -90,28 +106,56 @@ def load(path: str) -> ALSModel:
 class GridResult:
     metrics: DataFrame
     best: DataFrame
+    rungs: DataFrame             # what candidates scored in each rung of successive halving
+
+
+def _scored(runs: list[tuple], train: DataFrame, test: DataFrame, seed: int, blocks: int, model_root: str | None, concurrent: int) -> list[tuple]:
+    """A row of METRICS_SCHEMA per run.  At most ``concurrent`` fits are at work, each in a scheduler pool of its own, so with the
+    fair scheduler they share the cluster."""
+    spark = train.sparkSession
+
+    def one(run):
+        run_id, r, it, lam = run
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{run_id % concurrent}" if concurrent > 1 else None)
+        model = fit(train, r, it, lam, seed, blocks)
+        m = evaluate(model, test).first()
+        path = save(model, os.path.join(model_root, f"run={run_id}")) if model_root else None
+        return (run_id, int(r), int(it), float(lam), int(blocks), m["rmse"], int(m["n"]), path)
+
+    if concurrent <= 1:
+        return [one(run) for run in runs]
+    with ThreadPoolExecutor(concurrent) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(one), runs))
 
 
 def grid_search(train: DataFrame, test: DataFrame, *, ranks=(DEFAULT_RANK,), iterations=(DEFAULT_ITERATIONS,),
                 lambdas=(DEFAULT_LAMBDA,), seed: int = DEFAULT_SEED, blocks: int = DEFAULT_BLOCKS,
-                model_root: str | None = None) -> GridResult:
+                model_root: str | None = None, concurrent: int = 1, rungs: int = 0, keep: float = 0.5) -> GridResult:
     """M3 + A5: fit every (rank, iterations, lambda), score each on ``test``, keep the best.
 
-    Not ``CrossValidator``/``TrainValidationSplit``: the hold-out is chronological, so a
-    random split would leak the future.
+    Not ``CrossValidator``/``TrainValidationSplit``: the hold-out is chronological, so a random split would leak the future.
+
+    ``concurrent`` fits run at a time; the results don't depend on it.  With ``rungs`` the grid is thinned before (successive
+    halving): ``train`` must have ``ts``, and in rung i of n the candidates are fitted on its first i + 1 of n + 2 parts by time
+    and scored on the next part; the best ``keep`` of them go on.  The rest are fitted on all of ``train``.
     """
     spark = train.sparkSession
-    rows = []
+    runs = [(i, *p) for i, p in enumerate(itertools.product(ranks, iterations, lambdas), start=1)]
+    thinned = []
+    if rungs:
+        at = [(i + 1) / (rungs + 2) for i in range(rungs + 1)]
+        cuts = train.approxQuantile("ts", at, 0.001)
+        for rung, (cut, end) in enumerate(zip(cuts[:-1], cuts[1:]), start=1):
+            with held(train.where(F.col("ts") <= cut)) as inner, held(train.where((F.col("ts") > cut) & (F.col("ts") <= end))) as after:
+                found = _scored(runs, inner, after, seed, blocks, None, concurrent)
+            thinned += [(rung, *row[:7]) for row in found]
+            order = sorted(found, key=lambda row: (row[5] is None or math.isnan(row[5]), row[5], row[0]))
+            kept = {row[0] for row in order[:max(1, math.ceil(len(order) * keep))]}
+            runs = [run for run in runs if run[0] in kept]
     with held(train.select("userId", "movieId", "rating")) as train, held(test.select("userId", "movieId", "rating")) as test:
-        for run_id, (r, it, lam) in enumerate(itertools.product(ranks, iterations, lambdas), start=1):
-            model = fit(train, r, it, lam, seed, blocks)
-            m = evaluate(model, test).first()
-            path = None
-            if model_root:
-                path = save(model, os.path.join(model_root, f"run={run_id}"))
-            rows.append((run_id, int(r), int(it), float(lam), int(blocks), m["rmse"], int(m["n"]), path))
+        rows = _scored(runs, train, test, seed, blocks, model_root, concurrent)
     metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
-    return GridResult(metrics, best_run(metrics))
+    return GridResult(metrics, best_run(metrics), spark.createDataFrame(thinned, RUNG_SCHEMA))
 
 
 def _ranked(recs: DataFrame) -> DataFrame:

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from reelrec import schemas
 from reelrec.functions import parse, wire
-from reelrec.operators import als, bounded, membership, popularity, ranking, routing, scoring, split
+from reelrec.operators import als, bounded, foldin, membership, popularity, ranking, routing, scoring, split
 from reelrec.session import ensure_checkpoint_dir
 from reelrec.sinks import colocated, snapshots, tables
 from reelrec.sources import fixtures as fx
 from reelrec.sources.text import read_lines
-from reelrec.streaming import ingest, router
+from reelrec.streaming import ingest, ledger, replay, router
+from reelrec.streaming import popularity as popularity_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,8 @@ NTH_USER = 100
 TRAIN_FRACTION = 0.6
 DAMPING_GRID = (0.0, 1.0, 5.0, 25.0)
 ALS_GRID_LAMBDAS = (0.07, 0.2)
+REPLAY_RANGES = 6
+LATE_USER_MODULUS = 5         # users left out of the fit by the half-step's queries
 
 
 def _path(spark: SparkSession, tag: str) -> str:
@@ -427,8 +430,47 @@ def q_bounded_top_k(spark, d):
     return bounded.bounded_top_k(users, items, TOP_K, slice_bytes=1 << 16).select("userId", "movieId", _round("score"))
 
 
-# ---- phase 6: ALS.  A trained model has no SQL equivalent, so these return what must hold of the
-# real output whatever the factors are: which rows there are, and checks computed from them.
+# ---- streams that keep something up to date ----------------------------------------------
+
+def q_popularity_stream(spark, d):
+    """The popular list of a stream of ratings in three parts; one batch dies before it publishes and runs again."""
+    base = _path(spark, "popularity")
+    folder, root, checkpoint = (os.path.join(base, x) for x in ("in", "list", "checkpoint"))
+    ratings, part = fx.ratings(spark, d), F.pmod(F.xxhash64("userId", "movieId", "ts"), F.lit(3))
+    for k in range(3):
+        ratings.where(part == k).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(ratings.schema).parquet(folder)
+        if k == 1:
+            try:
+                popularity_stream.start_popularity(stream, root, TOP_K, checkpoint, before_publish=_dies).awaitTermination()
+                raise AssertionError("the batch did not die")
+            except StreamingQueryException:
+                pass
+        popularity_stream.start_popularity(stream, root, TOP_K, checkpoint).awaitTermination()
+    return popularity.with_titles(popularity_stream.popular(spark, root), fx.movies(spark, d)).select("movieId", "title", "cnt")
+
+
+def q_replay_in_order(spark, d):
+    """Ratings replayed in the order of (ts, user, movie); whether each is after all rows of the batches before."""
+    base, keys = _path(spark, "replay"), ["ts", "userId", "movieId"]
+    folder, root = os.path.join(base, "in"), os.path.join(base, "out")
+    ratings = fx.ratings(spark, d)
+    replay.replay_in_order(ratings, folder, keys, REPLAY_RANGES)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        ledger.write(spark, root, batch_id, {"rows": batch})
+    stream = spark.readStream.schema(ratings.schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    (stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+     .start().awaitTermination())
+    seen, key = ledger.read(spark, root, "rows", ratings.schema), F.struct(*keys)
+    ends = seen.groupBy("batch_id").agg(F.max(key).alias("_last"))                     # a row a batch: REPLAY_RANGES at most
+    before = ends.select("batch_id", F.lag("_last").over(Window.orderBy("batch_id")).alias("_before"))
+    met = seen.join(before, "batch_id").withColumn("in_order", F.coalesce(key > F.col("_before"), F.lit(True)))
+    return met.select("userId", "movieId", "rating", "ts", "in_order")
+
+
+# ---- phase 6: ALS.  A trained model has no SQL equivalent: the queries return its real output, and those named ``_checks`` what
+# must hold of it whatever the factors are: which rows there are, and checks computed from them.
 
 def _mean_rmse(train: DataFrame) -> float:
     mu = train.agg(F.avg("rating")).first()[0]
@@ -436,6 +478,16 @@ def _mean_rmse(train: DataFrame) -> float:
 
 
 def q_als_train_summary(spark, d):
+    """M1 A4: a fitted model's parameters, size and errors."""
+    train, test = _splits(spark, d)
+    model = als.fit(train)
+    errors = als.evaluate(model, train).select(F.lit("train").alias("part"), "rmse", "n").unionByName(
+        als.evaluate(model, test).select(F.lit("test").alias("part"), "rmse", "n"))
+    return errors.select("part", _round("rmse"), "n", F.lit(model.rank).alias("rank"), F.lit(model.userFactors.count()).alias("n_users"),
+                         F.lit(model.itemFactors.count()).alias("n_items"))
+
+
+def q_als_train_summary_checks(spark, d):
     train, test = _splits(spark, d)
     model = als.fit(train)
     better = als.evaluate(model, train).first()["rmse"] < _mean_rmse(train)
@@ -448,6 +500,13 @@ def q_als_train_summary(spark, d):
 
 
 def q_als_predict_pairs(spark, d):
+    """M2: predictions of the held-out pairs."""
+    train, test = _splits(spark, d)
+    p = als.predict_pairs(als.fit(train), test.select("userId", "movieId", "rating"))
+    return p.select("userId", "movieId", "rating", _round("prediction"))
+
+
+def q_als_predict_pairs_checks(spark, d):
     train, test = _splits(spark, d)
     p = als.predict_pairs(als.fit(train), test.select("userId", "movieId", "rating"))
     finite = ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
@@ -455,6 +514,18 @@ def q_als_predict_pairs(spark, d):
 
 
 def q_als_grid(spark, d):
+    """M3 A5: the runs of a grid, two at a time, thinned by one rung on an inner fold; whether a run won."""
+    ratings = _stored(fx.ratings(spark, d), "ratings")
+    cut = ratings.approxQuantile("ts", [TRAIN_FRACTION], 0.001)[0]
+    found = als.grid_search(ratings.where(F.col("ts") <= cut), ratings.where(F.col("ts") > cut), lambdas=(*ALS_GRID_LAMBDAS, 1.0, 5.0),
+                            concurrent=2, rungs=1)
+    best = found.best.first()["run_id"]
+    last = found.metrics.select(F.lit(2).alias("rung"), *als.RUNG_SCHEMA.names[1:])
+    return (found.rungs.unionByName(last).withColumn("rmse", F.round("rmse", 6))
+            .withColumn("won", (F.col("rung") == 2) & (F.col("run_id") == best)))
+
+
+def q_als_grid_checks(spark, d):
     train, test = _splits(spark, d)
     found = als.grid_search(train, test, lambdas=ALS_GRID_LAMBDAS, model_root=_path(spark, "models"))
     runs, best = found.metrics.collect(), found.best.first()      # a row per run of the grid
@@ -480,6 +551,13 @@ def _checked(recs: DataFrame, model, k: int) -> DataFrame:
 
 
 def q_recommend_one_user(spark, d):
+    """M4: titles for the first user of the training set."""
+    train, _ = _splits(spark, d)
+    recs = als.recommend_users(als.fit(train), popularity.nth_user(train, 1), TOP_K)
+    return popularity.with_titles(recs, fx.movies(spark, d)).select("userId", "rank", "movieId", "title", _round("rating"))
+
+
+def q_recommend_one_user_checks(spark, d):
     train, _ = _splits(spark, d)
     model = als.fit(train)
     recs = als.recommend_users(model, popularity.nth_user(train, 1), TOP_K)
@@ -488,11 +566,41 @@ def q_recommend_one_user(spark, d):
 
 
 def q_recommend_all_users(spark, d):
+    """M5: the k best movies of every user, items that cannot be among them not scored."""
+    train, _ = _splits(spark, d)
+    return als.recommend_all_users(als.fit(train), TOP_K, bounds=True).select("userId", "rank", "movieId", _round("rating"))
+
+
+def q_recommend_all_users_checks(spark, d):
     train, _ = _splits(spark, d)
     model = als.fit(train)
     return _checked(als.recommend_all_users(model, TOP_K), model, TOP_K)
 
 
+def _late_users(spark, d):
+    """A model without every fifth user, the ratings of all, and the factors that the half-step gives them."""
+    train, _ = _splits(spark, d)
+    train = _stored(train, "train")
+    model = als.fit(train.where(F.col("userId") % LATE_USER_MODULUS != 0))
+    return model, train, _stored(foldin.fold_in(model, train, als.DEFAULT_LAMBDA), "folded")
+
+
+def q_fold_in_users(spark, d):
+    """T4: factors by the half-step: a user of the training set has the model's own, others have new ones."""
+    model, _, folded = _late_users(spark, d)
+    own = model.userFactors.select("id", F.col("features").alias("own"))
+    far = F.array_max(F.zip_with("features", "own", lambda a, b: F.abs(a - b)))
+    return folded.join(own, "id", "left").select(F.col("id").alias("userId"), F.col("own").isNotNull().alias("trained"),
+                                                 F.coalesce(far < 1e-3, F.lit(False)).alias("own_factors"))
+
+
+def q_recommend_late_users(spark, d):
+    """T4 M4: movies for users who came after the fit."""
+    model, _, folded = _late_users(spark, d)
+    late = folded.join(model.userFactors.select("id"), "id", "left_anti")
+    return scoring.factor_top_k(late, model.itemFactors, TOP_K).select("userId", "movieId", _round("score"))
+
+
 def q_model_round_trip(spark, d):
     """A saved model, read back, has the same factors."""
     train, _ = _splits(spark, d)
@@ -549,9 +657,18 @@ QUERIES: dict[str, Query] = {
     "membership_index": q_membership_index,
     "bounded_top_k": q_bounded_top_k,
     "als_train_summary": q_als_train_summary,
+    "als_train_summary_checks": q_als_train_summary_checks,
     "als_predict_pairs": q_als_predict_pairs,
+    "als_predict_pairs_checks": q_als_predict_pairs_checks,
     "als_grid": q_als_grid,
+    "als_grid_checks": q_als_grid_checks,
     "recommend_one_user": q_recommend_one_user,
+    "recommend_one_user_checks": q_recommend_one_user_checks,
     "recommend_all_users": q_recommend_all_users,
+    "recommend_all_users_checks": q_recommend_all_users_checks,
+    "popularity_stream": q_popularity_stream,
+    "replay_in_order": q_replay_in_order,
+    "fold_in_users": q_fold_in_users,
+    "recommend_late_users": q_recommend_late_users,
     "model_round_trip": q_model_round_trip,
 }

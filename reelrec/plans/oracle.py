@@ -1,8 +1,8 @@
 """DuckDB oracle SQL for the registered queries (same output column names).
 
 Each statement inlines the fixture views it needs as CTEs over the pre-registered
-warehouse tables.  ALS queries return what must hold of a trained model whatever its factors
-are (which rows there are, checks computed from them); the statements give those rows.
+warehouse tables.  A trained model has no SQL: the ``_checks`` queries return what must hold of it whatever its
+factors are (which rows there are, checks computed from them), and the statements give those rows.
 """
 
 from __future__ import annotations
@@ -170,18 +170,22 @@ from factor_recs f left join movies m on m."movieId" = f."movieId\"""",
          list_inner_product(a.embedding::double[], b.embedding::double[]) / (1 + b.vec_id % 50) as score
   from embeddings a, embeddings b where a.vec_id % 10 = 0 and b.vec_id % 10 <> 0)
 qualify row_number() over (partition by "userId" order by score desc, "movieId") <= 5""",
-    "als_train_summary": _with(RATINGS, TRAIN, TEST) + """select 10 as rank, 10 as iterations, 0.07::double as "lambda",
+    "als_train_summary_checks": _with(RATINGS, TRAIN, TEST) + """select 10 as rank, 10 as iterations, 0.07::double as "lambda",
   (select count(*) from test where "userId" in (select "userId" from train) and "movieId" in (select "movieId" from train)) as n,
   count(distinct "userId") as n_users, count(distinct "movieId") as n_items, true as scored, true as better_than_mean from train""",
-    "als_predict_pairs": _with(RATINGS, TRAIN, TEST) + """select "userId", "movieId", rating, true as finite from test
+    "als_predict_pairs_checks": _with(RATINGS, TRAIN, TEST) + """select "userId", "movieId", rating, true as finite from test
 where "userId" in (select "userId" from train) and "movieId" in (select "movieId" from train)""",
-    "als_grid": _with(RATINGS, TRAIN, TEST) + """select v.run_id::int as run_id, 10::int as rank, 10::int as iterations, v.reg as "lambda", 10::int as blocks,
+    "als_grid_checks": _with(RATINGS, TRAIN, TEST) + """select v.run_id::int as run_id, 10::int as rank, 10::int as iterations, v.reg as "lambda", 10::int as blocks,
   (select count(*) from test where "userId" in (select "userId" from train) and "movieId" in (select "movieId" from train)) as n,
   true as better_than_mean, true as best_is_least
 from (values (1, 0.07::double), (2, 0.2::double)) v(run_id, reg)""",
-    "recommend_one_user": _with(RATINGS, TRAIN) + """select u."userId", r.rank::int as rank, true as distinct_movies, true as falling, true as own_score
+    "recommend_one_user_checks": _with(RATINGS, TRAIN) + """select u."userId", r.rank::int as rank, true as distinct_movies, true as falling, true as own_score
 from (select min("userId") as "userId" from train) u cross join range(1, 6) r(rank)""",
-    "recommend_all_users": _with(RATINGS, TRAIN) + """select u."userId", r.rank::int as rank, true as distinct_movies, true as falling, true as own_score
+    "recommend_all_users_checks": _with(RATINGS, TRAIN) + """select u."userId", r.rank::int as rank, true as distinct_movies, true as falling, true as own_score
 from (select distinct "userId" from train) u cross join range(1, 6) r(rank)""",
+    "popularity_stream": _with(RATINGS, MOVIES, POPULAR) + 'select "movieId", title, cnt from popular',
+    "replay_in_order": _with(RATINGS) + 'select "userId", "movieId", rating, ts, true as in_order from ratings',
+    "fold_in_users": _with(RATINGS, TRAIN) + """select distinct "userId", "userId" % 5 <> 0 as trained, "userId" % 5 <> 0 as own_factors
+from train where "movieId" in (select "movieId" from train where "userId" % 5 <> 0)""",
     "model_round_trip": _with(RATINGS, TRAIN) + 'select distinct "userId", true as same from train',
 }

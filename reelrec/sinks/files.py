@@ -56,3 +56,11 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def set_time(spark: SparkSession, path: str, millis: int) -> None:
     _fs(spark, path).setTimes(_path(spark, path), millis, -1)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file; the folder it goes to is made if it is not there."""
+    fs = _fs(spark, path)
+    fs.mkdirs(_path(spark, to).getParent())
+    if not fs.rename(_path(spark, path), _path(spark, to)):
+        raise OSError(f"{path} was not renamed to {to}")
