@@ -33,6 +33,39 @@ def per_worker(key: tuple, make: Callable):
     return kept["value"]
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: a Python worker that waits for its next task would keep it."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc
+    if release:
+        release(0)
+
+
+def trimmed(run: Callable) -> Callable:
+    """A function of ``applyInArrow`` or ``mapInArrow`` that trims when a group or a task is done."""
+    import inspect
+
+    if inspect.isgeneratorfunction(run):
+        def task(batches):
+            try:
+                yield from run(batches)
+            finally:
+                trim()
+    else:
+        def task(group):
+            out = run(group)
+            trim()
+            return out
+    return task
+
+
+by_value(__name__)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
