@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelrec.llm.common import by_value, table
+from reelrec.llm.common import by_value, table, trimmed
 
 by_value(__name__)
 
@@ -301,7 +301,7 @@ def keep(docs: DataFrame, model: tuple[dict, list[str]] | None, clear: float) ->
     if model is None:
         return docs.where(F.lit(False))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("*", _lettered(docs)).mapInArrow(_keep_task(sent, clear), docs.schema)
+    return docs.select("*", _lettered(docs)).mapInArrow(trimmed(_keep_task(sent, clear)), docs.schema)
 
 
 def classify(docs: DataFrame, model: tuple[dict, list[str]] | None) -> DataFrame:
@@ -310,7 +310,7 @@ def classify(docs: DataFrame, model: tuple[dict, list[str]] | None) -> DataFrame
     if model is None:
         return d.select("doc_id", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return d.mapInArrow(_label_task(sent), "doc_id long, lang_pred string, score double")
+    return d.mapInArrow(trimmed(_label_task(sent)), "doc_id long, lang_pred string, score double")
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrec.llm import graph
-from reelrec.llm.common import by_value, release, table, written
+from reelrec.llm.common import by_value, release, table, trimmed, written
 from reelrec.llm.packing import KEY_BITS, KEY_MASK, fragment_of, planes, starts, unplanes
 from reelrec.llm.words import mix64, shingles, text_words
 
@@ -125,7 +125,7 @@ def _sign_task(with_hot: bool = True):
 def signatures(docs: DataFrame) -> DataFrame:
     """A row per document (kind 0: size and signature of its set), and rows of hot shingles (kind 1)."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(d.mapInArrow(_sign_task(), SIG_SCHEMA), "sets")
+    return written(d.mapInArrow(trimmed(_sign_task()), SIG_SCHEMA), "sets")
 
 
 # --- fragments ---------------------------------------------------------------------------------
@@ -324,9 +324,9 @@ def candidates(docs: DataFrame, sets: DataFrame, percent: int, fragment: int = F
            .select("cid").toPandas()["cid"].to_numpy(dtype=np.int64))
     fragments = max(1, -(-total // fragment))
     sent = docs.sparkSession.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
-    segments = docs.select("text").mapInArrow(_segment_task(sent, fragments), SEGMENT_SCHEMA)
-    answers = segments.groupBy("fragment").applyInArrow(_count_task(max(1, fragments // 2)), ANSWER_SCHEMA)
-    return written(answers.groupBy("bucket").applyInArrow(_prefix_task(percent), PREFIX_SCHEMA), "prefixes")
+    segments = docs.select("text").mapInArrow(trimmed(_segment_task(sent, fragments)), SEGMENT_SCHEMA)
+    answers = segments.groupBy("fragment").applyInArrow(trimmed(_count_task(max(1, fragments // 2))), ANSWER_SCHEMA)
+    return written(answers.groupBy("bucket").applyInArrow(trimmed(_prefix_task(percent)), PREFIX_SCHEMA), "prefixes")
 
 
 # --- candidate groups, overlaps, links -----------------------------------------------------
