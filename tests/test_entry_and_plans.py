@@ -25,7 +25,10 @@ def test_entry_and_registry(spark):
     assert df.count() == 5
     qs, sql = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(QUERIES) == set(ORACLE)          # every query of the reference's operators has its SQL
+    # every query of the reference's operators has its SQL; those that return a trained model's output have a query of checks
+    trained = {"als_train_summary", "als_predict_pairs", "als_grid", "recommend_one_user", "recommend_all_users", "recommend_late_users"}
+    assert set(QUERIES) - set(ORACLE) == trained
+    assert {f"{q}_checks" for q in trained - {"recommend_late_users"}} | {"fold_in_users"} <= set(ORACLE)
 
 
 def test_scan_pruning_and_no_python_udf(spark):
