@@ -93,6 +93,22 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``_key``, a long for each (``doc_id``, ``text``) in the order of ``doc_id``; null for a null id.
+
+    Where no id has two texts it is the id and the second result is None.  Otherwise the distinct
+    (id, two hashes of the text) are numbered in sorted order, and that table is the second result."""
+    d = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    hashes = {"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit(1), F.col("text"))}
+    ids = d.where("doc_id is not null").select("doc_id", *[h.alias(n) for n, h in hashes.items()])
+    if ids.groupBy("doc_id").agg(F.min("_h1").alias("a"), F.max("_h1").alias("b")).where("a < b").isEmpty():
+        return d.withColumn("_key", F.col("doc_id")), None
+    order = ["doc_id", "_h1", "_h2"]
+    names = ids.distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    names = written(names.withColumn("_key", F.monotonically_increasing_id()), "keys")
+    return d.withColumns(hashes).join(names, order, "left").drop("_h1", "_h2").select(*d.columns, "_key"), names
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(c, UPPER, LOWER)

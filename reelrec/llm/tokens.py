@@ -6,7 +6,7 @@ a space after a character that isn't a space.  No piece of the vocabulary holds
 another character (checked when the model is loaded), so no merge can ever cross such a place, and
 the tokens on either side don't depend on the other side.  An overlap without a common stable start
 is doubled until it has one or reaches the end of the document, so a text without spaces is encoded
-whole.  The count is exactly the library's count of the whole text.
+whole, and the next chunk begins behind such a stretch.  The count is exactly the library's count of the whole text.
 
 A task holds one Arrow batch and the pieces of one chunk or of a few hundred short documents.
 ``piece_bpe_32k.model`` is read on the executor from the path that is a parameter; nothing is
@@ -29,8 +29,8 @@ from reelrec.llm.common import by_value, table
 by_value(__name__)
 
 MODEL = "piece_bpe_32k.model"
-CHUNK = 1 << 16              # bytes
-OVERLAP = 1 << 10
+CHUNK = 1 << 12              # bytes
+OVERLAP = 1 << 8
 LIMIT = 4096
 GROUP_BYTES = 1 << 20        # of short documents encoded by one call
 SPACE_SIGN = "\u2581".encode()
@@ -91,6 +91,9 @@ def spliced_count(enc, text: bytes, chunk: int = CHUNK, overlap: int = OVERLAP)
                 break
             ahead *= 2                      # no proven common start: widen the overlap
         total += sum(entry <= x < cut for x in left)
+        later = _whole(text, cut - max(overlap, 4))
+        if later > after + chunk and cut in {later + x for x in enc.starts(text[later:end])}:
+            after = later                   # past a long stretch that has no stable place
         start, entry = after, cut
 
 

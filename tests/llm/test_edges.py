@@ -179,6 +179,16 @@ def test_substring_cut(docs_of):
     assert left[1]["text"] == rows[0][1] and left[2]["text"] == "Keep this,\nand that. " and left[2]["n_chars"] == len(left[2]["text"])
 
 
+def test_substring_rows_of_one_id_with_other_texts(docs_of):
+    p, other = prose(60, 41), prose(300, 42)
+    rows = [(1, p), (5, "start " + p + " end"), (5, other), (5, other), (6, other[:1500]), (None, p), (7, None), (7, p)]
+    docs = docs_of(rows)
+    got = sorted(((r["doc_id"], r["text"]) for r in substring.without_repeats(docs).collect()), key=str)
+    assert got == sorted([(1, p), (5, "start end"), (5, other), (5, other), (None, p), (7, None)], key=str)
+    found = {(r["doc_id"], r["ref_id"]) for r in substring.passages(docs).collect()}
+    assert found == {(5, 1), (6, 5), (7, 1)}
+
+
 def test_fenwick_chains_equal_quadratic_ones():
     r = random.Random(7)
     for _ in range(60):
@@ -279,12 +289,21 @@ def test_spliced_counts_equal_whole_ones():
     enc = tokens.Encoder()
     r = random.Random(4)
     texts = [prose(3000, 1), "a" * 5000, " " * 3000, "x  y   z " * 700, "é你 " * 900 + "q" * 900, "line\n" * 800, "▁ ▁a" * 500,
-             "".join(r.choice("ab ü\n你 <s>") for _ in range(6000))]
+             "".join(r.choice("ab ü\n你 <s>") for _ in range(6000)), prose(300, 2) + " " + "xé" * 4000 + " " + prose(300, 3)]
     for text in texts:
         for chunk, overlap in ((200, 10), (1000, 40), (777, 1)):
             assert tokens.spliced_count(enc, text.encode(), chunk, overlap) == enc.counts([text])[0]
 
 
+def test_long_stretch_without_spaces_is_not_encoded_again_and_again(monkeypatch):
+    enc, seen = tokens.Encoder(), []
+    starts = enc.starts
+    monkeypatch.setattr(enc, "starts", lambda text: seen.append(len(text)) or starts(text))
+    text = (prose(300, 2) + " " + "q" * 40000 + " " + prose(300, 3)).encode()
+    assert tokens.spliced_count(enc, text, 500, 50) == enc.counts([text.decode()])[0]
+    assert sum(seen) < 8 * len(text)
+
+
 def test_token_edges(docs_of):
     rows = odd_rows() + [(30, prose(40000, 3))]
     enc = tokens.Encoder()

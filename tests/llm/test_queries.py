@@ -4,6 +4,7 @@ import os
 import sys
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_mod
@@ -102,6 +103,21 @@ def test_op9_whole_texts(spark):
     assert {tuple(r) for r in QUERIES["op9_token_counts"](spark, SF_SMALL).collect()} == expected
 
 
+def test_op9_long_documents_are_spliced(spark, monkeypatch):
+    from reelrec.llm import tokens
+
+    calls, enc = [], tokens.Encoder()
+    monkeypatch.setattr(tokens, "Encoder", lambda model: enc)
+    spliced = tokens.spliced_count
+    monkeypatch.setattr(tokens, "spliced_count", lambda e, text, chunk, overlap: calls.append(text) or spliced(e, text, chunk, overlap))
+    texts = [t for _, t in rows_of(spark, "documents", "doc_id", "text")]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int64()), pa.array(texts)],
+                                       names=["doc_id", "n_bytes", "text"])
+    out = next(tokens._count_batches(tokens.MODEL, tokens.CHUNK, tokens.OVERLAP)([batch]))
+    assert out.column("n_tokens").to_pylist() == enc.counts(texts)
+    assert len(calls) >= 0.9 * sum(len(t) > 1.5 * tokens.CHUNK for t in texts) > 0
+
+
 def test_op10_statistics_and_verdicts(spark):
     rows = {r["doc_id"]: r for r in QUERIES["op10_quality_rules"](spark, SF_SMALL).collect()}
     for i, t in rows_of(spark, "documents", "doc_id", "text"):
