@@ -12,6 +12,7 @@ one of the family's templates.
 
 A notice that is wrapped over neighbouring lines (with a word each) is found by its joined words: at each template
 n-gram, ``REACH`` times the template's words from there hold ``CONFIRM`` of its n-grams, over more than one line.
+Texts without a tell-tale word of a template (see ``tell_tale``) are left aside first.
 It is reported from its first to its last line, with the family's probability for the n-grams it holds, whatever
 class is the likeliest.
 
@@ -262,6 +263,17 @@ def scan(docs: DataFrame, model: Model, least: float = LEAST, confirm: float = C
     return out.select("doc_id", "line", "family", "probability", "similarity", (F.col("similarity") >= confirm).alias("confirmed"), "text")
 
 
+def tell_tale(words: list[str], grams: list[str], confirm: float = CONFIRM) -> set[str]:
+    """Words of a template, the longest first, without which fewer than ``confirm`` of its n-grams are left: a text
+    that has none of them can't hold the notice."""
+    chosen: set[str] = set()
+    for word in sorted(set(words), key=lambda w: (-len(w), w)):
+        if sum(chosen.isdisjoint(g.split(" ")) for g in grams) < confirm * len(grams):
+            break
+        chosen.add(word)
+    return chosen
+
+
 def wrapped(docs: DataFrame, model: Model, confirm: float = CONFIRM) -> DataFrame:
     """``doc_id, line, last_line, family, probability, similarity, confirmed`` for each notice whose words are
     spread over neighbouring lines and hold ``confirm`` of a template's n-grams."""
@@ -274,7 +286,10 @@ def wrapped(docs: DataFrame, model: Model, confirm: float = CONFIRM) -> DataFram
     w = _words(F.col("text"))
     zipped = F.arrays_zip(w.alias("a"), F.slice(w, 2, F.size(w)).alias("b"), F.slice(w, 3, F.size(w)).alias("c"))
     near_words = F.concat(F.transform(zipped, lambda x: F.concat_ws(" ", x["a"], x["b"])), F.transform(zipped, lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"])))
-    d = docs.select("doc_id", "text").where(F.col("text").contains("\n") & F.arrays_overlap(near_words, F.array(*[F.lit(g) for g in sorted(rare)])))
+    # one lookup a word settles the texts without any tell-tale word; the n-grams of the others are made
+    tell = sorted(set().union(*(tell_tale(r["_w"], r["_all"], confirm) for r in t.select("_w", "_all").collect())))
+    has_tell = F.arrays_overlap(w, F.array(*[F.lit(x) for x in tell]))
+    d = docs.select("doc_id", "text").where(F.col("text").contains("\n") & has_tell & F.arrays_overlap(near_words, F.array(*[F.lit(g) for g in sorted(rare)])))
     own = ["doc_id", "_h1", "_h2"]
     a = F.flatten(F.transform(F.split("text", "\n"), lambda x, i: F.transform(_words(x), lambda w: F.struct(i.alias("line"), w.alias("w")))))
     d = d.select("doc_id", F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"), a.alias("_a")).dropDuplicates(own)

@@ -385,6 +385,15 @@ def test_license_edges(docs_of):
     assert licenses.fit(docs.limit(0)).classes == model.classes
 
 
+def test_no_notice_is_confirmed_without_its_tell_tale_words():
+    for text in (t for family in licenses.TEMPLATES.values() for t in family):
+        words = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in text.lower()).split()
+        grams = {" ".join(words[k:k + n]) for n in (2, 3) for k in range(len(words) - n + 1)}
+        for confirm in (0.3, licenses.CONFIRM, 1.0):
+            tell = licenses.tell_tale(words, sorted(grams), confirm)
+            assert tell and sum(tell.isdisjoint(g.split()) for g in grams) < confirm * len(grams)
+
+
 def test_license_wrapped_notices(docs_of):
     mit = ("# Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and associated documentation\n"
            "# files (the \"Software\"), to deal in the Software without restriction.")
