@@ -426,3 +426,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, fragment: int = FRA
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+#: Shingle sets, pairs with a common shingle, and components by following the links.
+ORACLE_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN []
+                        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct([array_to_string(w[k:k + 4], ' ') FOR k IN range(1, len(w) - 3)]) END AS s
+    FROM split
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b
+    FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id
+    HAVING 100 * count(*) >= 75 * (min(x.n) + min(y.n) - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS c FROM sets
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.c = l.a
+), least AS (
+    SELECT doc_id, min(c) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least USING (doc_id)
+"""

@@ -24,6 +24,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_url_filters": url_filter.ORACLE_SQL,
+    "op2_ngram_join": ngram_join.ORACLE_SQL,
     "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op7_mixing": mixing.ORACLE_SQL,
     "op8_warc": warc.ORACLE_SQL,
