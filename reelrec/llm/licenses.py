@@ -268,7 +268,7 @@ def tell_tale(words: list[str], grams: list[str], confirm: float = CONFIRM) -> s
     that has none of them can't hold the notice."""
     chosen: set[str] = set()
     for word in sorted(set(words), key=lambda w: (-len(w), w)):
-        if sum(chosen.isdisjoint(g.split(" ")) for g in grams) < confirm * len(grams):
+        if grams and sum(chosen.isdisjoint(g.split(" ")) for g in grams) / len(grams) < confirm:      # as similarity is compared
             break
         chosen.add(word)
     return chosen
