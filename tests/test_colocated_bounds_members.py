@@ -91,6 +91,16 @@ def test_bounds_of_empty_sides(spark):
     assert bounded.scored_share(bounded.bounded_lists(u, i.limit(0), 2), 0) == 0
 
 
+def test_rounds_do_not_count_the_items(spark, monkeypatch):
+    """A slice of one item first: the rounds grow with the logarithm of the items, and end when no user is open."""
+    r, tags, stored = np.random.default_rng(6), [], bounded.stored
+    monkeypatch.setattr(bounded, "stored", lambda df, tag: (tags.append(tag), stored(df, tag))[1])
+    users, items = r.normal(size=(20, 4)), r.normal(size=(600, 4))
+    got = bounded.bounded_top_k(factors(spark, users), factors(spark, items), 5, slice_bytes=32)
+    assert rows(got.select("userId", "movieId")) == [t[:2] for t in brute(users, items, 5)]
+    assert tags.count("lists") <= 12
+
+
 def test_bounds_serve_a_model(spark):
     model = als.fit(fx.ratings(spark, SF_SMALL).select("userId", "movieId", "rating"), rank=4, iterations=2)
     with_bounds, without = (als.recommend_all_users(model, 5, bounds=b).select("userId", "rank", F.round("rating", 5).alias("rating")) for b in (True, False))
