@@ -97,3 +97,9 @@ def test_grid_and_save_load(spark, data, scratch):
     assert len(a) == 5
     again = sorted(tuple(r) for r in als.recommend_users(als.load(best["model_path"]), user, 5).collect())
     assert a == again
+
+
+def test_shuffle_files_go_while_a_fit_runs(spark):
+    """ALS deletes the files of earlier iterations at a checkpoint: more than one falls into a fit."""
+    est = als.als_estimator()
+    assert 0 < est.getCheckpointInterval() * 2 <= est.getMaxIter()
