@@ -55,3 +55,20 @@ def test_bands_are_disjoint_and_complete(spark):
         n = len(ranks)
         for rank, band in ranks:
             assert band == (1 if rank <= n // 3 else 2 if rank <= 2 * (n // 3) else 3)
+
+
+def test_parts_grow_in_number(spark):
+    df = spark.range(3)
+    few = ranking._partitions(df, None, 1000)
+    assert ranking._partitions(df, None, 5000 * ranking.PART_ROWS) == 5000 > few and ranking._partitions(df, 4, 10**12) == 4
+
+
+def test_rows_are_ranked_in_their_parts(spark):
+    """Duplicates expand where they lie; no window over the rows."""
+    rows = [(i % 7, 1, float(i % 3), 5) for i in range(90)] + [(1, 1, None, 5)] * 3
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, ts long")
+    ranked = ranking.rank_within_rating(df, partitions=5)
+    assert "Window" not in ranked._jdf.queryExecution().executedPlan().toString()
+    got = sorted((tuple(r) for r in ranked.collect()), key=str)
+    expect = [r[:5] for r in df.selectExpr("*", "row_number() over (partition by rating order by userId, movieId, ts)").collect()]
+    assert got == sorted((tuple(r) for r in expect), key=str)
