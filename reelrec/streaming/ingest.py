@@ -1,7 +1,7 @@
 """Ingest of the files that are new in a folder.
 
 The folder is a text stream that is read until nothing is left (``availableNow``) and then stops, so a job can run on any
-schedule.  Spark's checkpoint knows which files were read; every micro-batch parses its files once and commits
+schedule.  Spark's checkpoint knows which files were read; every micro-batch parses its files once (and reads them again to count lines) and commits
 rows, rejected lines and a row per file through the ledger.  Any number of runs over a growing folder give what one run over the whole
 gives, also if runs die between.
 """
@@ -29,13 +29,20 @@ def _one_batch(parse: Callable[[DataFrame], ParseResult], root: str, before_comm
         spark = batch.sparkSession
         if ledger.committed(spark, root, batch_id):
             return
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)         # three outputs, one read of the files
+        found = parse(batch.select("value"))
+        rows, rejects, kept = found.rows, found.rejects, batch
+        if found.staged is not None:                                # rows and rejects of one parse; a good line's text is not kept
+            bad = F.col("_reason").isNotNull()
+            kept = found.staged.withColumn("value", F.when(bad, F.col("value")))
+        kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            found = parse(batch.select("value"))
+            if found.staged is not None:
+                rows = kept.where(~bad).select(*rows.columns)
+                rejects = kept.where(bad).select("value", F.col("_reason").alias("reason"))
             seen = batch.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
-            ledger.write(spark, root, batch_id, {"rows": found.rows, "rejects": found.rejects, "files": seen}, before_commit)
+            ledger.write(spark, root, batch_id, {"rows": rows, "rejects": rejects, "files": seen}, before_commit)
         finally:
-            batch.unpersist()
+            kept.unpersist()
     return run
 
 

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelrec import schemas
 from reelrec.functions import parse
@@ -119,3 +120,23 @@ def test_ingest_of_a_growing_folder(spark, scratch):
     assert rows(once.rows) == rows(whole.rows) and rows(once.rejects) == rows(whole.rejects)
     per_file = whole.files.collect()
     assert len(per_file) == len({r["file"] for r in per_file}) == 3 and sum(r["lines"] for r in per_file) == 6
+
+
+def test_a_batch_is_parsed_once(spark, scratch):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def number(line):
+        calls.add(1)
+        return int(line) if line.isdigit() else None
+
+    def parsed(lines):
+        staged = lines.select("value", number("value").alias("n")).withColumn("_reason", F.when(F.col("n").isNull(), F.lit("no number")))
+        staged = staged.select(F.inline(F.array(F.struct("value", "n", "_reason"))))
+        good = F.col("_reason").isNull()
+        return parse.ParseResult(staged.where(good).select("n"), staged.where(~good).select("value", F.col("_reason").alias("reason")), staged)
+    folder, schema = os.path.join(scratch, "in"), T.StructType([T.StructField("n", T.IntegerType())])
+    spark.createDataFrame([("1",), ("x",), ("3",), ("y",)], "value string").write.text(folder)
+    out = ingest.ingest_new(spark, folder, os.path.join(scratch, "out"), schema, ",", parse=parsed)
+    assert sorted(r[0] for r in out.rows.collect()) == [1, 3] and sorted(tuple(r) for r in out.rejects.collect()) == [("x", "no number"), ("y", "no number")]
+    assert sum(r["lines"] for r in out.files.collect()) == 4 == calls.value
