@@ -112,3 +112,10 @@ def test_replay_in_order(spark, scratch):
     assert all(a[-1][0] < b[0][0] for a, b in zip(seen[:-2], seen[1:-1]))       # equal keys are in one batch
     counts = popularity.movie_popularity(first.withColumnRenamed("ts", "movieId"))
     assert counts.count() == len({t for t, _ in in_turn})
+
+
+def test_replay_makes_more_ranges_of_a_large_table(spark, scratch, monkeypatch):
+    monkeypatch.setattr(replay, "FILE_ROWS", 100)
+    n = replay.replay_in_order(spark.range(2000).selectExpr("cast(id as int) as ts"), os.path.join(scratch, "in"), ["ts"], 3)
+    counts = [r[0] for r in spark.read.parquet(os.path.join(scratch, "in")).groupBy(F.input_file_name()).count().select("count").collect()]
+    assert n == len(counts) > 10 and sum(counts) == 2000 and max(counts) < 400
