@@ -305,7 +305,7 @@ def first_k(df: DataFrame, order: list[str], k: int, *, descending: bool = False
 def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
                         order: tuple[str, ...] = ("ts", "userId", "movieId", "rating"),
                         output: tuple[str, ...] = ("userId", "movieId", "rating"),
-                        time_bucket_seconds: int = 86400, **kw) -> tuple[DataFrame, DataFrame]:
+                        time_bucket_seconds: int = 86400, persist: bool = True, **kw) -> tuple[DataFrame, DataFrame]:
     """Oldest ``int(n*fraction)`` rows = train, newest ``int(n*(1-fraction))`` = test.
 
     The total order ``(ts, userId, movieId, rating)`` breaks time ties (D1): test is the
@@ -315,8 +315,9 @@ def chronological_split(ratings: DataFrame, fraction: float = 0.6, *,
     day in the data's span), which is also the first level of both selections.
     """
     order, output = list(order), list(output)
-    # Selection passes read only the key columns, persisted once for both cuts.
-    with held(ratings.select(*order)) as keys:
+    # Selection passes read only the key columns, persisted once for both cuts (a stored table is as fast to read again).
+    keys = ratings.select(*order)
+    with held(keys) if persist else nullcontext(keys) as keys:
         days = coarse_histogram(keys, order, F.floor(F.col(order[0]) / F.lit(time_bucket_seconds)))
         stats = days.stats if days else key_stats(keys, order)
         n = stats.n

@@ -103,3 +103,24 @@ def test_shuffle_files_go_while_a_fit_runs(spark):
     """ALS deletes the files of earlier iterations at a checkpoint: more than one falls into a fit."""
     est = als.als_estimator()
     assert 0 < est.getCheckpointInterval() * 2 <= est.getMaxIter()
+
+
+def test_predictions_are_the_models_and_come_by_hashed_factors(spark, model, data):
+    """The numbers of ``model.transform``, bit by bit, without its function of boxed rows; unknown and null ids give no row."""
+    pairs = data[1].select("userId", "movieId").unionByName(spark.createDataFrame([(-1, 1), (None, 1), (1, None)], "userId int, movieId int"))
+    got = als.predict_pairs(model, pairs)
+    theirs = model.transform(pairs.where("userId is not null and movieId is not null")).withColumn("prediction", F.col("prediction").cast("double"))
+    key = lambda r: (r["userId"], r["movieId"], r["prediction"])
+    assert sorted(map(key, got.collect())) == sorted(map(key, theirs.collect())) and got.columns == theirs.columns
+    plain = spark.createDataFrame([(1, 1)], "userId int, movieId int")
+    plan = als.predict_pairs(model, plain)._jdf.queryExecution().executedPlan().toString()
+    assert "UDF(" not in plan and "SortMergeJoin" not in plan and plan.count("ShuffledHashJoin") == 2
+
+
+def test_split_of_a_stored_table_caches_nothing(spark, scratch):
+    path = scratch + "/ratings"
+    fx.ratings(spark, SF_SMALL).write.parquet(path)
+    stored = spark.read.parquet(path)
+    held = [sorted(map(tuple, part.collect())) for part in split.chronological_split(stored, 0.6)]
+    again = [sorted(map(tuple, part.collect())) for part in split.chronological_split(stored, 0.6, persist=False)]
+    assert held == again
