@@ -170,6 +170,33 @@ def test_substring_passage_quoted_more_often_than_before(docs_of):
     assert set(got) == {2, 3} and all(got[i] >= n and len(got[i]) <= len(n) + 18 for i, n in need.items())
 
 
+def between(copies):
+    """An edited passage whose seeds all occur earlier in pieces too short for a chain, before and behind the one document that has it."""
+    p = prose(100, 581).split(" ")
+    pieces = [" ".join(p[k:k + 20]) for k in range(0, 90, 10)] * copies
+    lone = lambda first, t, k: (first + k, prose(20, first + k) + " " + t + " " + prose(20, 5 * first + k))
+    edited = [f"x{k}" if k % 20 == 10 else w for k, w in enumerate(p)]
+    return ([lone(10_000, t, k) for k, t in enumerate(pieces)] + [lone(30_000, t, k) for k, t in enumerate(pieces)] +
+            [(20_000, prose(30, 582) + " " + " ".join(p) + " " + prose(30, 583)), (40_000, prose(25, 584) + " " + " ".join(edited) + " " + prose(25, 585))])
+
+
+@pytest.mark.parametrize("copies", [1, 3, 12])
+def test_substring_edited_passage_between_first_and_previous(docs_of, copies):
+    for parts, fragment in ((1, substring.FRAGMENT), (4, 300)):
+        got = covered(docs_of(between(copies), parts), fragment=fragment)
+        assert set(got) == {40_000} and got[40_000] >= set(range(25, 125)) - {35} and len(got[40_000]) <= 106
+
+
+def test_substring_keys_of_what_links_leave_out():
+    """A frequent seed makes keys with those 16 to 104 words away only, and asks where no passage has it."""
+    place, key = np.array([0, 8, 20, 130, 300]), np.array([4, 8, 12, 16, 20]) + [substring.MANY, substring.MANY, substring.MANY, substring.MANY, substring.FEW]
+    keys, places, asks = substring.candidate_keys(place, key, None)
+    assert sorted(places) == [0, 300] and asks.all() and 20 + substring.FEW in keys
+    assert not substring.candidate_keys(place, key, [{"start": 0, "stop": 400}])[2].any()
+    near = substring.candidate_keys(np.array([0, 30]), np.array([4 + substring.NONE, 8 + substring.MANY]), [{"start": 0, "stop": 10}])
+    assert near[2].tolist() == [True] and near[0].tolist() == [4]
+
+
 def test_substring_cut(docs_of):
     p = prose(60, 41)
     rows = [(1, "start " + p + " end"), (2, "Keep this,\n" + p + "\n  and that. "), (3, p), (4, None), (None, p)]
