@@ -197,6 +197,45 @@ def test_substring_keys_of_what_links_leave_out():
     assert near[2].tolist() == [True] and near[0].tolist() == [4]
 
 
+def test_substring_candidates_of_a_frequent_text(docs_of, monkeypatch):
+    """Documents that share 30 words only are no candidates; one that goes on alike, without a further seed, is found."""
+    pairs, write = [], substring.written
+
+    def counted(df, tag):
+        out = write(df, tag)
+        if tag == "rest-pairs":
+            pairs.extend((r["doc_id"], r["ref_id"]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(substring, "written", counted)
+    p = prose(90, 591).split(" ")
+    edited = [f"x{k}" if k >= 30 and k % 6 == 0 else w for k, w in enumerate(p)]
+    lone = [(i, prose(30, 1300 + i) + " " + " ".join(p[:30]) + " " + prose(30, 1400 + i)) for i in (*range(30), *range(100, 130))]
+    rows = lone + [(50, prose(20, 592) + " " + " ".join(p)), (150, prose(25, 593) + " " + " ".join(edited))]
+    got = covered(docs_of(rows))
+    assert set(got) == {150} and got[150] >= set(range(25, 110))
+    assert (150, 50) in pairs and len(pairs) < len(rows)
+
+
+def test_substring_ends_of_runs():
+    """Two documents with a run of 24 words meet at its end only if two words agree again behind unlike ones."""
+    words = np.arange(100, 200, dtype="<u4")
+    other, third = words.copy(), words.copy()
+    other[60], third[60:] = 7, np.arange(300, 340)
+
+    def met(a, b):
+        ends = [substring._run_ends(w.astype(np.uint64), np.array([30, 45, 52]), np.array([45])) for w in (a, b)]
+        forks = {k: m for k, m in zip(*ends[0][:2])}
+        unlike = [np.array([k in forks and forks[k] != m for k, m in zip(*e[:2])]) for e in ends[1:]]
+        at = ends[1][2][unlike[0]]
+        keys = [dict(zip(*substring.end_keys(w, at, np.ones(len(at), dtype=bool))[:2])) for w in (a, b)]
+        return len(at), sum(k in keys[1] and keys[1][k] != m for k, m in keys[0].items())
+
+    assert met(words, other)[0] and met(words, other)[1]
+    assert met(words, third)[0] and not met(words, third)[1]
+    assert met(words, words) == (0, 0)
+
+
 def test_substring_cut(docs_of):
     p = prose(60, 41)
     rows = [(1, "start " + p + " end"), (2, "Keep this,\n" + p + "\n  and that. "), (3, p), (4, None), (None, p)]
