@@ -1,10 +1,12 @@
 """ALS properties (never golden floats): top-k equals scoring on the model's own factors,
 k rows per user, distinct movies, non-increasing scores, determinism, save/load."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from reelrec.operators import als, popularity, scoring, split
+from reelrec.operators import als, als_parts, popularity, scoring, split
 from reelrec.sources import fixtures as fx
 
 from conftest import SF_SMALL
@@ -124,3 +126,47 @@ def test_split_of_a_stored_table_caches_nothing(spark, scratch):
     held = [sorted(map(tuple, part.collect())) for part in split.chronological_split(stored, 0.6)]
     again = [sorted(map(tuple, part.collect())) for part in split.chronological_split(stored, 0.6, persist=False)]
     assert held == again
+
+
+def _factors(model):
+    return [{r["id"]: r["features"] for r in side.collect()} for side in (model.userFactors, model.itemFactors)]
+
+
+def test_fit_in_parts_is_the_model_of_als(spark, monkeypatch, scratch):
+    """Blocks that a task may not hold: parts of few ratings give ALS's own factors; ratings repeat, ids are negative or have many."""
+    r = random.Random(5)
+    rows = [(r.randrange(-40, 300), r.choice([7, r.randrange(-20, 200)]), r.randrange(1, 11) / 2) for _ in range(6000)]
+    df = spark.createDataFrame(rows + rows[:50], "userId int, movieId int, rating double").repartition(5)
+    kw = {"rank": 4, "iterations": 3, "reg": 0.1, "seed": 3, "blocks": 3}
+    whole = als.fit(df, **kw)
+    calls = []
+
+    def few(est, data, n):
+        calls.append(n)
+        return als_parts.fit_in_parts(est, data, n, part_ratings=700)
+    monkeypatch.setattr(als, "HELD_RATINGS", 1000)
+    monkeypatch.setattr(als, "fit_in_parts", few)
+    monkeypatch.setattr(als_parts, "CELLS", 256)                       # the item with half of the ratings takes turns
+    monkeypatch.setattr(als_parts, "DEALT_ROWS", 500)
+    parts = als.fit(df, **kw)
+    assert calls == [6050]
+    for a, b in zip(_factors(whole), _factors(parts)):
+        assert a.keys() == b.keys() and max(abs(x - y) for i in a for x, y in zip(a[i], b[i])) < 1e-4
+    assert parts.rank == 4 and [{p.name: v for p, v in m.extractParamMap().items()} for m in (whole, parts)] == 2 * [
+        {p.name: v for p, v in whole.extractParamMap().items()}]
+    assert parts.userFactors.dtypes == whole.userFactors.dtypes and parts.getColdStartStrategy() == "drop"
+    assert _factors(als.load(als.save(parts, scratch + "/model"))) == _factors(parts)
+    assert als.evaluate(parts, df).first()["rmse"] == pytest.approx(als.evaluate(whole, df).first()["rmse"], abs=1e-6)
+    nulls = df.withColumn("rating", F.when(F.col("movieId") != 7, F.col("rating")))
+    with pytest.raises(Exception, match="MUST NOT be Null"):           # ALS's own words
+        als.fit(nulls, **kw)
+    monkeypatch.setattr(als, "HELD_RATINGS", 3000)
+    als.fit(df, **kw)
+    assert calls == [6050]                                             # the blocks fit a task
+
+
+def test_a_part_has_few_ratings_whatever_the_blocks(spark):
+    df = spark.range(20_000).selectExpr("cast(id % 3000 as int) userId", "cast(id % 1700 as int) movieId", "cast(1 as float) rating")
+    links = als_parts._dealt(df, 40).mapPartitions(als_parts._links_task(40), True)
+    sizes = links.map(lambda x: (len(x[1][1][3]), int(x[1][1][4].sum()))).collect()
+    assert sum(n for n, _ in sizes) == 20_000 and max(n for n, _ in sizes) < 1000 and all(needed <= n for n, needed in sizes)
